@@ -1,0 +1,29 @@
+"""Broadcast only behind a size check.
+
+``sized_broadcast`` counts at most ``max_rows + 1`` rows of the candidate
+side (a bounded-cost probe).  Under the bound it returns a broadcast hint;
+over it the side is returned untouched and Spark plans a shuffle join, which
+AQE may still turn into a broadcast at runtime from measured sizes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# Fixed value: default row bound for a broadcast dimension (~100 bytes a row -> ~50 MB).
+DEFAULT_MAX_ROWS = 500_000
+CONF_KEY = "wiremap.broadcast.maxRows"
+
+
+def broadcast_bound(df: DataFrame) -> int:
+    v = df.sparkSession.conf.get(CONF_KEY, None)
+    return int(v) if v else DEFAULT_MAX_ROWS
+
+
+def fits(df: DataFrame, max_rows: int | None = None) -> bool:
+    bound = broadcast_bound(df) if max_rows is None else max_rows
+    return df.limit(bound + 1).count() <= bound
+
+
+def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    return F.broadcast(df) if fits(df, max_rows) else df
