@@ -12,12 +12,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from wiremap import oracle as O
+from wiremap.functions.columns import fill_unknown
+from wiremap.operators.latest import latest_by_key
+from wiremap.operators.lookup import lookup_host
+from wiremap.operators.recent import recent
+from wiremap.operators.upsert import read_keyed, upsert
+from wiremap.plans import graph as G
 from wiremap.plans.connection_map import connection_map
 from wiremap.plans.packet_map import (
     ip_packet, packet_map, packet_with_host, packet_with_process, pick_process,
 )
+from wiremap.session import scratch_path
+from wiremap.sources import fixtures as X
+from wiremap.sources.files import file_date_sent, file_hostname
 from wiremap.sources.fixtures import capture_views
+from wiremap.sources.tables import read_table
+from wiremap.spec import SPECS_BY_SOURCE
+from wiremap.streaming.silver import silver_batch
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
@@ -65,6 +79,158 @@ def q_network_map_connection_aligned(spark: SparkSession, sf_dir: str) -> DataFr
     return connection_map(_packets(spark, sf_dir), align_minutes=True)
 
 
+# ---------------------------------------------------------------- silver operators
+
+def q_latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem")
+    return latest_by_key(li, ["l_orderkey", "l_linenumber"], "l_shipdate",
+                         tie_break=["l_partkey", "l_suppkey", "l_extendedprice"])
+
+
+def q_lookup_host(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = X.address_facts(spark, sf_dir)
+    out = lookup_host(facts, X.host_table(spark, sf_dir), "address", "host")
+    return out.select("_id", F.col("address.address").alias("ip"),
+                      F.col("address.mask").alias("mask"), "host")
+
+
+def q_struct_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver interface job: host lookup, ``address.mask``, latest per key."""
+    spec = SPECS_BY_SOURCE["dim_network_interface"]
+    out = silver_batch(X.interface_reports(spark, sf_dir), spec, X.host_table(spark, sf_dir))
+    return out.select("_id", "hostname", F.col("address.address").alias("ip"), "network",
+                      "inserted_at", "host", "mask")
+
+
+def _events_as_of(spark: SparkSession, sf_dir: str):
+    ev = read_table(spark, sf_dir, "events")
+    return ev, ev.select(F.max("ts")).scalar()
+
+
+def q_recent_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev, as_of = _events_as_of(spark, sf_dir)
+    return recent(ev, 7 * 24 * 60, "ts", as_of)
+
+
+def q_recent_window_param(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev, as_of = _events_as_of(spark, sf_dir)
+    return recent(ev, G.REPORT_LOOKBACK_MINUTES, "ts", as_of)
+
+
+def q_distinct_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = capture_views(spark, sf_dir)
+    return v.network_ip.select("hostname", "source_host", "destination_host").distinct()
+
+
+def q_parse_file_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = X.capture_file_names(spark, sf_dir)
+    name = F.col("file_name")
+    return names.select("event_id", "file_name", file_hostname(name).alias("hostname"),
+                        file_date_sent(name).alias("date_sent"))
+
+
+# ---------------------------------------------------------------- report
+
+def _connections(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, object]:
+    v = capture_views(spark, sf_dir)
+    pk = packet_map(v.network_ip, v.network_packet, v.interfaces, v.process_network,
+                    v.process, as_of=v.as_of)
+    return connection_map(pk), v.as_of
+
+
+def _graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conn, as_of = _connections(spark, sf_dir)
+    return G.network_graph(conn, G.REPORT_LOOKBACK_MINUTES, as_of)
+
+
+def q_fill_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conn, as_of = _connections(spark, sf_dir)
+    return G.report_connections(conn, G.REPORT_LOOKBACK_MINUTES, as_of)
+
+
+def q_edge_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conn, as_of = _connections(spark, sf_dir)
+    return G.edge_summary(G.report_connections(conn, G.REPORT_LOOKBACK_MINUTES, as_of))
+
+
+def q_graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.graph_edges(_graph(spark, sf_dir))
+
+
+def q_graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.graph_nodes(_graph(spark, sf_dir))
+
+
+def q_graph_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.graph_networks(G.graph_nodes(_graph(spark, sf_dir)))
+
+
+def q_graph_nodes_by_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.nodes_by_network(G.graph_nodes(_graph(spark, sf_dir)))
+
+
+def q_edge_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.edge_report(_graph(spark, sf_dir))
+
+
+def q_packet_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = capture_views(spark, sf_dir)
+    pk = packet_map(v.network_ip, v.network_packet, v.interfaces, v.process_network,
+                    v.process, as_of=v.as_of)
+    return G.packet_detail(pk, G.REPORT_LOOKBACK_MINUTES, v.as_of)
+
+
+# ---------------------------------------------------------------- keyed upsert
+
+_EV_KEYS = ["user_id", "event_type"]
+
+
+def _upsert_two(spark: SparkSession, sf_dir: str, keys: list[str], events: DataFrame,
+                **kw) -> DataFrame:
+    """Even events are the stored table, odd events arrive as one batch."""
+    path = scratch_path(spark, "upsert")
+    even = events.filter(F.col("event_id") % 2 == 0)
+    odd = events.filter(F.col("event_id") % 2 == 1)
+    upsert(spark, even, path, keys, batch_id=0, order_by="ts", **kw)
+    upsert(spark, odd, path, keys, batch_id=1, order_by="ts", **kw)
+    return read_keyed(spark, path)
+
+
+def q_upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _upsert_two(spark, sf_dir, _EV_KEYS, read_table(spark, sf_dir, "events"))
+
+
+def q_upsert_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "upsert")
+    upsert(spark, read_table(spark, sf_dir, "events"), path, _EV_KEYS, order_by="ts")
+    return read_keyed(spark, path)
+
+
+def _null_key_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events")
+    return ev.withColumn("k", F.when(F.col("user_id") % 4 != 0, F.col("user_id")))
+
+
+def q_upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _upsert_two(spark, sf_dir, ["k", "event_type"], _null_key_events(spark, sf_dir))
+
+
+def q_upsert_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _upsert_two(spark, sf_dir, ["k", "event_type"], _null_key_events(spark, sf_dir),
+                       null_safe=True)
+
+
+def q_upsert_newest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored = the later half of the month, incoming = the earlier half."""
+    path = scratch_path(spark, "upsert")
+    ev = read_table(spark, sf_dir, "events")
+    mid = F.lit("2024-01-16 00:00:00").cast("timestamp")
+    upsert(spark, ev.filter(F.col("ts") >= mid), path, _EV_KEYS, batch_id=0, order_by="ts")
+    upsert(spark, ev.filter(F.col("ts") < mid), path, _EV_KEYS, batch_id=1, order_by="ts",
+           newest_wins=True)
+    return read_keyed(spark, path)
+
+
 # ---------------------------------------------------------------- contract
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -81,6 +247,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "network_map_packet": q_network_map_packet,
         "network_map_connection": q_network_map_connection,
         "network_map_connection_aligned": q_network_map_connection_aligned,
+        "latest_by_key": q_latest_by_key,
+        "lookup_host": q_lookup_host,
+        "struct_field": q_struct_field,
+        "recent_window": q_recent_window,
+        "recent_window_param": q_recent_window_param,
+        "distinct_projection": q_distinct_projection,
+        "parse_file_name": q_parse_file_name,
+        "fill_unknown": q_fill_unknown,
+        "edge_summary": q_edge_summary,
+        "graph_edges": q_graph_edges,
+        "graph_nodes": q_graph_nodes,
+        "graph_networks": q_graph_networks,
+        "graph_nodes_by_network": q_graph_nodes_by_network,
+        "edge_report": q_edge_report,
+        "packet_detail": q_packet_detail,
+        "upsert_by_key": q_upsert_by_key,
+        "upsert_first_load": q_upsert_first_load,
+        "upsert_null_keys": q_upsert_null_keys,
+        "upsert_null_safe": q_upsert_null_safe,
+        "upsert_newest_wins": q_upsert_newest_wins,
     }
 
 
@@ -94,4 +280,28 @@ def oracle_sql() -> dict[str, str]:
         "network_map_connection": O.with_ctes(O.CONNECTION_CTES, "select * from g2"),
         "network_map_connection_aligned": O.with_ctes(O.CONNECTION_ALIGNED_CTES,
                                                       "select * from g2"),
+        "latest_by_key": O.LATEST_LINEITEM,
+        "lookup_host": O.LOOKUP_HOST,
+        "struct_field": O.STRUCT_FIELD,
+        "recent_window": O.RECENT_EVENTS.format(secs=7 * 24 * 3600 - 1),
+        "recent_window_param": O.RECENT_EVENTS.format(secs=15 * 60 - 1),
+        "distinct_projection": O.with_ctes(
+            O.CAPTURE_CTES, "select distinct hostname, source_host, destination_host from network_ip"),
+        "parse_file_name": "with " + O.PARSE_FILE_NAME.strip(),
+        "fill_unknown": O.with_ctes(O.GRAPH_CTES, "select * from filled"),
+        "edge_summary": O.with_ctes(O.GRAPH_CTES, "select * from summary"),
+        "graph_edges": O.with_ctes(O.GRAPH_CTES, O.GRAPH_EDGES),
+        "graph_nodes": O.with_ctes(O.GRAPH_CTES, "select * from nodes"),
+        "graph_networks": O.with_ctes(O.GRAPH_CTES, "select distinct network from nodes"),
+        "graph_nodes_by_network": O.with_ctes(
+            O.GRAPH_CTES, "select *, md5(network) as cluster_id from nodes"),
+        "edge_report": O.with_ctes(O.GRAPH_CTES, O.EDGE_REPORT),
+        "packet_detail": O.with_ctes(
+            O.PACKET_CTES, "select * from g1 where dtk_inserted_at >= "
+            "date_trunc('second', (select max(ts) from events)) - to_seconds(899)"),
+        "upsert_by_key": O.UPSERT_BY_KEY,
+        "upsert_first_load": O.UPSERT_FIRST_LOAD,
+        "upsert_null_keys": O.UPSERT_NULL_KEYS.format(match="s.k = t.k"),
+        "upsert_null_safe": O.UPSERT_NULL_KEYS.format(match="s.k is not distinct from t.k"),
+        "upsert_newest_wins": O.UPSERT_FIRST_LOAD,
     }

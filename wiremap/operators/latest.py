@@ -47,3 +47,12 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_col: str = "inserted
              if complete_order else first)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
+
+
+def one_per_key(df: DataFrame, keys: Sequence[str], first: Sequence[Column] = ()) -> DataFrame:
+    """One row per key by ``first`` then every other column (a total order)."""
+    order = total_order(df, first, exclude=keys)
+    if not order:
+        return df.dropDuplicates(list(keys))
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)

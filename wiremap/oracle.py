@@ -116,3 +116,168 @@ g2 as (
 
 def with_ctes(ctes: str, body: str) -> str:
     return "with " + ctes.strip() + "\n" + body.strip()
+
+
+GRAPH_CTES = CONNECTION_CTES + """,
+conn as (
+  select * from g2
+  where dtk_inserted_at >= date_trunc('second', (select max(ts) from events)) - to_seconds(899)),
+filled as (
+  select created_at,
+         coalesce(source_network, 'unknown') as source_network,
+         coalesce(source_hostname, 'unknown') as source_hostname,
+         coalesce(source_host, 'unknown') as source_host, source_port,
+         coalesce(source_interface, 'unknown') as source_interface,
+         source_pid, source_ppid, source_uid,
+         coalesce(source_command, 'unknown') as source_command,
+         coalesce(source_full_command, 'unknown') as source_full_command,
+         source_process_started_at,
+         coalesce(destination_network, 'unknown') as destination_network,
+         coalesce(destination_hostname, 'unknown') as destination_hostname,
+         coalesce(destination_host, 'unknown') as destination_host, destination_port,
+         coalesce(destination_interface, 'unknown') as destination_interface,
+         destination_pid, destination_ppid, destination_uid,
+         coalesce(destination_command, 'unknown') as destination_command,
+         coalesce(destination_full_command, 'unknown') as destination_full_command,
+         destination_process_started_at, dtk_inserted_at
+  from conn),
+summary as (
+  select source_network, source_hostname, source_host,
+         destination_network, destination_hostname, destination_host,
+         coalesce(list_sort(list(distinct source_port) filter (where source_port is not null)), []) as source_port,
+         coalesce(list_sort(list(distinct source_pid) filter (where source_pid is not null)), []) as source_pid,
+         coalesce(list_sort(list(distinct source_command) filter (where source_command is not null)), []) as source_command,
+         coalesce(list_sort(list(distinct destination_port) filter (where destination_port is not null)), []) as destination_port,
+         coalesce(list_sort(list(distinct destination_pid) filter (where destination_pid is not null)), []) as destination_pid,
+         coalesce(list_sort(list(distinct destination_command) filter (where destination_command is not null)), []) as destination_command,
+         strftime(max(created_at), '%Y/%m/%d %H:%M:%S') as time
+  from filled
+  group by source_network, source_hostname, source_host,
+           destination_network, destination_hostname, destination_host),
+ided as (
+  select *,
+         md5(concat_ws(chr(31), source_network, source_hostname, source_host)) as source_id,
+         md5(concat_ws(chr(31), destination_network, destination_hostname, destination_host)) as destination_id,
+         md5(concat_ws(chr(31), source_network, source_hostname, source_host,
+                       destination_network, destination_hostname, destination_host)) as edge_id
+  from summary),
+nodes as (
+  select distinct network, _id, label from (
+    select source_network as network, source_id as _id,
+           source_host || chr(10) || source_hostname as label from ided
+    union all
+    select destination_network, destination_id,
+           destination_host || chr(10) || destination_hostname from ided))
+"""
+
+GRAPH_EDGES = """
+select edge_id as _id, source_id, destination_id,
+       'commands: '
+       || case when len(source_command) = 0 then 'unknown' else cast(source_command as varchar) end
+       || '->'
+       || case when len(destination_command) = 0 then 'unknown' else cast(destination_command as varchar) end
+       || chr(10) || time as label
+from ided
+"""
+
+EDGE_REPORT = """
+select edge_id, time, source_network, source_hostname, source_host, source_port, source_pid,
+       source_command, destination_network, destination_hostname, destination_host,
+       destination_port, destination_pid, destination_command
+from ided order by edge_id
+"""
+
+LATEST_LINEITEM = """
+select * from lineitem
+qualify row_number() over (
+  partition by l_orderkey, l_linenumber
+  order by l_shipdate desc nulls last, l_partkey asc nulls last, l_suppkey asc nulls last,
+           l_extendedprice asc nulls last) = 1
+"""
+
+LOOKUP_HOST = """
+with hosts as (
+  select s_suppkey as _id,
+         struct_pack(address := concat('10.0.', cast(s_suppkey % 50 as varchar)), mask := 24) as address,
+         s_name as host
+  from supplier),
+by_address as (
+  select address, min(host) as host from hosts where address is not null group by address),
+facts as (
+  select event_id as _id,
+         struct_pack(address := concat('10.0.', cast(user_id % 60 as varchar)),
+                     mask := case when event_id % 10 = 0 then 32 else 24 end) as address
+  from events)
+select f._id, f.address.address as ip, f.address.mask as mask, h.host
+from facts f left join by_address h on f.address = h.address
+"""
+
+STRUCT_FIELD = """
+with hosts as (
+  select struct_pack(address := concat('10.0.', cast(s_suppkey % 50 as varchar)), mask := 24) as address,
+         s_name as host
+  from supplier),
+by_address as (
+  select address, min(host) as host from hosts where address is not null group by address),
+reports as (
+  select user_id % 7 as _id,
+         concat('m', cast(user_id % (select count(*) from supplier) as varchar)) as hostname,
+         struct_pack(address := concat('10.0.', cast(event_id % 60 as varchar)), mask := 24) as address,
+         event_type as network, ts as inserted_at
+  from events),
+enriched as (
+  select r.*, h.host, r.address.mask as mask
+  from reports r left join by_address h on r.address = h.address)
+select _id, hostname, address.address as ip, network, inserted_at, host, mask
+from enriched
+qualify row_number() over (partition by _id, hostname order by inserted_at desc nulls last) = 1
+"""
+
+RECENT_EVENTS = """
+select * from events
+where ts >= date_trunc('second', (select max(ts) from events)) - to_seconds({secs})
+"""
+
+PARSE_FILE_NAME = CAPTURE_CTES + """,
+named as (
+  select e.event_id,
+         e.hostname || '-' ||
+         case when e.event_type = 'error'
+              then substr(strftime(e.ts, '%Y%m%d%H%M%S'), 1, 13) || 'Z'
+              else strftime(e.ts, '%Y%m%d%H%M%S') end || '.parquet' as file_name
+  from ev e)
+
+select event_id, file_name,
+       substr(file_name, 1, greatest(length(file_name) - 23, 0)) as hostname,
+       case when length(file_name) >= 23
+            then cast(try_strptime(substr(file_name, length(file_name) - 21, 14), '%Y%m%d%H%M%S') as date)
+       end as date_sent
+from named
+"""
+
+_EV_LATEST = """
+  qualify row_number() over (partition by {keys}
+                             order by ts desc nulls last, event_id asc nulls last,
+                                      value asc nulls last, props asc nulls last) = 1"""
+
+UPSERT_BY_KEY = """
+with t as (select * from events where event_id % 2 = 0""" + _EV_LATEST.format(keys="user_id, event_type") + """),
+s as (select * from events where event_id % 2 = 1""" + _EV_LATEST.format(keys="user_id, event_type") + """)
+select * from t
+where not exists (select 1 from s where s.user_id = t.user_id and s.event_type = t.event_type)
+union all
+select * from s
+"""
+
+UPSERT_FIRST_LOAD = """
+select * from events""" + _EV_LATEST.format(keys="user_id, event_type") + "\n"
+
+UPSERT_NULL_KEYS = """
+with k as (select *, case when user_id % 4 <> 0 then user_id end as k from events),
+t as (select * from k where event_id % 2 = 0""" + _EV_LATEST.format(keys="k, event_type").replace("{", "{{").replace("}", "}}") + """),
+s as (select * from k where event_id % 2 = 1""" + _EV_LATEST.format(keys="k, event_type").replace("{", "{{").replace("}", "}}") + """)
+select * from t
+where not exists (select 1 from s where {match} and s.event_type = t.event_type)
+union all
+select * from s
+"""

@@ -26,7 +26,7 @@ def file_date_sent(name: Column) -> Column:
     """Date the file was sent, from its 14-digit stamp; null for malformed names."""
     stamp = F.substring(name, F.length(name) - STAMP_FROM_END, F.lit(STAMP_LEN))
     return F.when(F.length(name) >= NAME_TAIL,
-                  F.try_to_date(stamp, F.lit(STAMP_FORMAT)))
+                  F.try_to_date(stamp, STAMP_FORMAT))
 
 
 def add_file_provenance(df: DataFrame, name: Column | None = None, size: Column | None = None,

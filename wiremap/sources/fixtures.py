@@ -94,3 +94,50 @@ def capture_views(spark: SparkSession, sf_dir: str) -> CaptureViews:
 
     as_of = events.select(F.max("ts")).scalar()
     return CaptureViews(ev, interfaces, network_ip, network_packet, process_network, process, as_of)
+
+
+def _address(ip_suffix: Column, mask: Column) -> Column:
+    return F.named_struct(F.lit("address"), F.concat(F.lit("10.0."), ip_suffix.cast("string")),
+                          F.lit("mask"), mask.cast("int"))
+
+
+def host_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``dim_network_host`` shape: suppliers, two suppliers per address from sf0.01 on."""
+    supplier = read_table(spark, sf_dir, "supplier")
+    return supplier.select(
+        F.col("s_suppkey").alias("_id"),
+        _address(F.col("s_suppkey") % 50, F.lit(24)).alias("address"),
+        F.col("s_name").alias("host"),
+    )
+
+
+def address_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One address per event; every tenth carries mask 32 and so matches no host."""
+    events = read_table(spark, sf_dir, "events")
+    mask = F.when(F.col("event_id") % 10 == 0, F.lit(32)).otherwise(F.lit(24))
+    return events.select(F.col("event_id").alias("_id"),
+                         _address(F.col("user_id") % 60, mask).alias("address"))
+
+
+def interface_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw ``dim_network_interface`` rows: machines re-report interfaces over time."""
+    supplier = read_table(spark, sf_dir, "supplier")
+    events = read_table(spark, sf_dir, "events")
+    n = supplier.select(F.count(F.lit(1))).scalar()
+    return events.select(
+        (F.col("user_id") % 7).alias("_id"),
+        _machine(F.col("user_id"), n).alias("hostname"),
+        _address(F.col("event_id") % 60, F.lit(24)).alias("address"),
+        F.col("event_type").alias("network"),
+        F.col("ts").alias("inserted_at"),
+    )
+
+
+def capture_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``<hostname>-<yyyyMMddHHmmss>.parquet`` per event; error events get a bad stamp."""
+    v = capture_views(spark, sf_dir)
+    stamp = F.date_format("ts", "yyyyMMddHHmmss")
+    bad = F.concat(F.substring(stamp, 1, 13), F.lit("Z"))
+    stamp = F.when(F.col("event_type") == "error", bad).otherwise(stamp)
+    return v.ev.select(F.col("event_id"),
+                       F.concat("hostname", F.lit("-"), stamp, F.lit(".parquet")).alias("file_name"))
