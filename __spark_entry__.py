@@ -31,7 +31,11 @@ from wiremap.sources.files import file_date_sent, file_hostname
 from wiremap.sources.fixtures import capture_views
 from wiremap.sources.tables import read_table
 from wiremap.spec import SPECS_BY_SOURCE
-from wiremap.streaming.silver import silver_batch
+from wiremap.sources.landing import write_capture_files, write_capture_files_in_order
+from wiremap.spec import TableSpec
+from wiremap.streaming import gold as GOLD
+from wiremap.streaming.bronze import bronze_schema, bronze_stream, read_bronze, start_bronze
+from wiremap.streaming.silver import silver_batch, start_silver
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
@@ -231,6 +235,81 @@ def q_upsert_newest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_keyed(spark, path)
 
 
+# ---------------------------------------------------------------- streams
+
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _land_events(spark: SparkSession, sf_dir: str, copies: int = 1) -> tuple[str, object]:
+    """Events as capture files of their machine; ``copies`` repeats rows in place."""
+    v = capture_views(spark, sf_dir)
+    raw = v.ev.select(*EVENT_COLUMNS, "hostname")
+    if copies > 1:
+        raw = raw.withColumn("__c", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("__c")
+    base = scratch_path(spark, "stream")
+    write_capture_files(spark, raw, f"{base}/raw")
+    return base, read_table(spark, sf_dir, "events").schema
+
+
+def _bronze(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
+    base, schema = _land_events(spark, sf_dir, copies)
+    q = start_bronze(spark, f"{base}/raw", f"{base}/bronze", f"{base}/_chk/bronze",
+                     schema=schema, max_files_per_trigger=64)
+    q.awaitTermination()
+    return read_bronze(spark, f"{base}/bronze")
+
+
+def q_src_stream_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bronze(spark, sf_dir).select(*EVENT_COLUMNS, "hostname")
+
+
+def q_stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row landed twice in the same file; bronze keeps one."""
+    return _bronze(spark, sf_dir, copies=2).select(*EVENT_COLUMNS, "hostname")
+
+
+def q_src_file_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provenance columns as written (file size and ingest time are run-specific)."""
+    return _bronze(spark, sf_dir)
+
+
+EVENTS_LATEST = TableSpec("events", "events_latest", ("user_id", "event_type"), order_by="ts")
+
+
+def q_stream_latest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three arrivals of capture files -> bronze -> silver latest-per-key upsert."""
+    ev = read_table(spark, sf_dir, "events")
+    raw = ev.withColumn("hostname", F.concat(F.lit("cap"), (F.col("event_id") % 3).cast("string")))
+    base = scratch_path(spark, "stream")
+    write_capture_files_in_order(
+        spark, [raw.filter(F.col("event_id") % 3 == i) for i in range(3)], f"{base}/raw")
+    q = start_bronze(spark, f"{base}/raw", f"{base}/bronze", f"{base}/_chk/bronze",
+                     schema=ev.schema, max_files_per_trigger=1)
+    q.awaitTermination()
+    stream = bronze_stream(spark, f"{base}/bronze", bronze_schema(ev.schema))
+    q = start_silver(spark, stream, EVENTS_LATEST, f"{base}/silver", f"{base}/_chk/silver",
+                     newest_wins=True)
+    q.awaitTermination()
+    return read_keyed(spark, f"{base}/silver").select(*EVENT_COLUMNS)
+
+
+def _gold(spark: SparkSession, sf_dir: str) -> str:
+    v = capture_views(spark, sf_dir)
+    inputs = GOLD.SilverInputs(v.network_ip, v.network_packet, v.interfaces,
+                               v.process_network, v.process)
+    path = scratch_path(spark, "gold")
+    GOLD.refresh(spark, inputs, path, as_of=v.as_of, lookback_minutes=None, batch_id=0)
+    return path
+
+
+def q_gold_refresh_packet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return GOLD.read_gold(spark, _gold(spark, sf_dir), GOLD.PACKET_TABLE)
+
+
+def q_gold_refresh_connection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return GOLD.read_gold(spark, _gold(spark, sf_dir), GOLD.CONNECTION_TABLE)
+
+
 # ---------------------------------------------------------------- contract
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -267,6 +346,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsert_null_keys": q_upsert_null_keys,
         "upsert_null_safe": q_upsert_null_safe,
         "upsert_newest_wins": q_upsert_newest_wins,
+        "src_stream_parquet": q_src_stream_parquet,
+        "stream_distinct": q_stream_distinct,
+        "src_file_meta": q_src_file_meta,
+        "stream_latest_upsert": q_stream_latest_upsert,
+        "gold_refresh_packet": q_gold_refresh_packet,
+        "gold_refresh_connection": q_gold_refresh_connection,
     }
 
 
@@ -304,4 +389,11 @@ def oracle_sql() -> dict[str, str]:
         "upsert_null_keys": O.UPSERT_NULL_KEYS.format(match="s.k = t.k"),
         "upsert_null_safe": O.UPSERT_NULL_KEYS.format(match="s.k is not distinct from t.k"),
         "upsert_newest_wins": O.UPSERT_FIRST_LOAD,
+        "src_stream_parquet": O.with_ctes(
+            O.CAPTURE_CTES, "select event_id, ts, user_id, event_type, value, props, hostname from ev"),
+        "stream_distinct": O.with_ctes(
+            O.CAPTURE_CTES, "select event_id, ts, user_id, event_type, value, props, hostname from ev"),
+        "stream_latest_upsert": O.UPSERT_FIRST_LOAD,
+        "gold_refresh_packet": O.with_ctes(O.PACKET_CTES, "select * from g1"),
+        "gold_refresh_connection": O.with_ctes(O.CONNECTION_CTES, "select * from g2"),
     }

@@ -44,3 +44,18 @@ def silver_writer(spark: SparkSession, spec: TableSpec, target_path: str,
                order_by=None if spec.distinct_only else spec.order_by,
                newest_wins=newest_wins and not spec.distinct_only, null_safe=null_safe)
     return run
+
+
+def start_silver(spark: SparkSession, stream: DataFrame, spec: TableSpec, target_path: str,
+                 checkpoint: str, *, hosts_loader=None, newest_wins: bool = False,
+                 null_safe: bool = False, available_now: bool = True,
+                 processing_time: str | None = None):
+    writer = (stream.writeStream.outputMode("update")
+              .foreachBatch(silver_writer(spark, spec, target_path, hosts_loader,
+                                          newest_wins, null_safe))
+              .option("checkpointLocation", checkpoint))
+    if processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    elif available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
