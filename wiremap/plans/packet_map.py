@@ -97,24 +97,40 @@ def packet_with_process(packets: DataFrame, process_network: DataFrame, process:
 
 
 def pick_process(df: DataFrame, pick: str = "earliest",
-                 pick_keys: tuple[str, ...] = ("_id", "hostname", "pid")) -> DataFrame:
+                 pick_keys: tuple[str, ...] = ("_id", "hostname", "pid"),
+                 keep_unmatched: bool = False) -> DataFrame:
     """As-of pick of the process that was running when the packet was created.
 
     Rows without a start (no link, no process row, or a null start) are all
     kept.  Of the rows whose start is before ``created_at`` one per
     ``pick_keys`` survives: the earliest (``pick="latest"``: the latest).
-    Packets whose starts are all later are dropped.
+    Packets whose starts are all later are dropped, or with
+    ``keep_unmatched=True`` kept once with the process attributes cleared.
+
+    ``pick_keys`` includes ``hostname`` so that equal packet ids on two
+    machines do not erase each other; ``("_id", "pid")`` is the pipeline's
+    original partition.
     """
     if pick not in ("earliest", "latest"):
         raise ValueError("pick must be 'earliest' or 'latest'")
     start = F.col("process_started_at")
     no_start = start.isNull()
-    kept = df.filter(no_start | (start < F.col("created_at")))
+    before = start < F.col("created_at")
     clock = asc_last(start) if pick == "earliest" else desc_last(start)
-    order = total_order(kept, [clock], used=["process_started_at"], exclude=pick_keys)
+    if keep_unmatched:
+        kept = df
+        first = [F.coalesce(before, F.lit(False)).desc(), clock]
+    else:
+        kept = df.filter(no_start | before)
+        first = [clock]
+    order = total_order(kept, first, used=["process_started_at"], exclude=pick_keys)
     w = Window.partitionBy(*pick_keys, no_start).orderBy(*order)
-    return (kept.withColumn("__rn", F.row_number().over(w))
-            .filter(no_start | (F.col("__rn") == 1)).drop("__rn"))
+    out = (kept.withColumn("__rn", F.row_number().over(w))
+           .filter(no_start | (F.col("__rn") == 1)).drop("__rn"))
+    if keep_unmatched:
+        ok = no_start | F.coalesce(before, F.lit(False))
+        out = out.withColumns({c: F.when(ok, F.col(c)) for c in PROCESS_COLUMNS})
+    return out
 
 
 def network_map_packet(df: DataFrame, as_of: Column | dt.datetime | None = None) -> DataFrame:
@@ -140,6 +156,8 @@ def packet_map(network_ip: DataFrame, network_packet: DataFrame, interfaces: Dat
                lookback_minutes: int | None = None,
                dim_lookback: bool = True,
                pick: str = "earliest",
+               pick_keys: tuple[str, ...] = ("_id", "hostname", "pid"),
+               keep_unmatched: bool = False,
                reduce_first: bool = True,
                broadcast_max_rows: int | None = None) -> DataFrame:
     """Full gold packet map (G1).
@@ -155,9 +173,11 @@ def packet_map(network_ip: DataFrame, network_packet: DataFrame, interfaces: Dat
 
     pk = ip_packet(window(network_ip, False), window(network_packet, False))
     pk = packet_with_host(pk, window(interfaces, True), broadcast_max_rows)
-    # The earliest-start reduction is exact only for the earliest pick.
+    # Exact for the earliest pick whatever the pick keys: per (hostname, pid)
+    # an eligible start exists iff the earliest one is eligible, and the
+    # minimum over hostnames of those earliest starts is the overall minimum.
     reduce = reduce_first and pick == "earliest"
     pk = packet_with_process(pk, window(process_network, False), window(process, True),
                              reduce_first=reduce, broadcast_max_rows=broadcast_max_rows)
-    pk = pick_process(pk, pick=pick)
+    pk = pick_process(pk, pick=pick, pick_keys=pick_keys, keep_unmatched=keep_unmatched)
     return network_map_packet(pk, as_of)
