@@ -25,7 +25,7 @@ from wiremap.plans.connection_map import connection_map
 from wiremap.plans.packet_map import (
     ip_packet, packet_map, packet_with_host, packet_with_process, pick_process,
 )
-from wiremap.session import scratch_path
+from wiremap.session import materialize, scratch_path
 from wiremap.sources import fixtures as X
 from wiremap.sources.files import file_date_sent, file_hostname
 from wiremap.sources.fixtures import capture_views
@@ -76,11 +76,11 @@ def q_network_map_packet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_network_map_connection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return connection_map(_packets(spark, sf_dir))
+    return connection_map(materialize(_packets(spark, sf_dir)))
 
 
 def q_network_map_connection_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return connection_map(_packets(spark, sf_dir), align_minutes=True)
+    return connection_map(materialize(_packets(spark, sf_dir)), align_minutes=True)
 
 
 # ---------------------------------------------------------------- silver operators
@@ -139,7 +139,7 @@ def _connections(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, object]:
     v = capture_views(spark, sf_dir)
     pk = packet_map(v.network_ip, v.network_packet, v.interfaces, v.process_network,
                     v.process, as_of=v.as_of)
-    return connection_map(pk), v.as_of
+    return connection_map(materialize(pk)), v.as_of
 
 
 def _graph(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
-from wiremap.plans.packet_map import (  # noqa: F401
-    PACKET_COLUMNS, ip_packet, network_map_packet, packet_map, packet_with_host,
-    packet_with_process, pick_process, earliest_starts,
-)
-from wiremap.plans.connection_map import CONNECTION_COLUMNS, connection_map  # noqa: F401
+"""Composite plans: gold packet map, connection map, report graph.
+
+Import from the modules (``wiremap.plans.packet_map``, ``.connection_map``,
+``.graph``); nothing is re-exported here so module and function names never
+shadow each other.
+"""

@@ -39,7 +39,7 @@ CONNECTION_COLUMNS = [
 _SIDE = ["interface", "pid", "ppid", "uid", "command", "full_command", "process_started_at"]
 
 # Total order of packet-map rows used to pick the representative pair:
-# earliest packet first, then every other column.
+# earliest packet first, then every other column (ascending, nulls last).
 PACKET_ORDER = [
     "created_at", "packet_id", "source_hostname", "destination_hostname",
     "destination_network", "destination_host", "destination_port", "source_network",
@@ -47,13 +47,43 @@ PACKET_ORDER = [
     "command", "full_command", "process_started_at", "dtk_inserted_at",
 ]
 
-
-def _order(df: DataFrame) -> F.Column:
-    return F.struct(*[F.col(c) for c in PACKET_ORDER if c in df.columns])
-
-
-def _first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_last())
+# How each packet-map column is named on the "source" (a) and "destination" (b)
+# side of a pair.  Output columns keep their output names; the rest are
+# carried under private names only for the order.
+_A_NAMES = {
+    "created_at": "__a_created_at", "packet_id": "__a_packet_id",
+    "source_hostname": "source_hostname", "destination_hostname": "__a_dst_hostname",
+    "destination_network": "__a_dst_network", "destination_host": "__a_dst_host",
+    "destination_port": "__a_dst_port", "source_network": "source_network",
+    "source_host": "source_host", "source_port": "source_port",
+    "interface": "source_interface", "length": "__a_length", "pid": "source_pid",
+    "ppid": "source_ppid", "uid": "source_uid", "command": "source_command",
+    "full_command": "source_full_command",
+    "process_started_at": "source_process_started_at", "dtk_inserted_at": "dtk_inserted_at",
+}
+_B_NAMES = {
+    "created_at": "__b_created_at", "packet_id": "__b_packet_id",
+    "source_hostname": "destination_hostname", "destination_hostname": "__j_hostname",
+    "destination_network": "__b_dst_network", "destination_host": "__j_host",
+    "destination_port": "__j_port", "source_network": "destination_network",
+    "source_host": "destination_host", "source_port": "destination_port",
+    "interface": "destination_interface", "length": "__b_length", "pid": "destination_pid",
+    "ppid": "destination_ppid", "uid": "destination_uid", "command": "destination_command",
+    "full_command": "destination_full_command",
+    "process_started_at": "destination_process_started_at",
+    "dtk_inserted_at": "__b_dtk_inserted_at",
+}
+_A_ORDER = [_A_NAMES[c] for c in PACKET_ORDER]
+_B_ORDER = [_B_NAMES[c] for c in PACKET_ORDER]
+
+_KEY = ["created_at", "source_network", "source_host", "source_port",
+        "destination_host", "destination_port", "destination_network"]
+
+
+def _first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Best row per ``keys`` by ``order`` (keys left out of the sort: they are constant)."""
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last()
+                                            for c in order if c not in keys])
     return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
@@ -63,44 +93,24 @@ def connection_map(packets: DataFrame, align_minutes: bool = False,
     minute = F.date_trunc("minute", F.col("created_at"))
 
     a = packets.filter(F.col("created_at").isNotNull()).select(
-        minute.alias("created_at"),
-        "source_network", "source_hostname", "source_host", "source_port",
-        *[F.col(c).alias(f"source_{c}") if c != "interface" else F.col(c).alias("source_interface")
-          for c in _SIDE],
-        "dtk_inserted_at",
-        _order(packets).alias("__a_ord"),
-    )
+        minute.alias("created_at_minute"), *[F.col(c).alias(n) for c, n in _A_NAMES.items()])
     b_src = packets.filter(F.col("created_at").isNotNull()) if align_minutes else packets
-    b = b_src.select(
-        F.col("source_network").alias("destination_network"),
-        F.col("source_hostname").alias("destination_hostname"),
-        F.col("source_host").alias("destination_host"),
-        F.col("source_port").alias("destination_port"),
-        *[F.col(c).alias(f"destination_{c}") for c in _SIDE],
-        F.col("destination_host").alias("__j_host"),
-        F.col("destination_port").alias("__j_port"),
-        F.col("destination_hostname").alias("__j_hostname"),
-        minute.alias("__b_minute"),
-        _order(packets).alias("__b_ord"),
-    )
+    b = b_src.select(minute.alias("__b_minute"),
+                     *[F.col(c).alias(n) for c, n in _B_NAMES.items()])
 
     a_join = ["source_host", "source_port", "source_hostname"]
     b_join = ["__j_host", "__j_port", "__j_hostname"]
     if reduce_first:
-        a = _first(a, ["created_at", "source_network", *a_join], "__a_ord")
+        a = _first(a, ["created_at_minute", "source_network", *a_join], _A_ORDER)
         b_keys = ["destination_network", "destination_host", "destination_port", *b_join]
         if align_minutes:
             b_keys.append("__b_minute")
-        b = _first(b, b_keys, "__b_ord")
+        b = _first(b, b_keys, _B_ORDER)
 
     cond = [a[x] == b[y] for x, y in zip(a_join, b_join)]
     if align_minutes:
-        cond.append(a["created_at"] == b["__b_minute"])
-    pairs = a.join(b, cond, "inner")
-
-    key = ["created_at", "source_network", "source_host", "source_port",
-           "destination_host", "destination_port", "destination_network"]
-    w = Window.partitionBy(*key).orderBy(F.col("__a_ord").asc_nulls_last(),
-                                         F.col("__b_ord").asc_nulls_last())
-    best = pairs.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1")
+        cond.append(a["created_at_minute"] == b["__b_minute"])
+    pairs = a.join(b, cond, "inner").withColumnRenamed("created_at_minute", "created_at")
+
+    best = _first(pairs, _KEY, _A_ORDER + _B_ORDER)
     return best.select(*CONNECTION_COLUMNS)

@@ -88,9 +88,11 @@ def packet_with_process(packets: DataFrame, process_network: DataFrame, process:
     with_pid = packets.join(link, ["_id", "hostname"], "left")
     proc = process.select("pid", "hostname", "ppid", "uid", "command", "full_command",
                           F.col("started_at").alias("process_started_at"))
+    # The size check runs on the unreduced input: a bound on it bounds the reduction.
+    small = fits(proc, broadcast_max_rows)
     if reduce_first:
         proc = earliest_starts(proc)
-    if fits(proc, broadcast_max_rows):
+    if small:
         proc = F.broadcast(proc)
     out = with_pid.join(proc, ["pid", "hostname"], "left")
     return out.select(*with_pid.columns, *PROCESS_COLUMNS)

@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # remove checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -56,3 +58,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared folder."""
     return f"{shared_dir(spark)}/wiremap/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut the lineage: write ``df`` to the shared checkpoint folder and read it back.
+
+    Used where one result feeds several branches of a plan (the packet map
+    on both sides of the connection self-join), so it is computed once.
+    Reliable checkpoints survive executor loss, unlike local ones.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
