@@ -23,7 +23,8 @@ from wiremap.operators.upsert import read_keyed, upsert
 from wiremap.plans import graph as G
 from wiremap.plans.connection_map import connection_map
 from wiremap.plans.packet_map import (
-    ip_packet, packet_map, packet_with_host, packet_with_process, pick_process,
+    ip_packet, packet_map, packet_with_host, packet_with_latest_process, packet_with_process,
+    pick_process,
 )
 from wiremap.session import materialize, scratch_path
 from wiremap.sources import fixtures as X
@@ -65,6 +66,14 @@ def q_packet_process_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pick_process(packet_with_process(pk, v.process_network, v.process))
 
 
+def q_packet_process_asof_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest start before each packet, through the bucketed as-of operator."""
+    v = capture_views(spark, sf_dir)
+    pk = packet_with_host(ip_packet(v.network_ip, v.network_packet), v.interfaces)
+    return pick_process(packet_with_latest_process(pk, v.process_network, v.process),
+                        pick="latest")
+
+
 def _packets(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     v = capture_views(spark, sf_dir)
     return packet_map(v.network_ip, v.network_packet, v.interfaces, v.process_network,
@@ -323,6 +332,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "packet_with_host": q_packet_with_host,
         "packet_with_process": q_packet_with_process,
         "packet_process_asof": q_packet_process_asof,
+        "packet_process_asof_latest": q_packet_process_asof_latest,
         "network_map_packet": q_network_map_packet,
         "network_map_connection": q_network_map_connection,
         "network_map_connection_aligned": q_network_map_connection_aligned,
@@ -361,6 +371,7 @@ def oracle_sql() -> dict[str, str]:
         "packet_with_host": O.with_ctes(O.PACKET_CTES, "select * from with_host"),
         "packet_with_process": O.with_ctes(O.PACKET_CTES, "select * from with_proc"),
         "packet_process_asof": O.with_ctes(O.PACKET_CTES, "select * from picked"),
+        "packet_process_asof_latest": O.with_ctes(O.PACKET_CTES, "select * from picked_latest"),
         "network_map_packet": O.with_ctes(O.PACKET_CTES, "select * from g1"),
         "network_map_connection": O.with_ctes(O.CONNECTION_CTES, "select * from g2"),
         "network_map_connection_aligned": O.with_ctes(O.CONNECTION_ALIGNED_CTES,

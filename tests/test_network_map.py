@@ -144,3 +144,16 @@ def test_reduced_plans_equal_naive_plans(spark, seed):
         a = connection_map(fast, align_minutes=aligned)
         b = connection_map(slow, align_minutes=aligned, reduce_first=False)
         assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+
+
+@pytest.mark.parametrize("seed", range(6, 10))
+@pytest.mark.parametrize("keep_unmatched", [False, True])
+def test_latest_asof_equals_naive(spark, seed, keep_unmatched):
+    ips, pkts, links, procs, ifaces = random_inputs(seed)
+    # equal start times with different attributes exercise the tie-break
+    procs = procs + [(p[0], p[1], p[2], 2, 9, "z", "y") for p in procs[:3]]
+    f = frames(spark, ips, pkts, links, procs, ifaces)
+    kw = dict(as_of=AS_OF, pick="latest", keep_unmatched=keep_unmatched)
+    fast = packet_map(*f, **kw)
+    slow = packet_map(*f, reduce_first=False, **kw)
+    assert sorted(map(repr, fast.collect())) == sorted(map(repr, slow.collect()))

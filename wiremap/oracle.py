@@ -70,6 +70,14 @@ picked as (
                                  order by process_started_at) as rn
     from with_proc where process_started_at < created_at)
   where rn = 1),
+picked_latest as (
+  select * from with_proc where process_started_at is null
+  union all
+  select * exclude (rn) from (
+    select *, row_number() over (partition by _id, hostname, pid
+                                 order by process_started_at desc) as rn
+    from with_proc where process_started_at < created_at)
+  where rn = 1),
 g1 as (
   select _id as packet_id, source_hostname, source_host, source_port, source_network,
          interface, created_at, length, pid, ppid, uid, command, full_command,

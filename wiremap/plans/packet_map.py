@@ -25,6 +25,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wiremap.functions.columns import asc_last, desc_last
+from wiremap.operators.asof import DEFAULT_BUCKET_SECONDS, asof_latest
 from wiremap.operators.broadcast import fits
 from wiremap.operators.latest import latest_by_key, total_order
 from wiremap.operators.recent import recent
@@ -98,6 +99,43 @@ def packet_with_process(packets: DataFrame, process_network: DataFrame, process:
     return out.select(*with_pid.columns, *PROCESS_COLUMNS)
 
 
+def packet_with_latest_process(packets: DataFrame, process_network: DataFrame,
+                               process: DataFrame, keep_unmatched: bool = False,
+                               bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                               broadcast_max_rows: int | None = None) -> DataFrame:
+    """Candidates for ``pick="latest"`` without joining every start.
+
+    Each packet row gets the latest start before it through the as-of
+    operator.  Rows are then kept as the full join followed by the pick would
+    keep them: matched rows; rows whose ``(hostname, pid)`` has no process
+    row at all (with nulls); with ``keep_unmatched`` rows whose starts are all
+    later (with nulls); plus one row per null-start process row.
+    """
+    link = process_network.select(F.col("packet_id").alias("_id"), "hostname", "pid")
+    with_pid = packets.join(link, ["_id", "hostname"], "left")
+    start = F.col("started_at")
+    attrs = ["ppid", "uid", "command", "full_command"]
+    proc = process.select("pid", "hostname", "started_at", *attrs)
+    matched = asof_latest(with_pid, proc.filter(start.isNotNull()), ["hostname", "pid"],
+                          "created_at", "started_at", attrs, out="__proc",
+                          bucket_seconds=bucket_seconds, broadcast_max_rows=broadcast_max_rows)
+    flags = proc.groupBy("hostname", "pid").agg(F.count(F.lit(1)).alias("__n_any"),
+                                                F.count(start).alias("__n_start"))
+    if fits(flags, broadcast_max_rows):
+        flags = F.broadcast(flags)
+    m = matched.join(flags, ["hostname", "pid"], "left")
+    keep = F.col("__proc").isNotNull() | F.col("__n_any").isNull()
+    if keep_unmatched:
+        keep = keep | (F.col("__n_start") > 0)
+    found = m.filter(keep).select(
+        *with_pid.columns, *[F.col("__proc").getField(c).alias(c) for c in attrs],
+        F.col("__proc").getField("started_at").alias("process_started_at"))
+    null_start = proc.filter(start.isNull()).withColumnRenamed("started_at", "process_started_at")
+    no_start = with_pid.join(null_start, ["pid", "hostname"], "inner") \
+        .select(*with_pid.columns, *PROCESS_COLUMNS)
+    return found.unionByName(no_start)
+
+
 def pick_process(df: DataFrame, pick: str = "earliest",
                  pick_keys: tuple[str, ...] = ("_id", "hostname", "pid"),
                  keep_unmatched: bool = False) -> DataFrame:
@@ -175,11 +213,15 @@ def packet_map(network_ip: DataFrame, network_packet: DataFrame, interfaces: Dat
 
     pk = ip_packet(window(network_ip, False), window(network_packet, False))
     pk = packet_with_host(pk, window(interfaces, True), broadcast_max_rows)
+    links, procs = window(process_network, False), window(process, True)
+    if reduce_first and pick == "latest":
+        pk = packet_with_latest_process(pk, links, procs, keep_unmatched=keep_unmatched,
+                                        broadcast_max_rows=broadcast_max_rows)
+        return network_map_packet(pick_process(pk, pick=pick, pick_keys=pick_keys), as_of)
     # Exact for the earliest pick whatever the pick keys: per (hostname, pid)
     # an eligible start exists iff the earliest one is eligible, and the
     # minimum over hostnames of those earliest starts is the overall minimum.
-    reduce = reduce_first and pick == "earliest"
-    pk = packet_with_process(pk, window(process_network, False), window(process, True),
-                             reduce_first=reduce, broadcast_max_rows=broadcast_max_rows)
+    pk = packet_with_process(pk, links, procs, reduce_first=reduce_first,
+                             broadcast_max_rows=broadcast_max_rows)
     pk = pick_process(pk, pick=pick, pick_keys=pick_keys, keep_unmatched=keep_unmatched)
     return network_map_packet(pk, as_of)
