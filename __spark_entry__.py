@@ -213,6 +213,11 @@ def q_upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert_two(spark, sf_dir, _EV_KEYS, read_table(spark, sf_dir, "events"))
 
 
+def q_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same upsert as ``upsert_by_key`` on the bucketed, partition-rewriting layout."""
+    return _upsert_two(spark, sf_dir, _EV_KEYS, read_table(spark, sf_dir, "events"), buckets=8)
+
+
 def q_upsert_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "upsert")
     upsert(spark, read_table(spark, sf_dir, "events"), path, _EV_KEYS, order_by="ts")
@@ -352,6 +357,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "edge_report": q_edge_report,
         "packet_detail": q_packet_detail,
         "upsert_by_key": q_upsert_by_key,
+        "upsert_bucketed": q_upsert_bucketed,
         "upsert_first_load": q_upsert_first_load,
         "upsert_null_keys": q_upsert_null_keys,
         "upsert_null_safe": q_upsert_null_safe,
@@ -396,6 +402,7 @@ def oracle_sql() -> dict[str, str]:
             O.PACKET_CTES, "select * from g1 where dtk_inserted_at >= "
             "date_trunc('second', (select max(ts) from events)) - to_seconds(899)"),
         "upsert_by_key": O.UPSERT_BY_KEY,
+        "upsert_bucketed": O.UPSERT_BY_KEY,
         "upsert_first_load": O.UPSERT_FIRST_LOAD,
         "upsert_null_keys": O.UPSERT_NULL_KEYS.format(match="s.k = t.k"),
         "upsert_null_safe": O.UPSERT_NULL_KEYS.format(match="s.k is not distinct from t.k"),

@@ -39,3 +39,8 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
 def mkdirs(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.mkdirs(p)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()

@@ -58,23 +58,22 @@ def refresh(spark: SparkSession, inputs: SilverInputs, gold_path: str, *,
             as_of: Column | dt.datetime | None = None,
             lookback_minutes: int | None = GOLD_LOOKBACK_MINUTES,
             batch_id: int | None = None, align_minutes: bool = False,
-            dim_lookback: bool = True) -> int:
+            dim_lookback: bool = True, buckets: int | None = 64) -> int:
     """One gold refresh; returns the version written to both gold tables."""
     gold_path = gold_path.rstrip("/")
     packets = packet_map(inputs.network_ip, inputs.network_packet, inputs.interfaces,
                          inputs.process_network, inputs.process, as_of=as_of,
                          lookback_minutes=lookback_minutes, dim_lookback=dim_lookback)
     if batch_id is None:
-        from wiremap.operators.upsert import versions
-        vs = versions(spark, f"{gold_path}/{PACKET_TABLE}")
-        batch_id = vs[-1] + 1 if vs else 0
+        batch_id = int(time.time() * 1000)   # monotonic enough for a manual refresh
     stage = f"{gold_path}/_refresh/{batch_id:012d}"
     packets.write.mode("overwrite").parquet(stage)
     pk = spark.read.parquet(stage)
-    upsert(spark, pk, f"{gold_path}/{PACKET_TABLE}", list(PACKET_KEYS), batch_id=batch_id)
+    upsert(spark, pk, f"{gold_path}/{PACKET_TABLE}", list(PACKET_KEYS), batch_id=batch_id,
+           buckets=buckets)
     conn = connection_map(pk, align_minutes=align_minutes)
     upsert(spark, conn, f"{gold_path}/{CONNECTION_TABLE}", list(CONNECTION_KEYS),
-           batch_id=batch_id)
+           batch_id=batch_id, buckets=buckets)
     fs.delete(spark, stage)
     return batch_id
 

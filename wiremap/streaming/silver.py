@@ -29,8 +29,14 @@ def silver_batch(df: DataFrame, spec: TableSpec, hosts: DataFrame | None = None)
     return latest_by_key(df, spec.keys, spec.order_by, spec.tie_break)
 
 
+# Fixed value: default bucket count of keyed silver/gold tables (a batch rewrites
+# only the buckets its keys hash to).
+DEFAULT_BUCKETS = 64
+
+
 def silver_writer(spark: SparkSession, spec: TableSpec, target_path: str,
-                  hosts_loader=None, newest_wins: bool = False, null_safe: bool = False):
+                  hosts_loader=None, newest_wins: bool = False, null_safe: bool = False,
+                  buckets: int | None = DEFAULT_BUCKETS):
     """``foreachBatch`` function for one silver table.
 
     ``hosts_loader()`` returns the host table as it is now (read per batch,
@@ -42,17 +48,18 @@ def silver_writer(spark: SparkSession, spec: TableSpec, target_path: str,
         out = silver_batch(batch_df, spec, hosts)
         upsert(spark, out, target_path, list(spec.keys), batch_id=batch_id,
                order_by=None if spec.distinct_only else spec.order_by,
-               newest_wins=newest_wins and not spec.distinct_only, null_safe=null_safe)
+               newest_wins=newest_wins and not spec.distinct_only, null_safe=null_safe,
+               buckets=buckets)
     return run
 
 
 def start_silver(spark: SparkSession, stream: DataFrame, spec: TableSpec, target_path: str,
                  checkpoint: str, *, hosts_loader=None, newest_wins: bool = False,
                  null_safe: bool = False, available_now: bool = True,
-                 processing_time: str | None = None):
+                 processing_time: str | None = None, buckets: int | None = DEFAULT_BUCKETS):
     writer = (stream.writeStream.outputMode("update")
               .foreachBatch(silver_writer(spark, spec, target_path, hosts_loader,
-                                          newest_wins, null_safe))
+                                          newest_wins, null_safe, buckets))
               .option("checkpointLocation", checkpoint))
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
