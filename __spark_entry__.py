@@ -324,6 +324,25 @@ def q_gold_refresh_connection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return GOLD.read_gold(spark, _gold(spark, sf_dir), GOLD.CONNECTION_TABLE)
 
 
+def q_pipeline_packet_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capture files -> bronze -> silver (spec jobs, struct-address lookups) -> gold packets."""
+    from wiremap.sources.fixtures import raw_capture_tables
+    from wiremap.streaming.pipeline import ensure_layers, start_ingest, start_silver_all
+    root = scratch_path(spark, "lake")
+    ensure_layers(spark, root)
+    raw = raw_capture_tables(spark, sf_dir)
+    for name, df in raw.items():
+        write_capture_files(spark, df, f"{root}/raw/{name}", stamp_col="inserted_at")
+    for q in start_ingest(spark, root, tables=list(raw)).values():
+        q.awaitTermination()
+    for q in start_silver_all(spark, root, tables=list(raw)).values():
+        q.awaitTermination()
+    as_of = read_table(spark, sf_dir, "events").select(F.max("ts")).scalar()
+    GOLD.refresh(spark, GOLD.silver_inputs(spark, f"{root}/silver"), f"{root}/gold",
+                 as_of=as_of, lookback_minutes=None, batch_id=0)
+    return GOLD.read_gold(spark, f"{root}/gold", GOLD.PACKET_TABLE)
+
+
 # ---------------------------------------------------------------- contract
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -368,6 +387,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_latest_upsert": q_stream_latest_upsert,
         "gold_refresh_packet": q_gold_refresh_packet,
         "gold_refresh_connection": q_gold_refresh_connection,
+        "pipeline_packet_map": q_pipeline_packet_map,
     }
 
 
@@ -414,4 +434,5 @@ def oracle_sql() -> dict[str, str]:
         "stream_latest_upsert": O.UPSERT_FIRST_LOAD,
         "gold_refresh_packet": O.with_ctes(O.PACKET_CTES, "select * from g1"),
         "gold_refresh_connection": O.with_ctes(O.CONNECTION_CTES, "select * from g2"),
+        "pipeline_packet_map": O.with_ctes(O.PACKET_CTES, "select * from g1"),
     }

@@ -43,10 +43,16 @@ def report_connections(connections: DataFrame,
 
 
 def edge_summary(connections: DataFrame) -> DataFrame:
-    """Group the (filled) connection map by its two end nodes."""
-    return connections.groupBy(*EDGE_KEY).agg(
+    """Group the (filled) connection map by its two end nodes.
+
+    A plain hash aggregation on (edge, set values) first collapses the rows to
+    their distinct value combinations (fixed-width buffer, map-side combine);
+    the sets are then collected from those few rows.  Same sets, same maximum.
+    """
+    combos = connections.groupBy(*EDGE_KEY, *SET_COLUMNS).agg(F.max("created_at").alias("__last"))
+    return combos.groupBy(*EDGE_KEY).agg(
         *[sorted_set(c).alias(c) for c in SET_COLUMNS],
-        format_time(F.max("created_at")).alias("time"),
+        format_time(F.max("__last")).alias("time"),
     )
 
 
@@ -58,8 +64,8 @@ def with_ids(summary: DataFrame) -> DataFrame:
     })
 
 
-def _node(summary: DataFrame, side: str) -> DataFrame:
-    return summary.select(
+def _node(side: str) -> Column:
+    return F.struct(
         F.col(f"{side}_network").alias("network"),
         F.col(f"{side}_id").alias("_id"),
         F.concat(F.col(f"{side}_host"), F.lit("\n"), F.col(f"{side}_hostname")).alias("label"),
@@ -67,8 +73,13 @@ def _node(summary: DataFrame, side: str) -> DataFrame:
 
 
 def graph_nodes(summary: DataFrame) -> DataFrame:
-    """Both ends of every edge, one row per node."""
-    return _node(summary, "source").unionByName(_node(summary, "destination")).distinct()
+    """Both ends of every edge, one row per node.
+
+    The two ends are unpivoted with ``explode`` in one pass over the summary
+    (a union of two projections would plan the summary twice).
+    """
+    ends = summary.select(F.explode(F.array(_node("source"), _node("destination"))).alias("n"))
+    return ends.select("n.network", "n._id", "n.label").distinct()
 
 
 def graph_edges(summary: DataFrame) -> DataFrame:

@@ -141,3 +141,41 @@ def capture_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamp = F.when(F.col("event_type") == "error", bad).otherwise(stamp)
     return v.ev.select(F.col("event_id"),
                        F.concat("hostname", F.lit("-"), stamp, F.lit(".parquet")).alias("file_name"))
+
+
+def raw_capture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The five raw tables the gold layer needs, shaped as the capture agents write them.
+
+    Hosts are addressed by struct addresses (``10.1.<supplier>/32``); the
+    silver lookups turn them back into host names.  ``hostname`` marks the
+    machine whose file a row goes to (it is parsed back from the file name).
+    """
+    v = capture_views(spark, sf_dir)
+    supplier = read_table(spark, sf_dir, "supplier")
+    ip_of = lambda c: F.named_struct(
+        F.lit("address"), F.concat(F.lit("10.1."), c.cast("string")), F.lit("mask"), F.lit(32))
+    hosts = supplier.select(F.col("s_suppkey").alias("_id"), ip_of(F.col("s_suppkey")).alias("address"),
+                            F.col("s_name").alias("host"),
+                            F.concat(F.lit("m"), F.col("s_suppkey").cast("string")).alias("hostname"),
+                            # file stamp only; the host table's schema has no clock
+                            F.lit("2024-01-01 00:00:00").cast("timestamp").alias("inserted_at"))
+    ifaces = supplier.join(read_table(spark, sf_dir, "nation"),
+                           F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("_id"), ip_of(F.col("s_suppkey")).alias("address"),
+        F.col("n_name").alias("network"),
+        F.concat(F.lit("m"), F.col("s_suppkey").cast("string")).alias("hostname"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("inserted_at"))
+    ev = v.ev
+    ip = ev.select(F.col("event_id").alias("_id"), ip_of(F.col("s")).alias("source_address"),
+                   ip_of(F.col("d")).alias("destination_address"),
+                   (F.lit(1000) + F.col("event_id") % 4).cast("int").alias("source_port"),
+                   (F.lit(1000) + F.floor(F.col("event_id") / 4) % 4).cast("int").alias("destination_port"),
+                   "hostname", F.col("ts").alias("inserted_at"))
+    pk = v.network_packet.select("_id", "length", "created_at", "interface", "hostname",
+                                 F.col("dtk_inserted_at").alias("inserted_at"))
+    link = v.process_network.select("_id", "packet_id", "pid", "hostname",
+                                    F.lit("2024-01-01 00:00:00").cast("timestamp").alias("inserted_at"))
+    proc = v.process.select("pid", "ppid", "uid", "command", "full_command", "started_at",
+                            "hostname", F.col("started_at").alias("inserted_at"))
+    return {"dim_network_host": hosts, "dim_network_interface": ifaces, "fact_network_ip": ip,
+            "fact_network_packet": pk, "fact_process_network": link, "dim_process": proc}
