@@ -84,9 +84,16 @@ def earliest_starts(process: DataFrame) -> DataFrame:
 def packet_with_process(packets: DataFrame, process_network: DataFrame, process: DataFrame,
                         reduce_first: bool = True,
                         broadcast_max_rows: int | None = None) -> DataFrame:
-    """Left-join the packet->pid link, then the process attributes."""
+    """Left-join the packet->pid link, then the process attributes.
+
+    The process table is joined to the link table first (both are keyed by
+    ``(pid, hostname)`` there), and the result meets the packets on
+    ``(_id, hostname)``, the partitioning the packets already have from their
+    first join.  Same rows as joining link then process onto the packets, one
+    shuffle of the packet stream fewer when the process side is too big to
+    broadcast.
+    """
     link = process_network.select(F.col("packet_id").alias("_id"), "hostname", "pid")
-    with_pid = packets.join(link, ["_id", "hostname"], "left")
     proc = process.select("pid", "hostname", "ppid", "uid", "command", "full_command",
                           F.col("started_at").alias("process_started_at"))
     # The size check runs on the unreduced input: a bound on it bounds the reduction.
@@ -95,8 +102,9 @@ def packet_with_process(packets: DataFrame, process_network: DataFrame, process:
         proc = earliest_starts(proc)
     if small:
         proc = F.broadcast(proc)
-    out = with_pid.join(proc, ["pid", "hostname"], "left")
-    return out.select(*with_pid.columns, *PROCESS_COLUMNS)
+    link_proc = link.join(proc, ["pid", "hostname"], "left")
+    out = packets.join(link_proc, ["_id", "hostname"], "left")
+    return out.select(*packets.columns, "pid", *PROCESS_COLUMNS)
 
 
 def packet_with_latest_process(packets: DataFrame, process_network: DataFrame,
