@@ -82,8 +82,29 @@ def key_range(col: str, width: int) -> F.Column:
     return F.floor(F.col(col) / F.lit(width)).cast("long")
 
 
+# Id range width and hash bucket count of the default layouts.
+ID_RANGE = 1 << 20
+HASH_BUCKETS = 64
+
+
+def default_partition(keys: Sequence[str]) -> F.Column:
+    """A partition expression of the key columns that keeps fresh rows together.
+
+    Minute/time keys -> day; capture ids -> id ranges; otherwise hash buckets.
+    """
+    for k in ("created_at", "started_at"):
+        if k in keys:
+            return F.coalesce(F.date_format(F.col(k), "yyyyMMdd").cast("long"), F.lit(-1))
+    for k in ("_id", "packet_id"):
+        if k in keys:
+            return F.coalesce(key_range(k, ID_RANGE), F.lit(-1))
+    return bucket_of(keys, HASH_BUCKETS)
+
+
 def reduce_source(source: DataFrame, keys: Sequence[str], order_by: str | None = None,
                   on_duplicate: str = "first") -> DataFrame:
+    if on_duplicate == "trusted":
+        return source
     if on_duplicate == "error":
         dup = source.groupBy(*keys).count().filter(F.col("count") > 1).limit(1)
         if dup.count():
@@ -116,12 +137,16 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
            batch_id: int | None = None, order_by: str | None = None,
            null_safe: bool = False, newest_wins: bool = False,
            on_duplicate: str = "first", keep: int = 2, buckets: int | None = None,
-           partition: F.Column | None = None) -> int:
+           partition: F.Column | None = None, unique_keys: bool = False) -> int:
     """Upsert ``source`` into the table at ``path``; returns the batch id written.
 
     ``buckets`` or ``partition`` (an expression of the key columns only)
-    selects the partition-rewriting layout.
+    selects the partition-rewriting layout.  ``unique_keys=True`` is the
+    caller's promise that ``source`` already has one row per key (a
+    latest-per-key or group-limited result), which skips the reduction.
     """
+    if unique_keys:
+        on_duplicate = "trusted"
     if buckets or partition is not None:
         part = partition if partition is not None else bucket_of(keys, buckets)
         return _upsert_bucketed(spark, source, path, keys, part=part, batch_id=batch_id,
@@ -143,6 +168,15 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     return batch_id
 
 
+def _clustered(df: DataFrame) -> DataFrame:
+    """Group rows by table partition before writing (few files per partition).
+
+    The ``rebalance`` hint lets AQE split a partition that holds too many rows
+    (say the newest id range) over several tasks and merge small ones.
+    """
+    return df.hint("rebalance", BUCKET)
+
+
 def _upsert_bucketed(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], *,
                      part: F.Column, batch_id: int | None, order_by: str | None,
                      null_safe: bool, newest_wins: bool, on_duplicate: str) -> int:
@@ -154,14 +188,14 @@ def _upsert_bucketed(spark: SparkSession, source: DataFrame, path: str, keys: Se
         return batch_id                      # replay of a committed batch
     src = reduce_source(source, keys, order_by, on_duplicate).withColumn(BUCKET, part)
     if not _is_bucketed(spark, path):
-        src.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        _clustered(src).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
     else:
         target = spark.read.parquet(path)
         touched = src.select(BUCKET).distinct()          # one row per touched partition
         tgt = target.join(F.broadcast(touched), BUCKET, "left_semi")
         merged = merge_frames(tgt, src, keys, null_safe, newest_wins, order_by)
         stage = f"{path}/_staging/{batch_id:012d}"
-        merged.write.mode("overwrite").partitionBy(BUCKET).parquet(stage)
+        _clustered(merged).write.mode("overwrite").partitionBy(BUCKET).parquet(stage)
         (spark.read.parquet(stage).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
         fs.delete(spark, stage)

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from wiremap import fs
-from wiremap.operators.upsert import read_keyed, upsert
+from wiremap.operators.upsert import default_partition, read_keyed, upsert
 from wiremap.plans.connection_map import connection_map
 from wiremap.plans.packet_map import packet_map
 from wiremap.spec import (
@@ -58,7 +58,7 @@ def refresh(spark: SparkSession, inputs: SilverInputs, gold_path: str, *,
             as_of: Column | dt.datetime | None = None,
             lookback_minutes: int | None = GOLD_LOOKBACK_MINUTES,
             batch_id: int | None = None, align_minutes: bool = False,
-            dim_lookback: bool = True, buckets: int | None = 64) -> int:
+            dim_lookback: bool = True, partitioned: bool = True) -> int:
     """One gold refresh; returns the version written to both gold tables."""
     gold_path = gold_path.rstrip("/")
     packets = packet_map(inputs.network_ip, inputs.network_packet, inputs.interfaces,
@@ -69,11 +69,15 @@ def refresh(spark: SparkSession, inputs: SilverInputs, gold_path: str, *,
     stage = f"{gold_path}/_refresh/{batch_id:012d}"
     packets.write.mode("overwrite").parquet(stage)
     pk = spark.read.parquet(stage)
+    # Partitioned layout: packets by packet-id range, connections by day, so a
+    # refresh rewrites only the partitions of the last minutes.
+    part = (lambda keys: default_partition(keys)) if partitioned else (lambda keys: None)
     upsert(spark, pk, f"{gold_path}/{PACKET_TABLE}", list(PACKET_KEYS), batch_id=batch_id,
-           buckets=buckets)
+           partition=part(PACKET_KEYS))
     conn = connection_map(pk, align_minutes=align_minutes)
+    # one row per connection key by construction (group limit in connection_map)
     upsert(spark, conn, f"{gold_path}/{CONNECTION_TABLE}", list(CONNECTION_KEYS),
-           batch_id=batch_id, buckets=buckets)
+           batch_id=batch_id, partition=part(CONNECTION_KEYS), unique_keys=True)
     fs.delete(spark, stage)
     return batch_id
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wiremap.operators.latest import latest_by_key
 from wiremap.operators.lookup import host_by_address, lookup_host
-from wiremap.operators.upsert import upsert
+from wiremap.operators.upsert import default_partition, upsert
 from wiremap.spec import TableSpec
 
 
@@ -29,14 +29,15 @@ def silver_batch(df: DataFrame, spec: TableSpec, hosts: DataFrame | None = None)
     return latest_by_key(df, spec.keys, spec.order_by, spec.tie_break)
 
 
-# Fixed value: default bucket count of keyed silver/gold tables (a batch rewrites
-# only the buckets its keys hash to).
-DEFAULT_BUCKETS = 64
+# Default layout of keyed silver tables: partitioned by a function of the keys
+# (``default_partition``: day of a time key, id range, or hash bucket), so a
+# batch rewrites only the partitions its keys fall in.  ``None`` = snapshots.
+DEFAULT_BUCKETS = "auto"
 
 
 def silver_writer(spark: SparkSession, spec: TableSpec, target_path: str,
                   hosts_loader=None, newest_wins: bool = False, null_safe: bool = False,
-                  buckets: int | None = DEFAULT_BUCKETS):
+                  buckets: int | str | None = DEFAULT_BUCKETS):
     """``foreachBatch`` function for one silver table.
 
     ``hosts_loader()`` returns the host table as it is now (read per batch,
@@ -46,17 +47,20 @@ def silver_writer(spark: SparkSession, spec: TableSpec, target_path: str,
     def run(batch_df: DataFrame, batch_id: int) -> None:
         hosts = hosts_loader() if (hosts_loader and spec.lookups) else None
         out = silver_batch(batch_df, spec, hosts)
+        layout = ({"partition": default_partition(spec.keys)} if buckets == "auto"
+                  else {"buckets": buckets})
         upsert(spark, out, target_path, list(spec.keys), batch_id=batch_id,
                order_by=None if spec.distinct_only else spec.order_by,
                newest_wins=newest_wins and not spec.distinct_only, null_safe=null_safe,
-               buckets=buckets)
+               unique_keys=True, **layout)   # silver_batch left one row per key
     return run
 
 
 def start_silver(spark: SparkSession, stream: DataFrame, spec: TableSpec, target_path: str,
                  checkpoint: str, *, hosts_loader=None, newest_wins: bool = False,
                  null_safe: bool = False, available_now: bool = True,
-                 processing_time: str | None = None, buckets: int | None = DEFAULT_BUCKETS):
+                 processing_time: str | None = None,
+                 buckets: int | str | None = DEFAULT_BUCKETS):
     writer = (stream.writeStream.outputMode("update")
               .foreachBatch(silver_writer(spark, spec, target_path, hosts_loader,
                                           newest_wins, null_safe, buckets))
