@@ -27,15 +27,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from wiremap.operators.broadcast import fits
-
 DEFAULT_BUCKET_SECONDS = 60
 
 
 def asof_latest(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str,
                 right_time: str, right_cols: Sequence[str], out: str = "asof",
-                bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                broadcast_max_rows: int | None = None) -> DataFrame:
+                bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """``left`` plus a struct column ``out`` = ``(right_time, *right_cols)`` of the
     latest right row with equal ``by`` and ``right_time < left_time`` (null if none).
     Null keys and null times never match, as in an equi-join.
@@ -83,9 +80,8 @@ def asof_latest(left: DataFrame, right: DataFrame, by: Sequence[str], left_time:
     carry = (series.withColumn("__carry", F.last("__p", ignorenulls=True).over(carry_w))
              .filter((F.col("__k") == 0) & F.col("__carry").isNotNull())
              .select(*by, "__b", "__carry"))
-    if fits(carry, broadcast_max_rows):
-        carry = F.broadcast(carry)
 
-    # null-safe on the bucket: rows with a null time sit in the null bucket
+    # ``within`` is already hash-partitioned on (by, bucket) by its window, so
+    # this join moves only the carry table (one row per key and bucket).
     joined = within.join(carry, [*by, "__b"], "left")
     return joined.select(*lcols, F.coalesce("__in", "__carry").alias(out))

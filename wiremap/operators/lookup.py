@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from wiremap.operators.broadcast import sized_broadcast
+from wiremap.operators.broadcast import fits
 
 
 def host_by_address(hosts: DataFrame) -> DataFrame:
@@ -20,15 +20,20 @@ def host_by_address(hosts: DataFrame) -> DataFrame:
 
 
 def lookup_host(df: DataFrame, hosts: DataFrame, address_col: str, out_col: str,
-                reduced: DataFrame | None = None) -> DataFrame:
+                reduced: DataFrame | None = None, small: bool | None = None) -> DataFrame:
     """Left-join ``hosts`` on ``df[address_col] == hosts.address``; adds ``out_col``.
 
-    ``reduced`` lets callers that look up several columns reuse one reduced table.
+    ``reduced`` and ``small`` let callers that look up several columns reuse
+    one reduced table and one size check.  The check counts the raw host rows,
+    an upper bound of the reduced table.
     """
     dim = host_by_address(hosts) if reduced is None else reduced
+    if small is None:
+        small = fits(hosts.select("address"))
     dim = dim.select(F.col("address").alias("__addr"), F.col("host").alias(out_col))
-    joined = df.join(sized_broadcast(dim), df[address_col] == F.col("__addr"), "left")
-    return joined.drop("__addr")
+    if small:
+        dim = F.broadcast(dim)
+    return df.join(dim, df[address_col] == F.col("__addr"), "left").drop("__addr")
 
 
 def struct_field(df: DataFrame, struct_col: str, field: str, out_col: str | None = None) -> DataFrame:

@@ -124,12 +124,13 @@ def packet_with_latest_process(packets: DataFrame, process_network: DataFrame,
     start = F.col("started_at")
     attrs = ["ppid", "uid", "command", "full_command"]
     proc = process.select("pid", "hostname", "started_at", *attrs)
+    small = fits(proc, broadcast_max_rows)     # bounds the flags and null-start rows too
     matched = asof_latest(with_pid, proc.filter(start.isNotNull()), ["hostname", "pid"],
                           "created_at", "started_at", attrs, out="__proc",
-                          bucket_seconds=bucket_seconds, broadcast_max_rows=broadcast_max_rows)
+                          bucket_seconds=bucket_seconds)
     flags = proc.groupBy("hostname", "pid").agg(F.count(F.lit(1)).alias("__n_any"),
                                                 F.count(start).alias("__n_start"))
-    if fits(flags, broadcast_max_rows):
+    if small:
         flags = F.broadcast(flags)
     m = matched.join(flags, ["hostname", "pid"], "left")
     keep = F.col("__proc").isNotNull() | F.col("__n_any").isNull()
@@ -139,6 +140,8 @@ def packet_with_latest_process(packets: DataFrame, process_network: DataFrame,
         *with_pid.columns, *[F.col("__proc").getField(c).alias(c) for c in attrs],
         F.col("__proc").getField("started_at").alias("process_started_at"))
     null_start = proc.filter(start.isNull()).withColumnRenamed("started_at", "process_started_at")
+    if small:
+        null_start = F.broadcast(null_start)
     no_start = with_pid.join(null_start, ["pid", "hostname"], "inner") \
         .select(*with_pid.columns, *PROCESS_COLUMNS)
     return found.unionByName(no_start)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wiremap.operators.broadcast import fits
 from wiremap.operators.latest import latest_by_key
 from wiremap.operators.lookup import host_by_address, lookup_host
 from wiremap.operators.upsert import default_partition, upsert
@@ -22,8 +23,9 @@ def silver_batch(df: DataFrame, spec: TableSpec, hosts: DataFrame | None = None)
         if hosts is None:
             raise ValueError(f"{spec.target} needs the host table for its lookups")
         reduced = host_by_address(hosts)
+        small = fits(hosts.select("address"))
         for address_col, out_col in spec.lookups:
-            df = lookup_host(df, hosts, address_col, out_col, reduced=reduced)
+            df = lookup_host(df, hosts, address_col, out_col, reduced=reduced, small=small)
     if spec.mask_from:
         df = df.withColumn("mask", F.col(spec.mask_from).getField("mask"))
     return latest_by_key(df, spec.keys, spec.order_by, spec.tie_break)
