@@ -123,3 +123,16 @@ def test_gold_refresh_under_a_trigger(spark, tmp_path):
     pk = G.read_gold(spark, str(tmp_path / "gold"), G.PACKET_TABLE)
     assert pk.count() == 805
     assert pk.groupBy("packet_id", "source_hostname").count().filter("count > 1").count() == 0
+
+
+def test_inferred_schema_and_keyed_dedupe_across_files(spark, tmp_path):
+    """Copies of a key in two files: per-batch distinct keeps both, the
+    watermark dedupe on business keys keeps one."""
+    ev = _events(spark).withColumn("hostname", F.lit("m0"))
+    write_capture_files_in_order(spark, [ev, ev], f"{tmp_path}/raw")
+    for name, kw, expected in (("plain", {}, 2), ("keyed", {"dedupe_keys": ["event_id"],
+                                                          "watermark": ("ts", "1 hour")}, 1)):
+        start_bronze(spark, f"{tmp_path}/raw", f"{tmp_path}/{name}", f"{tmp_path}/chk_{name}",
+                     max_files_per_trigger=1, **kw).awaitTermination()
+        out = read_bronze(spark, f"{tmp_path}/{name}")
+        assert out.count() == expected * ev.count(), name

@@ -62,14 +62,12 @@ def raw_stream(spark: SparkSession, path: str, schema: T.StructType | None = Non
                max_files_per_trigger: int | None = None) -> DataFrame:
     """Parquet folder as an unbounded table.
 
-    An explicit schema is the default; without one the schema is inferred
-    from the files present when the query starts.
+    An explicit schema is the default; without one the schema is taken from
+    the files present when the query starts (parquet footers only).
     """
-    reader = spark.readStream.format("parquet")
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", "true")
+    if schema is None:
+        schema = spark.read.parquet(path).schema
+    reader = spark.readStream.format("parquet").schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path)

@@ -29,11 +29,16 @@ def write_capture_files(spark: SparkSession, df: DataFrame, landing: str,
     for host, t0 in sorted((r[0], r[1]) for r in first):
         part_dir = f"{staging}/{host_col}={host}"
         parts = sorted(n for n in fs.list_names(spark, part_dir) if n.endswith(".parquet"))
-        t0 = t0 or dt.datetime(1970, 1, 1)
-        for i, part in enumerate(parts):
-            name = f"{host}-{(t0 + dt.timedelta(seconds=i)):%Y%m%d%H%M%S}.parquet"
-            fs.rename(spark, f"{part_dir}/{part}", f"{landing}/{name}")
+        stamp = t0 or dt.datetime(1970, 1, 1)
+        for part in parts:
+            # one file per stamp: move on a second while the name is taken
+            while fs.exists(spark, f"{landing}/{host}-{stamp:%Y%m%d%H%M%S}.parquet"):
+                stamp += dt.timedelta(seconds=1)
+            name = f"{host}-{stamp:%Y%m%d%H%M%S}.parquet"
+            if not fs.rename(spark, f"{part_dir}/{part}", f"{landing}/{name}"):
+                raise OSError(f"could not move {part} to {landing}/{name}")
             written.append(name)
+            stamp += dt.timedelta(seconds=1)
     fs.delete(spark, staging)
     return written
 

@@ -30,9 +30,24 @@ def bronze_batch_writer(bronze_path: str, distinct: bool = True):
 def start_bronze(spark: SparkSession, raw_path: str, bronze_path: str, checkpoint: str, *,
                  schema: T.StructType | None = None, max_files_per_trigger: int | None = None,
                  inserted_at: Column | None = None, available_now: bool = True,
-                 processing_time: str | None = None, distinct: bool = True) -> StreamingQuery:
+                 processing_time: str | None = None, distinct: bool = True,
+                 dedupe_keys: list[str] | None = None,
+                 watermark: tuple[str, str] | None = None) -> StreamingQuery:
+    """Start the raw -> bronze stream of one table.
+
+    ``dedupe_keys`` with ``watermark=(event time column, delay)`` switches from
+    the per-batch full-row distinct to ``dropDuplicatesWithinWatermark`` on
+    business keys: copies of a key arriving in different files or batches
+    within the delay are dropped too, with state bounded by the watermark.
+    """
     stream = add_file_provenance(raw_stream(spark, raw_path, schema, max_files_per_trigger),
                                  inserted_at=inserted_at)
+    if dedupe_keys:
+        if not watermark:
+            raise ValueError("dedupe_keys needs watermark=(event time column, delay)")
+        stream = (stream.withWatermark(*watermark)
+                  .dropDuplicatesWithinWatermark(list(dedupe_keys)))
+        distinct = False
     writer = (stream.writeStream.foreachBatch(bronze_batch_writer(bronze_path, distinct))
               .option("checkpointLocation", checkpoint))
     if processing_time:
