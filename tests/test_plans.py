@@ -33,3 +33,26 @@ def test_lookback_pushed_and_columns_pruned(spark):
     p = plan(df)
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in p
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in p
+
+
+def test_packets_keep_partitioning_after_first_join(spark):
+    """Static broadcasting off: only size-checked dimensions are broadcast.
+
+    The packet stream is hash-partitioned on (_id, hostname) by its first join
+    (both sides) and the process-link join then shuffles only the link side:
+    three exchanges on _id, none on (pid, hostname), none below the as-of window.
+    """
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = entry.queries()["network_map_packet"](spark, SF_SMALL)
+        p = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    ids = [l for l in p.splitlines() if "Exchange hashpartitioning(_id" in l]
+    assert len(ids) == 3, ids
+    assert "hashpartitioning(pid" not in p
+    lines = p.splitlines()
+    w = next(i for i, l in enumerate(lines) if "Window [row_number() windowspecdefinition(_id" in l)
+    below = "\n".join(lines[w + 1:w + 4])
+    assert "Exchange" not in below, below

@@ -39,6 +39,8 @@ def _machine(c: Column, n: Column) -> Column:
 
 
 def capture_views(spark: SparkSession, sf_dir: str) -> CaptureViews:
+    # The driver tables hold UTC wall-clock times; minute/hour folding is defined in UTC.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = read_table(spark, sf_dir, "events")
     supplier = read_table(spark, sf_dir, "supplier")
     nation = read_table(spark, sf_dir, "nation")
