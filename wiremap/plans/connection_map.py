@@ -80,11 +80,22 @@ _KEY = ["created_at", "source_network", "source_host", "source_port",
         "destination_host", "destination_port", "destination_network"]
 
 
-def _first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Best row per ``keys`` by ``order`` (keys left out of the sort: they are constant)."""
+def _first(df: DataFrame, keys: list[str], order: list[str],
+           map_side_limit: bool = True) -> DataFrame:
+    """Best row per ``keys`` by ``order`` (keys left out of the sort: they are constant).
+
+    ``rn = 1`` lets Catalyst add a partial group limit before the shuffle,
+    which cuts a hot group map-side.  Where rows of one group arrive from
+    different upstream partitions anyway (the pairs of the self-join, grouped
+    across machines) that partial limit only sorts the whole input for
+    nothing; ``map_side_limit=False`` writes the same filter as ``rn - 1 = 0``,
+    which Catalyst does not turn into a group limit.
+    """
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last()
                                             for c in order if c not in keys])
-    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    rn = F.col("__rn")
+    keep = (rn == 1) if map_side_limit else ((rn - 1) == 0)
+    return df.withColumn("__rn", F.row_number().over(w)).filter(keep).drop("__rn")
 
 
 def connection_map(packets: DataFrame, align_minutes: bool = False,
@@ -112,5 +123,5 @@ def connection_map(packets: DataFrame, align_minutes: bool = False,
         cond.append(a["created_at_minute"] == b["__b_minute"])
     pairs = a.join(b, cond, "inner").withColumnRenamed("created_at_minute", "created_at")
 
-    best = _first(pairs, _KEY, _A_ORDER + _B_ORDER)
+    best = _first(pairs, _KEY, _A_ORDER + _B_ORDER, map_side_limit=False)
     return best.select(*CONNECTION_COLUMNS)
