@@ -157,3 +157,23 @@ def test_latest_asof_equals_naive(spark, seed, keep_unmatched):
     fast = packet_map(*f, **kw)
     slow = packet_map(*f, reduce_first=False, **kw)
     assert sorted(map(repr, fast.collect())) == sorted(map(repr, slow.collect()))
+
+
+def test_lookback_on_facts_and_dimensions(spark):
+    """Facts and (by default) dimensions older than the look-back drop out."""
+    ips, pkts, links = one_packet()
+    procs = [proc(T - dt.timedelta(minutes=1))]
+    f = list(frames(spark, ips, pkts, links, procs))
+    from pyspark.sql import functions as F
+    fresh, stale = F.lit(AS_OF - dt.timedelta(minutes=5)), F.lit(AS_OF - dt.timedelta(minutes=30))
+    f = [df.withColumn("dtk_inserted_at", fresh) for df in f]
+    kw = dict(as_of=AS_OF, lookback_minutes=10)
+    assert packet_map(*f, **kw).count() == 1
+    old_ip = f[0].withColumn("dtk_inserted_at", stale)
+    assert packet_map(old_ip, *f[1:], **kw).count() == 0
+    old_proc = f[4].withColumn("dtk_inserted_at", stale)
+    # a stale process row is invisible: the packet stays, without its process
+    out = packet_map(*f[:4], old_proc, **kw).collect()
+    assert len(out) == 1 and out[0].command is None
+    out = packet_map(*f[:4], old_proc, dim_lookback=False, **kw).collect()
+    assert out[0].command == "c"
