@@ -312,7 +312,9 @@ def _gold(spark: SparkSession, sf_dir: str) -> str:
     inputs = GOLD.SilverInputs(v.network_ip, v.network_packet, v.interfaces,
                                v.process_network, v.process)
     path = scratch_path(spark, "gold")
-    GOLD.refresh(spark, inputs, path, as_of=v.as_of, lookback_minutes=None, batch_id=0)
+    # A backfill of the whole month into a fresh gold folder: daily partitions.
+    GOLD.refresh(spark, inputs, path, as_of=v.as_of, lookback_minutes=None, batch_id=0,
+                 time_grain="yyyyMMdd")
     return path
 
 

@@ -87,14 +87,15 @@ ID_RANGE = 1 << 20
 HASH_BUCKETS = 64
 
 
-def default_partition(keys: Sequence[str]) -> F.Column:
+def default_partition(keys: Sequence[str], time_grain: str = "yyyyMMddHH") -> F.Column:
     """A partition expression of the key columns that keeps fresh rows together.
 
-    Minute/time keys -> day; capture ids -> id ranges; otherwise hash buckets.
+    Time keys -> hour (a 10-minute refresh rewrites at most two hours);
+    capture ids -> id ranges; otherwise hash buckets.
     """
     for k in ("created_at", "started_at"):
         if k in keys:
-            return F.coalesce(F.date_format(F.col(k), "yyyyMMdd").cast("long"), F.lit(-1))
+            return F.coalesce(F.date_format(F.col(k), time_grain).cast("long"), F.lit(-1))
     for k in ("_id", "packet_id"):
         if k in keys:
             return F.coalesce(key_range(k, ID_RANGE), F.lit(-1))
