@@ -60,12 +60,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/wiremap/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df):
-    """Cut the lineage: write ``df`` to the shared checkpoint folder and read it back.
+def materialize(df, name: str = "materialized"):
+    """Cut the lineage: write ``df`` as parquet under the shared folder, read it back.
 
     Used where one result feeds several branches of a plan (the packet map
-    on both sides of the connection self-join), so it is computed once.
-    Reliable checkpoints survive executor loss, unlike local ones.
+    on both sides of the connection self-join), so it is computed once.  A
+    written table survives executor loss (unlike a local checkpoint), is
+    columnar, so each branch reads only its columns, and gives the planner
+    real sizes.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
