@@ -52,5 +52,5 @@ def write_capture_files_in_order(spark: SparkSession, batches: list[DataFrame],
     """
     for i, df in enumerate(batches):
         if i:
-            time.sleep(1.1)
+            time.sleep(0.1)   # file sources order by millisecond mtimes
         write_capture_files(spark, df, landing, host_col, stamp_col)
