@@ -82,3 +82,11 @@ def test_set_label_and_ids(spark):
     one = spark.range(1).select(stable_id(F.lit("x"), F.lit("y")).alias("i")).collect()[0].i
     two = spark.range(1).select(stable_id(F.lit("x"), F.lit("y")).alias("i")).collect()[0].i
     assert one == two and len(one) == 32
+
+
+def test_sizing_conf_scales_with_input():
+    from wiremap.session import sizing_conf
+    small, big = sizing_conf(10 << 20), sizing_conf(100 << 40)
+    assert int(small["spark.sql.shuffle.partitions"]) == 8
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(sizing_conf(64 << 30)["spark.sql.shuffle.partitions"]) == 512

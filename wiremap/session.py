@@ -73,3 +73,22 @@ def materialize(df, name: str = "materialized"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def sizing_conf(input_bytes: int, target_partition_bytes: int = 128 << 20,
+                max_partitions: int = 200_000) -> dict[str, str]:
+    """Shuffle and scan sizing for an input of ``input_bytes`` (compressed parquet).
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input so no task has to spill much; AQE then merges small ones to the
+    advisory size and splits skewed ones.  Apply with ``spark.conf.set`` before
+    the job (these are runtime SQL settings).
+    """
+    parts = max(8, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
