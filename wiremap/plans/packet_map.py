@@ -3,15 +3,18 @@
     network_ip --(_id, hostname)-- network_packet          ip_packet        (inner)
       --(source_host, hostname)-- interface                packet_with_host (inner)
       --(destination_host)------- interface                                 (inner)
-      --(_id=packet_id, hostname)-- process_network        packet_with_process (left)
-      --(pid, hostname)---------- process                                   (left)
+      --(_id=packet_id, hostname)-- [process_network       packet_with_process (left)
+           --(pid, hostname)-- process]                    (left, joined first)
       as-of pick: earliest start before the packet         pick_process
+      (latest start: time-bucketed as-of join)             packet_with_latest_process
       19-column projection                                 network_map_packet
 
 Plan notes
 * Both interface joins read one size-checked broadcast of the interface table,
   so the packet stream keeps its ``(_id, hostname)`` hash partitioning from the
-  first join; the process-link join and the as-of window reuse it (no shuffle).
+  first join; the process attributes are joined onto the link table first, so
+  the link join and the as-of window reuse that partitioning (the packets are
+  not shuffled again).
 * ``earliest_starts`` cuts the process table to its earliest non-null start per
   ``(hostname, pid)`` (plus all null-start rows) before the join.  An earlier
   start than the packet exists iff the overall earliest one is earlier, so the
