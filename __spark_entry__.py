@@ -74,6 +74,22 @@ def q_packet_process_asof_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pick="latest")
 
 
+def _picked(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    v = capture_views(spark, sf_dir)
+    pk = packet_with_host(ip_packet(v.network_ip, v.network_packet), v.interfaces)
+    return pick_process(packet_with_process(pk, v.process_network, v.process), **kw)
+
+
+def q_packet_process_asof_keep_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets whose process starts are all later are kept once, process cleared."""
+    return _picked(spark, sf_dir, keep_unmatched=True)
+
+
+def q_packet_process_asof_original_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline's original pick partition ``(_id, pid)`` (without the hostname)."""
+    return _picked(spark, sf_dir, pick_keys=("_id", "pid"))
+
+
 def _packets(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     v = capture_views(spark, sf_dir)
     return packet_map(v.network_ip, v.network_packet, v.interfaces, v.process_network,
@@ -359,6 +375,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "packet_with_process": q_packet_with_process,
         "packet_process_asof": q_packet_process_asof,
         "packet_process_asof_latest": q_packet_process_asof_latest,
+        "packet_process_asof_keep_unmatched": q_packet_process_asof_keep_unmatched,
+        "packet_process_asof_original_keys": q_packet_process_asof_original_keys,
         "network_map_packet": q_network_map_packet,
         "network_map_connection": q_network_map_connection,
         "network_map_connection_aligned": q_network_map_connection_aligned,
@@ -400,6 +418,10 @@ def oracle_sql() -> dict[str, str]:
         "packet_with_process": O.with_ctes(O.PACKET_CTES, "select * from with_proc"),
         "packet_process_asof": O.with_ctes(O.PACKET_CTES, "select * from picked"),
         "packet_process_asof_latest": O.with_ctes(O.PACKET_CTES, "select * from picked_latest"),
+        "packet_process_asof_keep_unmatched": O.with_ctes(
+            O.PACKET_CTES, "select * from picked_keep_unmatched"),
+        "packet_process_asof_original_keys": O.with_ctes(
+            O.PACKET_CTES, "select * from picked_original_keys"),
         "network_map_packet": O.with_ctes(O.PACKET_CTES, "select * from g1"),
         "network_map_connection": O.with_ctes(O.CONNECTION_CTES, "select * from g2"),
         "network_map_connection_aligned": O.with_ctes(O.CONNECTION_ALIGNED_CTES,

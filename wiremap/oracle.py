@@ -78,6 +78,31 @@ picked_latest as (
                                  order by process_started_at desc) as rn
     from with_proc where process_started_at < created_at)
   where rn = 1),
+picked_original_keys as (
+  select * from with_proc where process_started_at is null
+  union all
+  select * exclude (rn) from (
+    select *, row_number() over (partition by _id, pid
+                                 order by process_started_at) as rn
+    from with_proc where process_started_at < created_at)
+  where rn = 1),
+only_later as (
+  select _id, hostname, source_host, source_port, destination_host, destination_port,
+         length, created_at, interface, source_network, source_hostname,
+         destination_network, destination_hostname, pid,
+         cast(null as bigint) as ppid, cast(null as bigint) as uid,
+         cast(null as varchar) as command, cast(null as varchar) as full_command,
+         cast(null as timestamp) as process_started_at
+  from with_proc
+  where process_started_at is not null
+  group by _id, hostname, source_host, source_port, destination_host, destination_port,
+           length, created_at, interface, source_network, source_hostname,
+           destination_network, destination_hostname, pid
+  having max(case when process_started_at < created_at then 1 else 0 end) = 0),
+picked_keep_unmatched as (
+  select * from picked
+  union all
+  select * from only_later),
 g1 as (
   select _id as packet_id, source_hostname, source_host, source_port, source_network,
          interface, created_at, length, pid, ppid, uid, command, full_command,
