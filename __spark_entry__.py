@@ -100,6 +100,11 @@ def q_network_map_packet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _packets(spark, sf_dir)
 
 
+def q_network_map_packet_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold packet map over the last 7 days of ingest time (facts only)."""
+    return _packets(spark, sf_dir, lookback_minutes=7 * 24 * 60, dim_lookback=False)
+
+
 def q_network_map_connection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return connection_map(materialize(_packets(spark, sf_dir)))
 
@@ -378,6 +383,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "packet_process_asof_keep_unmatched": q_packet_process_asof_keep_unmatched,
         "packet_process_asof_original_keys": q_packet_process_asof_original_keys,
         "network_map_packet": q_network_map_packet,
+        "network_map_packet_recent": q_network_map_packet_recent,
         "network_map_connection": q_network_map_connection,
         "network_map_connection_aligned": q_network_map_connection_aligned,
         "latest_by_key": q_latest_by_key,
@@ -423,6 +429,8 @@ def oracle_sql() -> dict[str, str]:
         "packet_process_asof_original_keys": O.with_ctes(
             O.PACKET_CTES, "select * from picked_original_keys"),
         "network_map_packet": O.with_ctes(O.PACKET_CTES, "select * from g1"),
+        "network_map_packet_recent": O.with_ctes(O.packet_ctes_recent(7 * 24 * 60),
+                                                 "select * from g1"),
         "network_map_connection": O.with_ctes(O.CONNECTION_CTES, "select * from g2"),
         "network_map_connection_aligned": O.with_ctes(O.CONNECTION_ALIGNED_CTES,
                                                       "select * from g2"),

@@ -33,7 +33,8 @@ network_packet as (
          event_type as interface, ts as dtk_inserted_at
   from ev),
 process_network as (
-  select event_id as _id, event_id as packet_id, hostname, user_id % 5 as pid
+  select event_id as _id, event_id as packet_id, hostname, user_id % 5 as pid,
+         ts as dtk_inserted_at
   from ev where event_id % 3 <> 0),
 process as (
   select event_id % 5 as pid, hostname, ts as started_at, cast(1 as bigint) as ppid,
@@ -314,3 +315,21 @@ where not exists (select 1 from s where {match} and s.event_type = t.event_type)
 union all
 select * from s
 """
+
+
+# The packet map with the ingest look-back on the three fact tables (dimensions
+# kept whole): the same chain reading windowed copies of the facts.
+_CUTOFF = "date_trunc('second', (select max(ts) from events)) - to_seconds({secs})"
+_WINDOWED = """,
+network_ip_w as (select * from network_ip where dtk_inserted_at >= {cut}),
+network_packet_w as (select * from network_packet where dtk_inserted_at >= {cut}),
+process_network_w as (select * from process_network where dtk_inserted_at >= {cut})"""
+
+
+def packet_ctes_recent(minutes: int) -> str:
+    cut = _CUTOFF.format(secs=minutes * 60 - 1)
+    rest = PACKET_CTES[len(CAPTURE_CTES):]
+    rest = (rest.replace("from network_ip i join network_packet p",
+                         "from network_ip_w i join network_packet_w p")
+            .replace("left join process_network l", "left join process_network_w l"))
+    return CAPTURE_CTES + _WINDOWED.format(cut=cut) + rest

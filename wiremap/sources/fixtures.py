@@ -83,7 +83,7 @@ def capture_views(spark: SparkSession, sf_dir: str) -> CaptureViews:
 
     process_network = ev.filter(F.col("event_id") % 3 != 0).select(
         F.col("event_id").alias("_id"), F.col("event_id").alias("packet_id"), "hostname",
-        (F.col("user_id") % 5).alias("pid"),
+        (F.col("user_id") % 5).alias("pid"), ts.alias("dtk_inserted_at"),
     )
 
     pid = F.col("event_id") % 5
