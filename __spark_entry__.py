@@ -366,6 +366,23 @@ def q_pipeline_packet_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return GOLD.read_gold(spark, f"{root}/gold", GOLD.PACKET_TABLE)
 
 
+def q_late_host_reenrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver ip rows built while half the hosts were missing, then re-enriched."""
+    from wiremap.operators.upsert import default_partition
+    from wiremap.sources.fixtures import raw_capture_tables
+    from wiremap.streaming.pipeline import reenrich_table
+    raw = raw_capture_tables(spark, sf_dir)
+    hosts, ip = raw["dim_network_host"], raw["fact_network_ip"]
+    spec = SPECS_BY_SOURCE["fact_network_ip"]
+    path = scratch_path(spark, "silver_ip")
+    early = silver_batch(ip, spec, hosts.filter(F.col("_id") % 2 == 0))
+    upsert(spark, early, path, list(spec.keys), batch_id=0, order_by=spec.order_by,
+           partition=default_partition(spec.keys), unique_keys=True)
+    out = reenrich_table(spark, path, spec, hosts)
+    return out.select("_id", "hostname", "source_host", "source_port", "destination_host",
+                      "destination_port")
+
+
 # ---------------------------------------------------------------- contract
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -414,6 +431,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_refresh_packet": q_gold_refresh_packet,
         "gold_refresh_connection": q_gold_refresh_connection,
         "pipeline_packet_map": q_pipeline_packet_map,
+        "late_host_reenrich": q_late_host_reenrich,
     }
 
 
@@ -467,4 +485,7 @@ def oracle_sql() -> dict[str, str]:
         "gold_refresh_packet": O.with_ctes(O.PACKET_CTES, "select * from g1"),
         "gold_refresh_connection": O.with_ctes(O.CONNECTION_CTES, "select * from g2"),
         "pipeline_packet_map": O.with_ctes(O.PACKET_CTES, "select * from g1"),
+        "late_host_reenrich": O.with_ctes(
+            O.CAPTURE_CTES, "select _id, hostname, source_host, source_port, destination_host, "
+            "destination_port from network_ip"),
     }
