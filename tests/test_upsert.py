@@ -137,3 +137,10 @@ def test_key_range_partitions_keep_new_ids_together(spark, tmp_path):
     assert all(before[b] == after[b] for b in before)        # old ranges untouched
     assert set(after) - set(before) == {"__bucket=3"}
     assert read_keyed(spark, p).count() == 32
+
+
+def test_empty_batch_is_a_noop(spark, tmp_path):
+    p = str(tmp_path / "e")
+    upsert(spark, _df(spark, [(1, "a", T0)]), p, ["k"], batch_id=0, buckets=4)
+    upsert(spark, _df(spark, []), p, ["k"], batch_id=1, buckets=4)
+    assert [(r.k, r.v) for r in read_keyed(spark, p).collect()] == [(1, "a")]

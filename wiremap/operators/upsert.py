@@ -197,7 +197,8 @@ def _upsert_bucketed(spark: SparkSession, source: DataFrame, path: str, keys: Se
         merged = merge_frames(tgt, src, keys, null_safe, newest_wins, order_by)
         stage = f"{path}/_staging/{batch_id:012d}"
         _clustered(merged).write.mode("overwrite").partitionBy(BUCKET).parquet(stage)
-        (spark.read.parquet(stage).write.mode("overwrite")
+        # explicit schema: an empty batch stages no files and then replaces nothing
+        (spark.read.schema(merged.schema).parquet(stage).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
         fs.delete(spark, stage)
     fs.touch(spark, f"{marks}/{batch_id:012d}")
