@@ -144,3 +144,10 @@ def test_empty_batch_is_a_noop(spark, tmp_path):
     upsert(spark, _df(spark, [(1, "a", T0)]), p, ["k"], batch_id=0, buckets=4)
     upsert(spark, _df(spark, []), p, ["k"], batch_id=1, buckets=4)
     assert [(r.k, r.v) for r in read_keyed(spark, p).collect()] == [(1, "a")]
+
+
+def test_empty_batch_snapshot_layout(spark, tmp_path):
+    p = str(tmp_path / "s")
+    upsert(spark, _df(spark, [(1, "a", T0)]), p, ["k"], batch_id=0)
+    upsert(spark, _df(spark, []), p, ["k"], batch_id=1)
+    assert [(r.k, r.v) for r in read_keyed(spark, p).collect()] == [(1, "a")]
