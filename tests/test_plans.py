@@ -56,3 +56,12 @@ def test_packets_keep_partitioning_after_first_join(spark):
     w = next(i for i, l in enumerate(lines) if "Window [row_number() windowspecdefinition(_id" in l)
     below = "\n".join(lines[w + 1:w + 4])
     assert "Exchange" not in below, below
+
+
+def test_connection_map_group_limits(spark):
+    """Both side reductions keep partial+final group limits (hot endpoints are
+    cut map-side); the final pick has none (its groups span join partitions)."""
+    df = entry.queries()["network_map_connection"](spark, SF_SMALL)
+    p = plan(df)
+    assert p.count("WindowGroupLimit") == 4
+    assert "CartesianProduct" not in p
