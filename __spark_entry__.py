@@ -3,7 +3,10 @@
 Every query reads the driver tables under ``sf_dir`` (or data Spark derives
 from them) in full.  Capture-shaped inputs come from
 ``wiremap.sources.fixtures.capture_views``; the matching DuckDB CTEs live in
-``wiremap.oracle``.
+``wiremap.oracle``.  Every query has oracle SQL except ``src_file_meta``,
+whose file sizes and ingest times are specific to the run (rows-only check).
+Queries that write (streams, upserts, refreshes) use fresh folders below
+``spark.checkpoint.dir`` and return what they wrote, read back.
 """
 
 from __future__ import annotations
