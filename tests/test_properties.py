@@ -33,3 +33,25 @@ def test_latest_by_key_matches_reference(spark, rows):
     got = sorted((r.k, None if r.inserted_at is None else int((r.inserted_at - T0).total_seconds()),
                   r.v) for r in latest_by_key(df, ["k"]).collect())
     assert got == reference(rows)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 20), st.integers(0, 5)),
+                     min_size=2, max_size=20, unique_by=lambda r: (r[0], r[1])),
+       cut=st.integers(1, 19))
+def test_newest_wins_order_independent(spark, tmp_path_factory, rows, cut):
+    from wiremap.operators.upsert import read_keyed, upsert
+    data = [(k, T0 + dt.timedelta(seconds=t), v) for k, t, v in rows]
+    cut = min(cut, len(data) - 1)
+    first = spark.createDataFrame(data[:cut], "k int, inserted_at timestamp, v int")
+    second = spark.createDataFrame(data[cut:], "k int, inserted_at timestamp, v int")
+    out = []
+    for a, b in ((first, second), (second, first)):
+        p = str(tmp_path_factory.mktemp("nw"))
+        upsert(spark, a, p, ["k"], batch_id=0, order_by="inserted_at", newest_wins=True)
+        upsert(spark, b, p, ["k"], batch_id=1, order_by="inserted_at", newest_wins=True)
+        out.append(sorted(map(tuple, read_keyed(spark, p).collect())))
+    assert out[0] == out[1]
+    assert out[0] == sorted(tuple(r) for r in spark.createDataFrame(
+        data, "k int, inserted_at timestamp, v int").collect()
+        if r.inserted_at == max(x[1] for x in data if x[0] == r.k))
