@@ -55,3 +55,26 @@ def test_newest_wins_order_independent(spark, tmp_path_factory, rows, cut):
     assert out[0] == sorted(tuple(r) for r in spark.createDataFrame(
         data, "k int, inserted_at timestamp, v int").collect()
         if r.inserted_at == max(x[1] for x in data if x[0] == r.k))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(left=st.lists(st.tuples(st.integers(0, 2), st.one_of(st.none(), st.integers(0, 300))),
+                     min_size=1, max_size=15),
+       right=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 300), st.integers(0, 3)),
+                      max_size=15),
+       width=st.sampled_from([1, 30, 600]))
+def test_asof_matches_brute_force(spark, left, right, width):
+    from wiremap.operators.asof import asof_latest
+    ldf = spark.createDataFrame(
+        [(i, k, None if t is None else T0 + dt.timedelta(seconds=t)) for i, (k, t) in enumerate(left)],
+        "id int, k int, t timestamp")
+    rdf = spark.createDataFrame([(k, T0 + dt.timedelta(seconds=t), v) for k, t, v in right],
+                                "k int, rt timestamp, v int")
+    got = {r.id: (r.asof.v if r.asof else None)
+           for r in asof_latest(ldf, rdf, ["k"], "t", "rt", ["v"], bucket_seconds=width).collect()}
+    want = {}
+    for i, (k, t) in enumerate(left):
+        cands = [(rt, v) for rk, rt, v in right if rk == k and t is not None and rt < t]
+        # latest time, then the smallest value
+        want[i] = min(cands, key=lambda c: (-c[0], c[1]))[1] if cands else None
+    assert got == want
