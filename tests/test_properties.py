@@ -78,3 +78,20 @@ def test_asof_matches_brute_force(spark, left, right, width):
         # latest time, then the smallest value
         want[i] = min(cands, key=lambda c: (-c[0], c[1]))[1] if cands else None
     assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(offsets=st.lists(st.integers(0, 1_300_000_000), min_size=1, max_size=30),
+       as_of_us=st.integers(600_000_000, 1_300_000_000), minutes=st.sampled_from([1, 10, 15]))
+def test_pushable_lookback_equals_whole_second_form(spark, offsets, as_of_us, minutes):
+    """``col >= trunc_second(as_of) - (N*60-1) s`` keeps exactly the rows with
+    ``unix_timestamp(col) > unix_timestamp(as_of) - N*60``."""
+    from pyspark.sql import functions as F
+    from wiremap.operators.recent import recent
+    as_of = T0 + dt.timedelta(microseconds=as_of_us)
+    df = spark.createDataFrame([(i, T0 + dt.timedelta(microseconds=o)) for i, o in enumerate(offsets)],
+                               "id int, dtk_inserted_at timestamp")
+    fast = {r.id for r in recent(df, minutes, as_of=F.lit(as_of)).collect()}
+    slow = {r.id for r in df.filter(F.unix_timestamp("dtk_inserted_at")
+                                    > F.unix_timestamp(F.lit(as_of)) - minutes * 60).collect()}
+    assert fast == slow
