@@ -41,6 +41,14 @@ from wiremap.streaming import gold as GOLD
 from wiremap.streaming.bronze import bronze_schema, bronze_stream, read_bronze, start_bronze
 from wiremap.streaming.silver import silver_batch, start_silver
 
+try:  # the corpus operators and their pipeline are optional parts
+    import corpus_pipeline
+    from wiremap.llm import queries as corpus_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "wiremap.llm"):
+        raise
+    corpus_pipeline = corpus_queries = None
+
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
 
@@ -394,6 +402,20 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if corpus_queries is None:
+        return network_queries()
+    return network_queries() | corpus_queries.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def oracle_sql() -> dict[str, str]:
+    if corpus_queries is None:
+        return network_oracle_sql()
+    whole = corpus_pipeline.ORACLE_SQL
+    return (network_oracle_sql() | corpus_queries.oracle_sql()
+            | ({"pipeline": whole} if whole else {}))
+
+
+def network_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ip_packet": q_ip_packet,
         "packet_with_host": q_packet_with_host,
@@ -438,7 +460,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
+def network_oracle_sql() -> dict[str, str]:
     return {
         "ip_packet": O.with_ctes(O.PACKET_CTES, "select * from ip_packet"),
         "packet_with_host": O.with_ctes(O.PACKET_CTES, "select * from with_host"),
