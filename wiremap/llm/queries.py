@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wiremap.llm import packing, token_files
+from wiremap.llm.line_dedup import LineIndex
 from wiremap.session import scratch_path
 
 
@@ -14,6 +15,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = LineIndex.create(spark, min_docs=10).insert(docs).clean(docs)
+    return out.select("doc_id", "line_dedup.n_lines", "line_dedup.n_dropped",
+                      F.sha2("line_dedup.kept", 256).alias("kept_sha256"))
+
+
+OP1_SQL = """
+with split as (
+    select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+line as (
+    select doc_id, unnest(lines) as line, unnest(range(len(lines))) as pos from split),
+keyed as (
+    select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from line),
+common as (
+    select key from keyed where key <> '' group by key having count(distinct doc_id) >= 10),
+marked as (
+    select k.*, c.key is not null as dropped from keyed k left join common c on k.key = c.key)
+select doc_id, count(*) as n_lines, count(*) filter (dropped) as n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not dropped), '')) as kept_sha256
+from marked group by doc_id
+"""
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(_table(spark, sf_dir, "documents"), path,
@@ -32,10 +58,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op4_token_files": op4_token_files,
         "op8_packing": op8_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_line_dedup": OP1_SQL,
+    }
