@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wiremap.llm import packing, token_files
 from wiremap.llm.line_dedup import LineIndex
+from wiremap.llm.near_dups import near_duplicates
 from wiremap.session import scratch_path
 
 
@@ -48,6 +49,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), percent=85, words=5)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = packing.token_table(_table(spark, sf_dir, "documents"),
                                  public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
@@ -60,6 +65,7 @@ def queries() -> dict:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op4_token_files": op4_token_files,
+        "op7_near_dups": op7_near_dups,
         "op8_packing": op8_packing,
     }
 
