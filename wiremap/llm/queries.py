@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiremap.llm import packing, token_files
+from wiremap.llm import main_text, packing, token_files, toxicity
 from wiremap.llm.line_dedup import LineIndex
 from wiremap.llm.near_dups import near_duplicates
 from wiremap.session import scratch_path
@@ -41,6 +41,14 @@ from marked group by doc_id
 """
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), "toxic")
+    score = toxicity.scores(model, "text")
+    return docs.select("doc_id", score.alias("s")).select(
+        "doc_id", "s.severity", "s.p_toxic", "s.grade", (F.col("s.grade") >= 1).alias("rejected"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(_table(spark, sf_dir, "documents"), path,
@@ -61,12 +69,20 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id", "offset", "padded")
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    out = pages.select("page_id", "url", main_text.extract("html").alias("text"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def queries() -> dict:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op2_toxicity": op2_toxicity,
         "op4_token_files": op4_token_files,
         "op7_near_dups": op7_near_dups,
         "op8_packing": op8_packing,
+        "op10_main_text": op10_main_text,
     }
 
 
