@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiremap.llm import main_text, packing, token_files, toxicity
+from wiremap.llm import bpe, main_text, packing, token_files, toxicity
 from wiremap.llm.line_dedup import LineIndex
 from wiremap.llm.near_dups import near_duplicates
 from wiremap.session import scratch_path
@@ -49,6 +49,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "s.severity", "s.p_toxic", "s.grade", (F.col("s.grade") >= 1).alias("rejected"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.encode(_table(spark, sf_dir, "documents"),
+                     public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.select("doc_id", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(_table(spark, sf_dir, "documents"), path,
@@ -79,6 +86,7 @@ def queries() -> dict:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_toxicity": op2_toxicity,
+        "op3_bpe": op3_bpe,
         "op4_token_files": op4_token_files,
         "op7_near_dups": op7_near_dups,
         "op8_packing": op8_packing,

@@ -32,7 +32,7 @@ from wiremap.llm.common import by_bytes, id_text
 
 BINS = 1 << 22
 PREFIXES = (4, 5, 6)
-MAX_ROWS = 8_000
+MAX_ROWS = 4_000
 SCORE = "struct<severity: double, p_toxic: double, grade: int>"
 
 
@@ -196,19 +196,18 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int):
     def features(batches):
         for b in by_bytes(batches, "text"):
             r, c, n = word_counts(b.column("text"))
-            cut = np.searchsorted(r, np.arange(b.num_rows + 1))
-            lists = lambda v, kind: pa.ListArray.from_arrays(
-                pa.array(cut, pa.int32()), pa.array(v, kind))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("y"), lists(c, pa.int32()), lists(n, pa.int32())], names=["y", "bins", "counts"])
+            cut = np.searchsorted(r, np.arange(b.num_rows + 1)).tolist()
+            raw = lambda v: pa.array([v[x:y].astype("<i4").tobytes() for x, y in zip(cut, cut[1:])],
+                                     pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("y"), raw(c), raw(n)], names=["y", "bins", "counts"])
 
     # At most max_rows ids: within the bound of a broadcast.
     found = docs.join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"]).select("text", "y")
-    got = found.mapInArrow(features, "y int, bins array<int>, counts array<int>").collect()
+    got = found.mapInArrow(features, "y int, bins binary, counts binary").collect()
     y = np.array([g["y"] for g in got], int)
-    rows = np.repeat(np.arange(len(got)), [len(g["bins"]) for g in got])
-    join = lambda k: np.array([v for g in got for v in g[k]], np.int64)
-    return rows, join("bins"), join("counts"), y
+    rows = np.repeat(np.arange(len(got)), [len(g["bins"]) // 4 for g in got])
+    bins, counts = (np.frombuffer(b"".join(g[k] for g in got), "<i4") for k in ("bins", "counts"))
+    return rows, bins, counts, y
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", binary: bool = True,
