@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with Spark's higher-order functions.
 
 Each task cuts its texts into pattern matches (words), block by block: a block
-row holds the distinct words of some megabytes of text and, for each document,
+row holds the distinct words of up to ``BLOCK_BYTES`` of text and, for each document,
 the numbers of its words.  Nothing is shuffled, and a word is encoded once for
 each block.  A word is an array of one-byte strings (its bytes read as
 Latin-1).  ``aggregate`` folds the merges over it: the state holds the pieces
@@ -36,7 +36,8 @@ from wiremap.llm.common import by_bytes, id_text
 
 BUCKETS = 1 << 16
 NONE = 1 << 30
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 160 << 20
+TASK_BYTES = 96 << 20
 LONG_WORD = 200
 BLOCK = "docs array<long>, codes array<binary>, words array<binary>"
 ENCODED = "doc_id long, ids binary, decoded binary"
@@ -207,6 +208,17 @@ def word_blocks(docs: DataFrame, pattern: str, block_bytes: int = BLOCK_BYTES) -
     return docs.mapInArrow(run, BLOCK)
 
 
+def large_tasks(docs: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """Fewer and larger tasks where the scan's are small: a word is encoded once a block.
+
+    About ``task_bytes`` of input each, in whole rounds of the cluster's cores.
+    """
+    spark = docs.sparkSession
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    return docs.coalesce(max(1, -(-size // task_bytes // cores) * cores or cores))
+
+
 def _gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
     n = sizes[at]
     return values[np.repeat(starts[at] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
@@ -217,7 +229,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
     """Each row's ids (little-endian uint32) and the bytes decoded from them."""
     ranks = load_ranks(rank_file)
     literal = rank_literal(docs.sparkSession, ranks)
-    blocks = word_blocks(id_text(docs, id_col, text_col), pattern)
+    blocks = word_blocks(id_text(large_tasks(docs), id_col, text_col), pattern)
     blocks = blocks.select("docs", "codes", F.transform(
         "words", lambda w: encode_word(w, literal)).alias("ids"))
 
