@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiremap.llm import bpe, main_text, packing, token_files, toxicity
+from wiremap.llm import bpe, main_text, packing, prefix_forest, threshold_topk, token_files, toxicity
 from wiremap.llm.line_dedup import LineIndex
 from wiremap.llm.near_dups import near_duplicates
 from wiremap.session import scratch_path
@@ -64,6 +64,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.nearest(_table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85, words=5)
 
@@ -76,6 +80,26 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id", "offset", "padded")
 
 
+def op9_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold_topk.top_k(_table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+OP9_SQL = """
+with v as (
+    select vec_id, list_transform(embedding::double[], x -> floor(1024 * x)::bigint) as q from embeddings
+    where vec_id is not null and embedding is not null
+        and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+part as (select vec_id, unnest(q) as x, unnest(range(len(q))) as i from v),
+score as (
+    select a.vec_id as query_id, b.vec_id, sum(a.x * b.x)::bigint as score
+    from part a join part b on a.i = b.i and a.vec_id <> b.vec_id
+    where a.vec_id % 100 = 0 group by all),
+best as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from score)
+select query_id, rank::integer as rank, vec_id, score from best where rank <= 10
+"""
+
+
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     out = pages.select("page_id", "url", main_text.extract("html").alias("text"))
@@ -88,8 +112,10 @@ def queries() -> dict:
         "op2_toxicity": op2_toxicity,
         "op3_bpe": op3_bpe,
         "op4_token_files": op4_token_files,
+        "op5_prefix_forest": op5_prefix_forest,
         "op7_near_dups": op7_near_dups,
         "op8_packing": op8_packing,
+        "op9_threshold_topk": op9_threshold_topk,
         "op10_main_text": op10_main_text,
     }
 
@@ -97,4 +123,5 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": OP1_SQL,
+        "op9_threshold_topk": OP9_SQL,
     }
