@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiremap.llm import bpe, main_text, packing, prefix_forest, threshold_topk, token_files, toxicity
+from wiremap.llm import bpe, licenses, main_text, packing, prefix_forest, threshold_topk, token_files, toxicity
 from wiremap.llm.line_dedup import LineIndex
 from wiremap.llm.near_dups import near_duplicates
 from wiremap.session import scratch_path
@@ -68,6 +68,16 @@ def op5_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_forest.nearest(_table(spark, sf_dir, "embeddings"), k=20, every=20)
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = licenses.scan(docs, licenses.train(docs))
+    return out.select(
+        "doc_id", "n_paragraphs", F.size("notices").cast("long").alias("n_notices"),
+        F.array_join(F.array_sort(F.array_distinct("notices.family")), ",").alias("families"),
+        F.array_max("notices.probability").alias("probability"),
+        F.array_min("notices.similarity").alias("similarity"))
+
+
 def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85, words=5)
 
@@ -113,6 +123,7 @@ def queries() -> dict:
         "op3_bpe": op3_bpe,
         "op4_token_files": op4_token_files,
         "op5_prefix_forest": op5_prefix_forest,
+        "op6_licenses": op6_licenses,
         "op7_near_dups": op7_near_dups,
         "op8_packing": op8_packing,
         "op9_threshold_topk": op9_threshold_topk,
