@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiremap.llm.common import by_bytes, id_text
+from wiremap.llm.common import by_bytes, id_text, stored
 
 BUCKETS = 1 << 16
 NONE = 1 << 30
@@ -216,7 +216,8 @@ def large_tasks(docs: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
     spark = docs.sparkSession
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     cores = max(1, spark.sparkContext.defaultParallelism)
-    return docs.coalesce(max(1, -(-size // task_bytes // cores) * cores or cores))
+    tasks = max(1, -(-size // task_bytes // cores) * cores or cores)
+    return docs.coalesce(min(tasks, 1 << 30))
 
 
 def _gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -229,7 +230,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
     """Each row's ids (little-endian uint32) and the bytes decoded from them."""
     ranks = load_ranks(rank_file)
     literal = rank_literal(docs.sparkSession, ranks)
-    blocks = word_blocks(id_text(large_tasks(docs), id_col, text_col), pattern)
+    blocks = stored(word_blocks(id_text(large_tasks(docs), id_col, text_col), pattern), "word-blocks")
     blocks = blocks.select("docs", "codes", F.transform(
         "words", lambda w: encode_word(w, literal)).alias("ids"))
 

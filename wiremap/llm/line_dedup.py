@@ -23,7 +23,6 @@ deleting documents that were never inserted raises an error.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -213,12 +212,14 @@ class LineIndex:
             changes, old = counts.filter(common), spark.createDataFrame([], FILTERS)
         changes = changes.select(_shard(F.col("key"), shards).alias("shard"), "key", common.alias("common"))
 
-        def apply(shard, have: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
-            cuckoo, keys = update_shard(list(zip(have["cuckoo"], have["keys"])),
-                                        [bytes(k) for k in new["key"]], list(new["common"]))
-            return pd.DataFrame({"shard": [shard[0]], "cuckoo": [cuckoo], "keys": [keys]})
+        def apply(have: pa.Table, new: pa.Table) -> pa.Table:
+            shard = (new if new.num_rows else have)["shard"][0].as_py()
+            old = list(zip(have["cuckoo"].to_pylist(), have["keys"].to_pylist()))
+            cuckoo, keys = update_shard(old, new["key"].to_pylist(), new["common"].to_pylist())
+            return pa.table({"shard": pa.array([shard], pa.int32()), "cuckoo": pa.array([cuckoo], pa.binary()),
+                             "keys": pa.array([keys], pa.binary())})
 
-        (old.groupBy("shard").cogroup(changes.groupBy("shard")).applyInPandas(apply, FILTERS)
+        (old.groupBy("shard").cogroup(changes.groupBy("shard")).applyInArrow(apply, FILTERS)
          .write.parquet(f"{path}/filters"))
         about = spark.range(1).select(F.lit(self.min_docs).alias("min_docs"), F.lit(shards).alias("shards"))
         about.write.parquet(f"{path}/about")
@@ -252,18 +253,18 @@ class LineIndex:
                  .withColumn("salt", F.pmod(F.xxhash64("doc_id", "a", "key"), F.lit(salts)).cast("int")))
         copies = self.filters.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
-        def probe(_, have: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-            asked = asked[["doc_id", "a", "b", "key"]]
-            if have.empty or asked.empty:
-                return asked.iloc[:0]
-            found = _pairs([bytes(k) for k in asked["key"]])
-            hits = asked[Cuckoo.read(have["cuckoo"].iloc[0]).contains(found)]
-            sure = have["keys"].iloc[0]
+        def probe(have: pa.Table, asked: pa.Table) -> pa.Table:
+            asked = asked.select(["doc_id", "a", "b", "key"])
+            if not have.num_rows or not asked.num_rows:
+                return asked.slice(0, 0)
+            keys = asked["key"].to_pylist()
+            hit = Cuckoo.read(have["cuckoo"][0].as_py()).contains(_pairs(keys))
+            sure = have["keys"][0].as_py()
             sure = {sure[i:i + 16] for i in range(0, len(sure), 16)}
-            return hits[[bytes(k) in sure for k in hits["key"]]]
+            return asked.filter(pa.array([h and k in sure for h, k in zip(hit.tolist(), keys)], pa.bool_()))
 
         hits = (copies.groupBy("shard", "salt").cogroup(lines.groupBy("shard", "salt"))
-                .applyInPandas(probe, "doc_id long, a long, b long, key binary"))
+                .applyInArrow(probe, "doc_id long, a long, b long, key binary"))
         return hits.groupBy("doc_id", "a", "b").agg(F.collect_set("key").alias("keys"))
 
     def clean(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -276,20 +277,20 @@ class LineIndex:
         rows = rows.join(hits, F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
                          & (F.col("__x") == F.col("__a")) & (F.col("__y") == F.col("__b")), "left")
 
-        @F.pandas_udf(CLEANED)
-        def cut(texts: pd.Series, common: pd.Series) -> pd.DataFrame:
+        @F.arrow_udf(CLEANED)
+        def cut(texts: pa.Array, common: pa.Array) -> pa.Array:
             kept, total, dropped = [], [], []
             for text, keys in zip(texts, common):
-                lines = (text or "").split("\n")
-                if keys is not None and len(keys):
-                    keys = {bytes(k) for k in keys}
-                    rest = [s for s, k in zip(lines, line_keys(text)) if k not in keys]
-                else:
-                    rest = lines
+                text, keys = text.as_py() or "", keys.as_py()
+                lines = text.split("\n")
+                keys = set(keys or ())
+                rest = [s for s, k in zip(lines, line_keys(text)) if k not in keys] if keys else lines
                 kept.append("\n".join(rest))
                 total.append(len(lines))
                 dropped.append(len(lines) - len(rest))
-            return pd.DataFrame({"kept": kept, "n_lines": total, "n_dropped": dropped})
+            return pa.StructArray.from_arrays(
+                [pa.array(kept, pa.string()), pa.array(total, pa.int64()), pa.array(dropped, pa.int64())],
+                names=["kept", "n_lines", "n_dropped"])
 
         return rows.withColumn("line_dedup", cut(F.col(text_col), F.col("__keys"))).drop(
             "__x", "__y", "__id", "__a", "__b", "__keys")

@@ -61,13 +61,22 @@ FACTORS = (_SEEDS[:SIGNATURE] >> U64(32)).astype(np.uint32) | np.uint32(1)
 SHIFTS = (_SEEDS[SIGNATURE:] >> U64(32)).astype(np.uint32)
 
 
+def ascii_lower(texts: pa.LargeStringArray) -> pa.LargeStringArray:
+    """A-Z in lower case; every other byte stays (bytes of other characters are above 127)."""
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data, np.uint8)[at[0]:at[-1]].copy() if data else np.zeros(0, np.uint8)
+    raw[(raw >= 65) & (raw <= 90)] |= 32
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(at - at[0]), pa.py_buffer(raw))
+
+
 def shingle_sets(texts: pa.Array, words: int = 5) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text (lower-cased A-Z, ASCII white space)."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if not len(texts):
         return []
-    cut = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+    cut = pc.ascii_split_whitespace(ascii_lower(texts.cast(pa.large_string())))
     coded = cut.flatten().dictionary_encode()
     vocabulary = coded.dictionary.to_pylist()
     hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in vocabulary), U64, len(vocabulary))
@@ -272,19 +281,19 @@ def rest_pairs(lists: DataFrame, large: DataFrame, reps: DataFrame, labels: Data
     right = rows.filter("component <> main").withColumn("j", F.pmod("at", "outside").cast("int")).withColumn(
         "i", spread("blocks"))
 
-    def blocks(x, y):
+    def blocks(x: pa.Table, y: pa.Table) -> pa.Table:
         out = []
-        if len(x) and len(y):
-            sig, cx, ix = _signatures(list(x["signature"])), x["component"].to_numpy(), x["rep"].to_numpy()
-            for raw, comp, rep in zip(y["r_signature"], y["r_component"], y["r_rep"]):
+        if x.num_rows and y.num_rows:
+            sig, comp, ids = _signatures(x["signature"].to_pylist()), x["component"].to_numpy(), x["rep"].to_numpy()
+            for raw, own, rep in zip(*(y[f"r_{c}"].to_pylist() for c in ("signature", "component", "rep"))):
                 near = (sig == np.frombuffer(raw, np.uint32)).mean(1) >= cutoff
-                out += [(rep, k) for k in ix[near & (cx != comp)].tolist()]
-        return _pair_batch(out).to_pandas()
+                out += [(rep, k) for k in ids[near & (comp != own)].tolist()]
+        return pa.Table.from_batches([_pair_batch(out)])
 
     keep = ["node", "i", "j", "rep", "signature", "component"]
     right = right.select(*[F.col(c).alias(f"r_{c}") for c in keep]).groupBy("r_node", "r_i", "r_j")
     outside = (left.select(*keep).groupBy("node", "i", "j").cogroup(right)
-               .applyInPandas(blocks, "a long, b long"))
+               .applyInArrow(blocks, "a long, b long"))
     return inside.unionByName(outside).distinct()
 
 
