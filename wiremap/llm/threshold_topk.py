@@ -4,13 +4,14 @@ The vectors are cut into ``groups`` ranges of components.  A range is a node:
 its local score of a vector is the inner product over its components.  Nodes
 work in blocks: a cell scores a block of vectors against a block of queries.
 
-1. Every node gives its k best local scores of each query and its smallest
-   one.  A vector's known scores, with the smallest possible ones for the
-   rest, bound its total from below; t1 is the k-th best bound.
+1. Every node gives its ``LOCAL * k`` best local scores of each query and its
+   smallest one.  The totals of these few vectors are computed; t1 is the k-th
+   best.  (Bounds from below, with smallest scores for the unknown ones, would
+   be far too low, as scores here can be negative.)
 2. With scores counted from each node's smallest, a total of t1 needs at least
    (t1 - sum of smallest) / groups in one node.  This cutoff goes out with the
-   queries, and nodes give every entry that reaches it.  Bounds from below
-   give t2; a vector whose bound from above stays below t2 is out.
+   queries, and nodes give every entry that reaches it.  A vector whose bound
+   from above stays below t1 is out.
 3. Totals that are still incomplete are computed from the whole vectors.
 
 All numbers are whole, so the result is exact.  k counts classes of equal
@@ -30,6 +31,7 @@ from wiremap.llm.common import stored
 from wiremap.llm.vectors import best_columns, classes, clean_vectors, matrix, ranked
 
 ROWS, QUERIES = 4_096, 2_048
+LOCAL = 4
 RESULT = "query_id long, rank int, vec_id long, score long"
 
 
@@ -77,6 +79,7 @@ def top_k(rows: DataFrame, k: int, every: int, scale: int = 1024, groups: int =
         q = ask["v"].combine_chunks().flatten().to_numpy().reshape(-1, width)
         return local_scores(q, v), own["other"].to_numpy(), ask["class_id"].to_numpy(), own["g"][0].as_py()
 
+    some = LOCAL * (k + 1)
     local = "g int, class_id long, other long, s long, low long"
 
     def result(g, q, o, s, low):
@@ -90,8 +93,8 @@ def top_k(rows: DataFrame, k: int, every: int, scale: int = 1024, groups: int =
         g = 0
         if own.num_rows and ask.num_rows:
             scores, ids, names, g = cell(own, ask)
-            for row, name, at in zip(scores, names, best_columns(scores, k + 1)):
-                at = at[np.lexsort((ids[at], -row[at]))[:k + 1]]
+            for row, name, at in zip(scores, names, best_columns(scores, some)):
+                at = at[np.lexsort((ids[at], -row[at]))[:some]]
                 q.append(np.full(len(at), name))
                 o.append(ids[at])
                 s.append(row[at])
@@ -118,14 +121,19 @@ def top_k(rows: DataFrame, k: int, every: int, scale: int = 1024, groups: int =
     lows = lists.groupBy("g", "class_id").agg(F.min("low").alias("low"))
     base = lows.groupBy("class_id").agg(F.sum("low").alias("base"))
     best = F.row_number().over(Window.partitionBy("g", "class_id").orderBy(F.desc("s"), "other"))
-    node = lists.drop("low").withColumn("n", best).filter(F.col("n") <= k + 1).join(lows, ["g", "class_id"])
+    gathered = lists.withColumn("n", best).filter(F.col("n") <= some).select("class_id", "other").distinct()
+    total = F.aggregate(F.zip_with("v", "w", lambda a, b: a * b), F.lit(0).cast("long"), lambda a, x: a + x)
 
-    def kth(bounds: DataFrame, name: str) -> DataFrame:
-        place = F.row_number().over(Window.partitionBy("class_id").orderBy(F.desc("bound"), "other"))
-        return bounds.withColumn("n", place).filter(F.col("n") == k + 1).select("class_id", F.col("bound").alias(name))
+    def totals(pairs: DataFrame) -> DataFrame:
+        others = members.select(F.col("class_id").alias("other"), F.col("v").alias("w"))
+        return pairs.join(queries, "class_id").join(others, "other").select(
+            "class_id", "other", total.alias("score"))
 
-    known = node.groupBy("class_id", "other").agg(F.sum(F.col("s") - F.col("low")).alias("bound"))
-    cut = lows.join(kth(known, "need"), "class_id", "left")
+    place = F.row_number().over(Window.partitionBy("class_id").orderBy(F.desc("score"), "other"))
+    kth = totals(gathered).withColumn("n", place).filter(F.col("n") == k + 1).select("class_id", F.col("score").alias("t1"))
+    limits = stored(base.join(kth, "class_id", "left").select("class_id", "base", (F.col("t1") - F.col("base")).alias("need")),
+                    "topk-limits")
+    cut = lows.join(limits, "class_id")
     asked_again = queries.join(cut.groupBy("class_id").agg(
         F.map_from_entries(F.collect_list(F.struct("g", "low"))).alias("lows"), F.first("need").alias("need")), "class_id")
     right = parts(asked_again, "class_id", "j", query_blocks, "i", row_blocks, "lows", "need").withColumn(
@@ -134,15 +142,10 @@ def top_k(rows: DataFrame, k: int, every: int, scale: int = 1024, groups: int =
     have = stored(entries.groupBy("class_id", "other").agg(
         F.sum(F.col("s") - F.col("low")).alias("bound"), F.count("*").alias("nodes")), "topk-entries")
     # A missing local score lies below need / groups.
-    limits = base.join(kth(have, "t2"), "class_id", "left").join(kth(known, "need"), "class_id", "left")
     left_over = have.join(limits, "class_id").filter(
-        F.col("t2").isNull() | (groups * F.col("bound") + (groups - F.col("nodes")) * F.coalesce("need", F.lit(0))
-                                >= groups * F.col("t2")))
+        F.col("need").isNull() | (groups * F.col("bound") >= F.col("nodes") * F.col("need")))
     whole = left_over.filter(F.col("nodes") == groups).select(
         "class_id", "other", (F.col("bound") + F.col("base")).alias("score"))
-    open_ = left_over.filter(F.col("nodes") < groups).select("class_id", "other")
-    total = F.aggregate(F.zip_with("v", "w", lambda a, b: a * b), F.lit(0).cast("long"), lambda a, x: a + x)
-    solved = open_.join(queries, "class_id").join(members.select(
-        F.col("class_id").alias("other"), F.col("v").alias("w")), "other").select(
-            "class_id", "other", total.alias("score"))
-    return ranked(whole.unionByName(solved), members, asked, k)
+    solved = totals(left_over.filter(F.col("nodes") < groups).select("class_id", "other"))
+    found = stored(whole.unionByName(solved), "topk-found")
+    return ranked(found, members, asked, k)
