@@ -8,7 +8,9 @@ the longest match upwards, and block totals give the counts above the block.
 All trees then ascend together, one bit at a time, until their prefixes hold
 ``share`` times as many strings (over all trees) as there are vectors; the
 vectors under the prefixes of that length are the query's candidates.  They
-are scored where they lie, exactly, and each block returns its best.
+are scored where they lie, exactly.  The home blocks go first; their k-th best
+score goes out with the query to its other blocks, which return only what
+reaches it.
 
 Inner products are turned into angles by one more component that makes all
 vectors equally long (zero in queries), so vectors need no common length.  The
@@ -27,6 +29,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wiremap.llm.common import stored
@@ -142,27 +145,33 @@ def nearest(rows: DataFrame, k: int, every: int, trees: int = 8, share: float =
         "class_id", F.greatest(depth, F.lit(0)).alias("depth"))
     queries = queries.join(level, "class_id")
 
-    def route(batches):
-        """Each query to the blocks under its prefix."""
-        for b in batches:
-            src, dst = [], []
-            for i, (t, q, d) in enumerate(zip(b.column("tree").to_pylist(),
-                                              b.column("key").to_numpy().view(np.uint64).tolist(),
-                                              b.column("depth").to_pylist())):
-                low, high = span(q, d)
-                first = blocks[t][0]
-                for block in range(int(np.searchsorted(first, np.uint64(low), "right")) - 1,
-                                   int(np.searchsorted(first, np.uint64(high), "right"))):
-                    src.append(i)
-                    dst.append(block)
-            out = b.take(pa.array(src, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [out.column("tree"), pa.array(dst, pa.int32())]
-                + [out.column(c) for c in ("key", "class_id", "v", "depth")],
-                names=["tree", "block", "key", "class_id", "v", "depth"])
-
-    sent = queries.select("tree", "key", "class_id", "v", "depth").mapInArrow(
-        route, "tree int, block int, key long, class_id long, v binary, depth int")
+    def route(home: bool):
+        """Each query to its own block, or to the other blocks under its prefix."""
+        def run(batches):
+            for b in batches:
+                src, dst = [], []
+                for i, (t, own, q, d) in enumerate(zip(b.column("tree").to_pylist(), b.column("block").to_pylist(),
+                                                       b.column("key").to_numpy().view(np.uint64).tolist(),
+                                                       b.column("depth").to_pylist())):
+                    low, high = span(q, d)
+                    first = blocks[t][0]
+                    under = [own] if home else [
+                        x for x in range(int(np.searchsorted(first, np.uint64(low), "right")) - 1,
+                                         int(np.searchsorted(first, np.uint64(high), "right"))) if x != own]
+                    src += [i] * len(under)
+                    dst += under
+                out = b.take(pa.array(src, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [out.column("tree"), pa.array(dst, pa.int32())]
+                    + [out.column(c) for c in ("key", "class_id", "v", "depth", "cut")],
+                    names=["tree", "block", "key", "class_id", "v", "depth", "cut"])
+        return run
+
+    def found_in(asked_at: DataFrame, home: bool) -> DataFrame:
+        sent = asked_at.select("tree", "block", "key", "class_id", "v", "depth", "cut").mapInArrow(
+            route(home), "tree int, block int, key long, class_id long, v binary, depth int, cut double")
+        return stored(index.groupBy(*key).cogroup(sent.groupBy(*key)).applyInArrow(
+            search, "class_id long, other long, score double"), "forest-found")
 
     def search(own: pa.Table, ask: pa.Table) -> pa.Table:
         out: tuple[list, list, list] = ([], [], [])
@@ -172,6 +181,7 @@ def nearest(rows: DataFrame, k: int, every: int, trees: int = 8, share: float =
             keys, ids = keys[order], own["class_id"].to_numpy()[order]
             v = matrix(own["v"].to_pylist(), np.float64)[order]
             q, name = matrix(ask["v"].to_pylist(), np.float64), ask["class_id"].to_numpy()
+            cut = np.array([-np.inf if c is None else c for c in ask["cut"].to_pylist()])
             ends = [span(x, d) for x, d in zip(ask["key"].to_numpy().view(np.uint64).tolist(),
                                                ask["depth"].to_pylist())]
             low = np.searchsorted(keys, np.array([e[0] for e in ends], np.uint64))
@@ -184,7 +194,8 @@ def nearest(rows: DataFrame, k: int, every: int, trees: int = 8, share: float =
                         continue
                     rough = q[part] @ v[a:b].T
                     slack = 1e-9 * max(1.0, float(np.abs(rough).max()))
-                    for i, at in zip(part, best_columns(rough, k + 1, slack)):
+                    for i, row, at in zip(part, rough, best_columns(rough, k + 1, slack)):
+                        at = at[row[at] >= cut[i] - slack]
                         exact = np.zeros(len(at))
                         for j in range(dim):  # one order of additions, so equal vectors tie
                             exact += q[i, j] * v[a:b][at, j]
@@ -195,6 +206,9 @@ def nearest(rows: DataFrame, k: int, every: int, trees: int = 8, share: float =
         return pa.table({"class_id": pa.array(out[0], pa.int64()), "other": pa.array(out[1], pa.int64()),
                          "score": pa.array(out[2], pa.float64())})
 
-    found = index.groupBy(*key).cogroup(sent.groupBy(*key)).applyInArrow(
-        search, "class_id long, other long, score double")
-    return ranked(found.distinct(), groups, asked, k)
+    first = found_in(queries.withColumn("cut", F.lit(None).cast("double")), True)
+    place = F.row_number().over(Window.partitionBy("class_id").orderBy(F.desc("score"), "other"))
+    cuts = first.distinct().withColumn("n", place).filter(F.col("n") == k + 1).select(
+        "class_id", F.col("score").alias("cut"))
+    rest = found_in(queries.join(cuts, "class_id", "left"), False)
+    return ranked(first.unionByName(rest).distinct(), groups, asked, k)
