@@ -21,7 +21,7 @@ from wiremap import oracle as O
 from wiremap.functions.columns import fill_unknown
 from wiremap.operators.latest import latest_by_key
 from wiremap.operators.lookup import lookup_host
-from wiremap.operators.recent import recent
+from wiremap.operators.recent import latest_value, recent
 from wiremap.operators.upsert import read_keyed, upsert
 from wiremap.plans import graph as G
 from wiremap.plans.connection_map import connection_map
@@ -149,7 +149,7 @@ def q_struct_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _events_as_of(spark: SparkSession, sf_dir: str):
     ev = read_table(spark, sf_dir, "events")
-    return ev, ev.select(F.max("ts")).scalar()
+    return ev, latest_value(ev, "ts")
 
 
 def q_recent_window(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,9 +344,7 @@ def _gold(spark: SparkSession, sf_dir: str) -> str:
     inputs = GOLD.SilverInputs(v.network_ip, v.network_packet, v.interfaces,
                                v.process_network, v.process)
     path = scratch_path(spark, "gold")
-    # A backfill of the whole month into a fresh gold folder: daily partitions.
-    GOLD.refresh(spark, inputs, path, as_of=v.as_of, lookback_minutes=None, batch_id=0,
-                 time_grain="yyyyMMdd")
+    GOLD.refresh(spark, inputs, path, as_of=v.as_of, lookback_minutes=None, batch_id=0)
     return path
 
 
@@ -379,7 +377,6 @@ def q_pipeline_packet_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_late_host_reenrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver ip rows built while half the hosts were missing, then re-enriched."""
-    from wiremap.operators.upsert import default_partition
     from wiremap.sources.fixtures import raw_capture_tables
     from wiremap.streaming.pipeline import reenrich_table
     raw = raw_capture_tables(spark, sf_dir)
@@ -388,7 +385,7 @@ def q_late_host_reenrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "silver_ip")
     early = silver_batch(ip, spec, hosts.filter(F.col("_id") % 2 == 0))
     upsert(spark, early, path, list(spec.keys), batch_id=0, order_by=spec.order_by,
-           partition=default_partition(spec.keys), unique_keys=True)
+           writer="early", buckets=spec.buckets, unique_keys=True)
     out = reenrich_table(spark, path, spec, hosts)
     return out.select("_id", "hostname", "source_host", "source_port", "destination_host",
                       "destination_port")

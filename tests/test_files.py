@@ -39,3 +39,14 @@ def test_provenance_columns(spark):
                             inserted_at=F.lit(stamp)).collect()[0]
     assert (r.hostname, r.date_sent, r.file_size) == ("m1", dt.date(2024, 1, 1), 7)
     assert r.dtk_inserted_at == stamp
+
+
+def test_capture_files_of_hosts_that_folders_escape(spark, tmp_path):
+    import pytest
+    from wiremap.sources.landing import write_capture_files
+    rows = [("a=1%", 1, "2024-01-01 00:00:00"), ("plain", 2, "2024-01-01 00:00:00")]
+    df = spark.createDataFrame(rows, "hostname string, x int, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+    names = write_capture_files(spark, df, str(tmp_path / "land"))
+    assert len(names) == 2 and spark.read.parquet(str(tmp_path / "land")).count() == 2
+    with pytest.raises(ValueError):
+        write_capture_files(spark, df.withColumn("hostname", F.lit("b:1")), str(tmp_path / "land2"))

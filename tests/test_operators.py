@@ -88,5 +88,5 @@ def test_sizing_conf_scales_with_input():
     from wiremap.session import sizing_conf
     small, big = sizing_conf(10 << 20), sizing_conf(100 << 40)
     assert int(small["spark.sql.shuffle.partitions"]) == 8
-    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(big["spark.sql.shuffle.partitions"]) == 819_200
     assert int(sizing_conf(64 << 30)["spark.sql.shuffle.partitions"]) == 512

@@ -82,61 +82,97 @@ def test_old_versions_are_pruned(spark, tmp_path):
     assert read_keyed(spark, p).count() == 4
 
 
-def _bucket_mtimes(spark, p):
-    import os
-    out = {}
-    for d in sorted(os.listdir(p)):
-        if d.startswith("__bucket="):
-            out[d] = sorted(os.path.getmtime(os.path.join(p, d, f)) for f in os.listdir(os.path.join(p, d)))
-    return out
+def _files(p):
+    import pathlib
+    return {str(f): f.stat().st_mtime_ns for f in pathlib.Path(p, "data").rglob("part-*.parquet")}
 
 
-def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_path):
+def test_a_batch_writes_only_touched_buckets_and_changes_nothing_in_place(spark, tmp_path):
     p = str(tmp_path / "b")
-    rows = [(k, "v0", T0) for k in range(40)]
-    upsert(spark, _df(spark, rows), p, ["k"], batch_id=0, buckets=8)
-    before = _bucket_mtimes(spark, p)
-    import time
-    time.sleep(1.1)
-    upsert(spark, _df(spark, [(3, "v1", T0), (100, "new", T0)]), p, ["k"], batch_id=1, buckets=8)
-    after = _bucket_mtimes(spark, p)
-    changed = [b for b in before if before[b] != after.get(b)]
-    assert 1 <= len(changed) <= 2
+    upsert(spark, _df(spark, [(k, "v0", T0) for k in range(40)]), p, ["k"], batch_id=0, buckets=8)
+    old, before = read_keyed(spark, p), _files(p)
+    upsert(spark, _df(spark, [(3, "v1", T0), (100, "new", T0)]), p, ["k"], batch_id=1)
+    after = _files(p)
+    assert all(after[f] == t for f, t in before.items())
+    assert 1 <= len({f.split("__bucket=")[1].split("/")[0] for f in set(after) - set(before)}) <= 2
+    assert {r.k: r.v for r in old.collect()}[3] == "v0"            # a reader of the old version
     out = {r.k: r.v for r in read_keyed(spark, p).collect()}
     assert len(out) == 41 and out[3] == "v1" and out[100] == "new" and out[4] == "v0"
-    # a replayed batch id is skipped
-    upsert(spark, _df(spark, [(3, "zzz", T0)]), p, ["k"], batch_id=1, buckets=8)
-    assert {r.k: r.v for r in read_keyed(spark, p).collect()}[3] == "v1"
 
 
-def test_bucketed_equals_snapshot(spark, tmp_path):
-    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet") \
-        .withColumn("ts", F.col("ts").cast("timestamp"))
-    keys = ["user_id", "event_type"]
-    for name, kw in (("snap", {}), ("bkt", {"buckets": 4})):
-        p = str(tmp_path / name)
-        upsert(spark, ev.filter("event_id % 2 = 0"), p, keys, batch_id=0, order_by="ts", **kw)
-        upsert(spark, ev.filter("event_id % 2 = 1"), p, keys, batch_id=1, order_by="ts", **kw)
-    a = read_keyed(spark, str(tmp_path / "snap"))
-    b = read_keyed(spark, str(tmp_path / "bkt")).select(*a.columns)
-    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+def _rows(spark, p):
+    return sorted((r.k, r.v) for r in read_keyed(spark, p).collect())
 
 
-def test_key_range_partitions_keep_new_ids_together(spark, tmp_path):
-    from wiremap.operators.upsert import key_range
+def test_writers_have_batch_numbers_of_their_own(spark, tmp_path):
+    p = str(tmp_path / "w")
+    for n in (0, 1):
+        upsert(spark, _df(spark, [(n, "s", T0)]), p, ["k"], batch_id=n, writer="stream")
+    upsert(spark, _df(spark, [(1, "job", T0)]), p, ["k"], writer="reenrich")
+    upsert(spark, _df(spark, [(5, "s", T0)]), p, ["k"], batch_id=2, writer="stream")
+    upsert(spark, _df(spark, [(6, "n", T0)]), p, ["k"], batch_id=0, writer="new checkpoint")
+    upsert(spark, _df(spark, [(6, "again", T0)]), p, ["k"], batch_id=0, writer="new checkpoint")
+    assert _rows(spark, p) == [(0, "s"), (1, "job"), (5, "s"), (6, "n")]
+
+
+def test_layout_is_checked(spark, tmp_path):
+    p = str(tmp_path / "l")
+    upsert(spark, _df(spark, [(1, "a", T0)]), p, ["k"], buckets=4)
+    for kw in ({"buckets": 8}, {"null_safe": True}):
+        with pytest.raises(ValueError):
+            upsert(spark, _df(spark, [(2, "b", T0)]), p, ["k"], **kw)
+    with pytest.raises(ValueError):
+        upsert(spark, _df(spark, [(2, "b", T0)]), p, ["k", "v"])
+    assert _rows(spark, p) == [(1, "a")]
+
+
+def test_new_and_missing_columns_are_merged(spark, tmp_path):
+    p = str(tmp_path / "c")
+    upsert(spark, _df(spark, [(k, "a", T0) for k in range(9)]), p, ["k"], buckets=4)
+    upsert(spark, _df(spark, [(1, "b", T0)]).withColumn("w", F.lit(7)), p, ["k"])
+    upsert(spark, _df(spark, [(2, "c", T0)]), p, ["k"])
+    out = {r.k: (r.v, r.w) for r in read_keyed(spark, p).collect()}
+    assert len(out) == 9 and out[1] == ("b", 7) and out[2] == ("c", None) and out[3] == ("a", None)
+
+
+def test_keys_do_not_depend_on_the_session_time_zone(spark, tmp_path):
+    p, key = str(tmp_path / "z"), ["inserted_at"]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    source = _df(spark, [(1, "a", T0)])
+    try:
+        for v, z in (("a", "UTC"), ("b", "America/New_York")):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            upsert(spark, source.withColumn("v", F.lit(v)), p, key)
+        assert [r.v for r in read_keyed(spark, p).collect()] == ["b"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_lost_commit_race_starts_over(spark, tmp_path, monkeypatch):
+    from wiremap import fs
     p = str(tmp_path / "r")
-    part = key_range("k", 10)
-    upsert(spark, _df(spark, [(k, "v0", T0) for k in range(30)]), p, ["k"], batch_id=0,
-           partition=part)
-    before = _bucket_mtimes(spark, p)
-    import time
-    time.sleep(1.1)
-    upsert(spark, _df(spark, [(31, "n", T0), (35, "n", T0)]), p, ["k"], batch_id=1,
-           partition=part)
-    after = _bucket_mtimes(spark, p)
-    assert all(before[b] == after[b] for b in before)        # old ranges untouched
-    assert set(after) - set(before) == {"__bucket=3"}
-    assert read_keyed(spark, p).count() == 32
+    upsert(spark, _df(spark, [(1, "a", T0)]), p, ["k"], buckets=2)
+    real, lost = fs.write_new, []
+
+    def once(session, path, text):
+        if not lost:
+            lost.append(path)
+            monkeypatch.setattr(fs, "write_new", real)
+            upsert(spark, _df(spark, [(2, "other", T0)]), p, ["k"])
+            return real(session, path, text)
+        return real(session, path, text)
+
+    monkeypatch.setattr(fs, "write_new", once)
+    upsert(spark, _df(spark, [(3, "mine", T0)]), p, ["k"])
+    assert lost and _rows(spark, p) == [(1, "a"), (2, "other"), (3, "mine")]
+
+
+def test_hot_null_keys_are_spread(spark, tmp_path):
+    p = str(tmp_path / "n")
+    rows = [(None, f"x{i}", T0) for i in range(200)]
+    upsert(spark, _df(spark, rows), p, ["k"], buckets=8, unique_keys=True)
+    assert len({f.split("__bucket=")[1].split("/")[0] for f in _files(p)}) == 8
+    assert read_keyed(spark, p).count() == 200
 
 
 def test_empty_batch_is_a_noop(spark, tmp_path):

@@ -3,6 +3,8 @@ the cluster is configured for: hdfs://, s3a://, abfss://, file:)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -44,3 +46,26 @@ def mkdirs(spark: SparkSession, path: str) -> None:
 def touch(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.create(p, True).close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole under a name that must be new; False if it exists."""
+    fs, p = _fs(spark, path)
+    part = p.suffix(f".{uuid.uuid4().hex}.tmp")
+    fs.mkdirs(p.getParent())
+    out = fs.create(part, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.exists(p) and fs.rename(part, p):
+        return True
+    fs.delete(part, False)
+    return False

@@ -1,4 +1,4 @@
-"""Address -> host lookup and struct field access.
+"""Address -> host lookup.
 
 Addresses are ``struct<address, mask, ...>``; struct equality compares every
 field, so ``{a,24}`` does not match ``{a,32}``.  The host table is reduced to
@@ -10,8 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from wiremap.operators.broadcast import fits
-
 
 def host_by_address(hosts: DataFrame) -> DataFrame:
     """One ``(address, host)`` row per address: the smallest non-null host name."""
@@ -20,21 +18,12 @@ def host_by_address(hosts: DataFrame) -> DataFrame:
 
 
 def lookup_host(df: DataFrame, hosts: DataFrame, address_col: str, out_col: str,
-                reduced: DataFrame | None = None, small: bool | None = None) -> DataFrame:
+                reduced: DataFrame | None = None) -> DataFrame:
     """Left-join ``hosts`` on ``df[address_col] == hosts.address``; adds ``out_col``.
 
-    ``reduced`` and ``small`` let callers that look up several columns reuse
-    one reduced table and one size check.  The check counts the raw host rows,
-    an upper bound of the reduced table.
+    ``reduced`` lets callers that look up several columns reuse one reduced
+    table.  Spark broadcasts it where its size in bytes allows.
     """
     dim = host_by_address(hosts) if reduced is None else reduced
-    if small is None:
-        small = fits(hosts.select("address"))
     dim = dim.select(F.col("address").alias("__addr"), F.col("host").alias(out_col))
-    if small:
-        dim = F.broadcast(dim)
     return df.join(dim, df[address_col] == F.col("__addr"), "left").drop("__addr")
-
-
-def struct_field(df: DataFrame, struct_col: str, field: str, out_col: str | None = None) -> DataFrame:
-    return df.withColumn(out_col or field, F.col(struct_col).getField(field))

@@ -28,4 +28,16 @@ def recent(df: DataFrame, minutes: int | None, col: str = "dtk_inserted_at",
     """Rows of the last ``minutes`` minutes before ``as_of`` (default: now); ``None`` keeps all."""
     if minutes is None:
         return df
-    return df.filter(F.col(col) >= lower_bound(minutes, as_of))
+    # The bound takes the column's own type: a cast column would not reach the reader.
+    bound = lower_bound(minutes, as_of).cast(df.schema[col].dataType)
+    return df.filter(F.col(col) >= bound)
+
+
+def latest_value(df: DataFrame, col: str) -> Column:
+    """The largest value of a clock column as a constant of the column's type.
+
+    One small job before the plan is built; a constant bound is pushed to the
+    parquet reader, a scalar subquery is not.
+    """
+    value = df.select(F.max(col).cast("string")).first()[0]
+    return F.lit(value).cast(df.schema[col].dataType)

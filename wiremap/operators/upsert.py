@@ -1,4 +1,4 @@
-"""Keyed upsert into a versioned parquet snapshot (insert-or-replace by key).
+"""Keyed upsert (insert-or-replace by key) into a table of versioned buckets.
 
 Semantics (the pipeline's MERGE: matched -> update all, else insert all):
 
@@ -9,26 +9,21 @@ Semantics (the pipeline's MERGE: matched -> update all, else insert all):
   Keys compare with ``=``, so a null key never matches and a null-keyed row
   is inserted again each time; ``null_safe=True`` compares with ``<=>``;
 * ``newest_wins=True`` keeps, per key, the row with the greatest ``order_by``
-  among stored and incoming rows, so late, older rows cannot overwrite newer ones.
-
-Storage: ``<path>/v=<batch id>/`` holds one complete snapshot; the current
-table is the highest committed version (Spark writes ``_SUCCESS`` only after
-the job commits).  A replayed batch id whose version is committed is a no-op,
-which makes ``foreachBatch`` replays after a failure exactly-once.  Older
-versions beyond ``keep`` are removed after a commit.
-
-Bucketed layout (``buckets=N``): for large tables a full snapshot per batch
-rewrites everything.  The table is instead partitioned by
-``pmod(xxhash64(keys), N)``; a batch reads only the buckets its keys hash to
-(a semi-join on at most N bucket ids, which Spark turns into partition
-pruning), merges them, stages the result, and replaces just those bucket
-folders with dynamic partition overwrite.  Hash buckets suit tables whose
-updates hit random keys; for append-heavy facts pass ``partition=`` an
-expression of the key columns that keeps new keys together (an id range such
-as ``key_range("_id", 1 << 20)``), so a batch rewrites only the newest
-partitions.  A ``_batches/<id>`` marker written
-after the commit makes replays no-ops; the merge itself is idempotent for
-non-null keys, so a replay after a crash inside the commit converges too.
+  among stored and incoming rows, so late, older rows cannot overwrite newer ones;
+* columns are merged: rows written before a column came hold null in it.
+
+Storage: rows lie in ``pmod(xxhash64(keys), buckets)``, which depends on no
+time zone or clock.  (Rows with a null key match nothing and are spread by all
+their columns, unless ``null_safe``.)  A batch reads the buckets its keys fall
+in, merges them and writes them once, into a new folder; then one small file
+under ``_versions`` names the live folder of every bucket.  Readers resolve the
+newest such file, so they see one whole version, before or after; nothing is
+changed in place.  The file also holds what fixes the layout (keys, bucket
+number, null rule), which every write checks, the merged schema, and for each
+*writer* (a streaming query or a job) the last batch number it committed: a
+batch of that writer up to this number is a replay and changes nothing, while
+other writers and new checkpoints have numbers of their own.  Two writers that
+commit the same version number at once: one of them starts over.
 
 With a catalog table format that supports MERGE (Delta, Iceberg),
 ``merge_into`` issues the same operation natively instead.
@@ -36,70 +31,61 @@ With a catalog table format that supports MERGE (Delta, Iceberg),
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from wiremap import fs
 from wiremap.operators.latest import latest_by_key, one_per_key
 
-_PREFIX = "v="
 BUCKET = "__bucket"
+HASH_BUCKETS = 16
+RETRIES = 5
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Committed versions, ascending."""
-    out = []
-    for name in fs.list_names(spark, path):
-        if name.startswith(_PREFIX) and fs.exists(spark, f"{path}/{name}/_SUCCESS"):
-            out.append(int(name[len(_PREFIX):]))
-    return sorted(out)
+    names = fs.list_names(spark, f"{path}/_versions")
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
 
-def _vpath(path: str, v: int) -> str:
-    return f"{path}/{_PREFIX}{v:012d}"
+def _version(spark: SparkSession, path: str, v: int) -> dict:
+    return json.loads(fs.read_text(spark, f"{path}/_versions/{v:012d}.json"))
 
 
-def read_keyed(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    vs = [v for v in versions(spark, path) if before is None or v < before]
-    if vs:
-        return spark.read.parquet(_vpath(path, vs[-1]))
-    if _is_bucketed(spark, path):
-        return spark.read.parquet(path).drop(BUCKET)
-    return None
+def _current(spark: SparkSession, path: str) -> dict | None:
+    found = versions(spark, path)
+    return _version(spark, path, found[-1]) if found else None
 
 
-def _is_bucketed(spark: SparkSession, path: str) -> bool:
-    return any(n.startswith(f"{BUCKET}=") for n in fs.list_names(spark, path))
+def _folder(path: str, folder: str, bucket: int | str) -> str:
+    return f"{path}/data/{folder}/{BUCKET}={bucket}"
 
 
-def bucket_of(keys: Sequence[str], buckets: int) -> F.Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("long")
+def _read(spark: SparkSession, path: str, about: dict, buckets=None) -> DataFrame:
+    schema = T.StructType.fromJson(about["schema"])
+    live = [_folder(path, f, b) for b, f in about["live"].items() if buckets is None or int(b) in buckets]
+    if not live:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*live)
 
 
-def key_range(col: str, width: int) -> F.Column:
-    """Partition value for monotonic ids: ``floor(id / width)``."""
-    return F.floor(F.col(col) / F.lit(width)).cast("long")
+def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest committed version; None if there is none yet."""
+    about = _current(spark, path)
+    return None if about is None else _read(spark, path, about)
 
 
-# Id range width and hash bucket count of the default layouts.
-ID_RANGE = 1 << 20
-HASH_BUCKETS = 64
-
-
-def default_partition(keys: Sequence[str], time_grain: str = "yyyyMMddHH") -> F.Column:
-    """A partition expression of the key columns that keeps fresh rows together.
-
-    Time keys -> hour (a 10-minute refresh rewrites at most two hours);
-    capture ids -> id ranges; otherwise hash buckets.
-    """
-    for k in ("created_at", "started_at"):
-        if k in keys:
-            return F.coalesce(F.date_format(F.col(k), time_grain).cast("long"), F.lit(-1))
-    for k in ("_id", "packet_id"):
-        if k in keys:
-            return F.coalesce(key_range(k, ID_RANGE), F.lit(-1))
-    return bucket_of(keys, HASH_BUCKETS)
+def bucket_of(keys: Sequence[str], buckets: int, columns: Sequence[str] = (),
+              null_safe: bool = False) -> F.Column:
+    own = F.xxhash64(*[F.col(k) for k in keys])
+    if not null_safe and columns:
+        absent = F.greatest(*[F.col(k).isNull().cast("int") for k in keys], F.lit(0)) == 1
+        own = F.when(absent, F.xxhash64(*[F.col(c) for c in columns])).otherwise(own)
+    return F.pmod(own, F.lit(buckets)).cast("int")
 
 
 def reduce_source(source: DataFrame, keys: Sequence[str], order_by: str | None = None,
@@ -134,75 +120,97 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return kept.unionByName(source, allowMissingColumns=True)
 
 
+def _merged_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
+    """Stored columns first, then new ones; all nullable, as older rows lack some."""
+    fields = list(old.fields) if old is not None else []
+    have = {f.name for f in fields}
+    fields += [f for f in new.fields if f.name not in have]
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
+
+
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], *,
-           batch_id: int | None = None, order_by: str | None = None,
+           batch_id: int | None = None, writer: str = "default", order_by: str | None = None,
            null_safe: bool = False, newest_wins: bool = False,
            on_duplicate: str = "first", keep: int = 2, buckets: int | None = None,
-           partition: F.Column | None = None, unique_keys: bool = False) -> int:
-    """Upsert ``source`` into the table at ``path``; returns the batch id written.
+           unique_keys: bool = False) -> int:
+    """Upsert ``source`` into the table at ``path``; returns the current version.
 
-    ``buckets`` or ``partition`` (an expression of the key columns only)
-    selects the partition-rewriting layout.  ``unique_keys=True`` is the
-    caller's promise that ``source`` already has one row per key (a
-    latest-per-key or group-limited result), which skips the reduction.
+    With a ``batch_id`` the write is a no-op if this ``writer`` has committed
+    that number or a later one.  ``buckets`` (default ``HASH_BUCKETS``) is fixed
+    by the first write.  ``unique_keys=True`` is the caller's promise that
+    ``source`` already has one row per key, which skips the reduction.
     """
-    if unique_keys:
-        on_duplicate = "trusted"
-    if buckets or partition is not None:
-        part = partition if partition is not None else bucket_of(keys, buckets)
-        return _upsert_bucketed(spark, source, path, keys, part=part, batch_id=batch_id,
-                                order_by=order_by, null_safe=null_safe,
-                                newest_wins=newest_wins, on_duplicate=on_duplicate)
-    committed = versions(spark, path)
-    if batch_id is None:
-        batch_id = (committed[-1] + 1) if committed else 0
-    elif batch_id in committed:
-        return batch_id                      # replay of a committed batch
-    src = reduce_source(source, keys, order_by, on_duplicate)
-    target = read_keyed(spark, path, before=batch_id)
-    out = src if target is None else merge_frames(target, src, keys, null_safe,
-                                                  newest_wins, order_by)
-    out.write.mode("overwrite").parquet(_vpath(path, batch_id))
-    older = [v for v in versions(spark, path) if v < batch_id]
-    for v in older[:max(len(older) - max(keep - 1, 0), 0)]:
-        fs.delete(spark, _vpath(path, v))
-    return batch_id
+    src = reduce_source(source, keys, order_by, "trusted" if unique_keys else on_duplicate)
+    stage = None
+    try:
+        for _ in range(RETRIES):
+            found = versions(spark, path)
+            about = _version(spark, path, found[-1]) if found else None
+            if about is not None:
+                _check_layout(path, about, keys, buckets, null_safe)
+                if batch_id is not None and about["writers"].get(writer, -1) >= batch_id:
+                    return found[-1]
+            n = about["buckets"] if about else (buckets or HASH_BUCKETS)
+            if stage is None:
+                # The source is computed once, however often the merge reads it.
+                stage = f"{path}/_staging/{uuid.uuid4().hex}"
+                placed = src.withColumn(BUCKET, bucket_of(keys, n, src.columns, null_safe))
+                placed.write.parquet(stage)
+                placed = spark.read.schema(placed.schema).parquet(stage)
+                touched = {r[0] for r in placed.select(BUCKET).distinct().collect()}  # at most n numbers
+            schema = _merged_schema(T.StructType.fromJson(about["schema"]) if about else None, src.schema)
+            out = placed
+            if about is not None:
+                target = _read(spark, path, about, touched)
+                merged = merge_frames(target, placed.drop(BUCKET), keys, null_safe, newest_wins, order_by)
+                out = merged.withColumn(BUCKET, bucket_of(keys, n, schema.names, null_safe))
+            folder, v = uuid.uuid4().hex, (found[-1] + 1 if found else 0)
+            if touched:
+                _clustered(out).write.partitionBy(BUCKET).parquet(f"{path}/data/{folder}")
+            live = dict(about["live"]) if about else {}
+            names = fs.list_names(spark, f"{path}/data/{folder}") if touched else []
+            written = [m.split("=")[1] for m in names if m.startswith(f"{BUCKET}=")]
+            live = {b: f for b, f in live.items() if int(b) not in touched} | dict.fromkeys(written, folder)
+            after = {"keys": list(keys), "buckets": n, "null_safe": null_safe, "live": live,
+                     "schema": schema.jsonValue(), "writers": dict(about["writers"]) if about else {}}
+            if batch_id is not None:
+                after["writers"][writer] = batch_id
+            if fs.write_new(spark, f"{path}/_versions/{v:012d}.json", json.dumps(after)):
+                _drop_old(spark, path, keep)
+                return v
+            fs.delete(spark, f"{path}/data/{folder}")
+        raise RuntimeError(f"{path}: {RETRIES} other writers committed first")
+    finally:
+        if stage is not None:
+            fs.delete(spark, stage)
+
+
+def _check_layout(path: str, about: dict, keys: Sequence[str], buckets: int | None, null_safe: bool) -> None:
+    asked = {"keys": list(keys), "buckets": buckets or about["buckets"], "null_safe": null_safe}
+    for name, value in asked.items():
+        if about[name] != value:
+            raise ValueError(f"{path}: the table has {name}={about[name]!r}, not {value!r}")
 
 
 def _clustered(df: DataFrame) -> DataFrame:
-    """Group rows by table partition before writing (few files per partition).
+    """Group rows by bucket before writing (few files per bucket).
 
-    The ``rebalance`` hint lets AQE split a partition that holds too many rows
-    (say the newest id range) over several tasks and merge small ones.
+    The ``rebalance`` hint lets AQE split a bucket that holds too many rows
+    over several tasks and merge small ones.
     """
     return df.hint("rebalance", BUCKET)
 
 
-def _upsert_bucketed(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], *,
-                     part: F.Column, batch_id: int | None, order_by: str | None,
-                     null_safe: bool, newest_wins: bool, on_duplicate: str) -> int:
-    marks = f"{path}/_batches"
-    done = sorted(int(n) for n in fs.list_names(spark, marks) if n.isdigit())
-    if batch_id is None:
-        batch_id = done[-1] + 1 if done else 0
-    elif batch_id in done:
-        return batch_id                      # replay of a committed batch
-    src = reduce_source(source, keys, order_by, on_duplicate).withColumn(BUCKET, part)
-    if not _is_bucketed(spark, path):
-        _clustered(src).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
-    else:
-        target = spark.read.parquet(path)
-        touched = src.select(BUCKET).distinct()          # one row per touched partition
-        tgt = target.join(F.broadcast(touched), BUCKET, "left_semi")
-        merged = merge_frames(tgt, src, keys, null_safe, newest_wins, order_by)
-        stage = f"{path}/_staging/{batch_id:012d}"
-        _clustered(merged).write.mode("overwrite").partitionBy(BUCKET).parquet(stage)
-        # explicit schema: an empty batch stages no files and then replaces nothing
-        (spark.read.schema(merged.schema).parquet(stage).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
-        fs.delete(spark, stage)
-    fs.touch(spark, f"{marks}/{batch_id:012d}")
-    return batch_id
+def _drop_old(spark: SparkSession, path: str, keep: int) -> None:
+    """Remove versions beyond the newest ``keep`` and the folders only they name."""
+    found = versions(spark, path)
+    old, kept = found[:-max(keep, 1)], found[-max(keep, 1):]
+    used = {(b, f) for v in kept for b, f in _version(spark, path, v)["live"].items()}
+    for v in old:
+        for b, f in _version(spark, path, v)["live"].items():
+            if (b, f) not in used:
+                fs.delete(spark, _folder(path, f, b))
+        fs.delete(spark, f"{path}/_versions/{v:012d}.json")
 
 
 def merge_into(source: DataFrame, table: str, keys: Sequence[str], null_safe: bool = False) -> None:

@@ -29,7 +29,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wiremap.functions.columns import asc_last, desc_last
 from wiremap.operators.asof import DEFAULT_BUCKET_SECONDS, asof_latest
-from wiremap.operators.broadcast import fits
 from wiremap.operators.latest import latest_by_key, total_order
 from wiremap.operators.recent import recent
 
@@ -52,22 +51,18 @@ def ip_packet(network_ip: DataFrame, network_packet: DataFrame) -> DataFrame:
     return ip.join(pk, ["_id", "hostname"], "inner")
 
 
-def packet_with_host(packets: DataFrame, interfaces: DataFrame,
-                     broadcast_max_rows: int | None = None) -> DataFrame:
+def packet_with_host(packets: DataFrame, interfaces: DataFrame) -> DataFrame:
     """Source interface on the sending machine, destination interface on any machine.
 
     Rows need both networks and distinct hosts; a host with several
     interfaces yields one row per interface (as written in the pipeline).
     """
     iface = interfaces.filter(F.col("network").isNotNull()).select("host", "hostname", "network")
-    small = fits(iface, broadcast_max_rows)
     src = iface.select(F.col("host").alias("source_host"), "hostname",
                        F.col("network").alias("source_network"))
     dst = iface.select(F.col("host").alias("destination_host"),
                        F.col("network").alias("destination_network"),
                        F.col("hostname").alias("destination_hostname"))
-    if small:
-        src, dst = F.broadcast(src), F.broadcast(dst)
     out = (packets.join(src, ["source_host", "hostname"], "inner")
            .join(dst, ["destination_host"], "inner")
            .filter(F.col("source_host") != F.col("destination_host")))
@@ -85,8 +80,7 @@ def earliest_starts(process: DataFrame) -> DataFrame:
 
 
 def packet_with_process(packets: DataFrame, process_network: DataFrame, process: DataFrame,
-                        reduce_first: bool = True,
-                        broadcast_max_rows: int | None = None) -> DataFrame:
+                        reduce_first: bool = True) -> DataFrame:
     """Left-join the packet->pid link, then the process attributes.
 
     The process table is joined to the link table first (both are keyed by
@@ -99,12 +93,8 @@ def packet_with_process(packets: DataFrame, process_network: DataFrame, process:
     link = process_network.select(F.col("packet_id").alias("_id"), "hostname", "pid")
     proc = process.select("pid", "hostname", "ppid", "uid", "command", "full_command",
                           F.col("started_at").alias("process_started_at"))
-    # The size check runs on the unreduced input: a bound on it bounds the reduction.
-    small = fits(proc, broadcast_max_rows)
     if reduce_first:
         proc = earliest_starts(proc)
-    if small:
-        proc = F.broadcast(proc)
     link_proc = link.join(proc, ["pid", "hostname"], "left")
     out = packets.join(link_proc, ["_id", "hostname"], "left")
     return out.select(*packets.columns, "pid", *PROCESS_COLUMNS)
@@ -112,8 +102,7 @@ def packet_with_process(packets: DataFrame, process_network: DataFrame, process:
 
 def packet_with_latest_process(packets: DataFrame, process_network: DataFrame,
                                process: DataFrame, keep_unmatched: bool = False,
-                               bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                               broadcast_max_rows: int | None = None) -> DataFrame:
+                               bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Candidates for ``pick="latest"`` without joining every start.
 
     Each packet row gets the latest start before it through the as-of
@@ -127,14 +116,11 @@ def packet_with_latest_process(packets: DataFrame, process_network: DataFrame,
     start = F.col("started_at")
     attrs = ["ppid", "uid", "command", "full_command"]
     proc = process.select("pid", "hostname", "started_at", *attrs)
-    small = fits(proc, broadcast_max_rows)     # bounds the flags and null-start rows too
     matched = asof_latest(with_pid, proc.filter(start.isNotNull()), ["hostname", "pid"],
                           "created_at", "started_at", attrs, out="__proc",
                           bucket_seconds=bucket_seconds)
     flags = proc.groupBy("hostname", "pid").agg(F.count(F.lit(1)).alias("__n_any"),
                                                 F.count(start).alias("__n_start"))
-    if small:
-        flags = F.broadcast(flags)
     m = matched.join(flags, ["hostname", "pid"], "left")
     keep = F.col("__proc").isNotNull() | F.col("__n_any").isNull()
     if keep_unmatched:
@@ -143,8 +129,6 @@ def packet_with_latest_process(packets: DataFrame, process_network: DataFrame,
         *with_pid.columns, *[F.col("__proc").getField(c).alias(c) for c in attrs],
         F.col("__proc").getField("started_at").alias("process_started_at"))
     null_start = proc.filter(start.isNull()).withColumnRenamed("started_at", "process_started_at")
-    if small:
-        null_start = F.broadcast(null_start)
     no_start = with_pid.join(null_start, ["pid", "hostname"], "inner") \
         .select(*with_pid.columns, *PROCESS_COLUMNS)
     return found.unionByName(no_start)
@@ -212,8 +196,7 @@ def packet_map(network_ip: DataFrame, network_packet: DataFrame, interfaces: Dat
                pick: str = "earliest",
                pick_keys: tuple[str, ...] = ("_id", "hostname", "pid"),
                keep_unmatched: bool = False,
-               reduce_first: bool = True,
-               broadcast_max_rows: int | None = None) -> DataFrame:
+               reduce_first: bool = True) -> DataFrame:
     """Full gold packet map (G1).
 
     ``lookback_minutes`` applies the ingest-time look-back to the fact tables
@@ -226,16 +209,14 @@ def packet_map(network_ip: DataFrame, network_packet: DataFrame, interfaces: Dat
         return recent(df, lookback_minutes, "dtk_inserted_at", as_of)
 
     pk = ip_packet(window(network_ip, False), window(network_packet, False))
-    pk = packet_with_host(pk, window(interfaces, True), broadcast_max_rows)
+    pk = packet_with_host(pk, window(interfaces, True))
     links, procs = window(process_network, False), window(process, True)
     if reduce_first and pick == "latest":
-        pk = packet_with_latest_process(pk, links, procs, keep_unmatched=keep_unmatched,
-                                        broadcast_max_rows=broadcast_max_rows)
+        pk = packet_with_latest_process(pk, links, procs, keep_unmatched=keep_unmatched)
         return network_map_packet(pick_process(pk, pick=pick, pick_keys=pick_keys), as_of)
     # Exact for the earliest pick whatever the pick keys: per (hostname, pid)
     # an eligible start exists iff the earliest one is eligible, and the
     # minimum over hostnames of those earliest starts is the overall minimum.
-    pk = packet_with_process(pk, links, procs, reduce_first=reduce_first,
-                             broadcast_max_rows=broadcast_max_rows)
+    pk = packet_with_process(pk, links, procs, reduce_first=reduce_first)
     pk = pick_process(pk, pick=pick, pick_keys=pick_keys, keep_unmatched=keep_unmatched)
     return network_map_packet(pk, as_of)

@@ -7,6 +7,7 @@ missing, which is the case in unit tests on a laptop.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,7 +48,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        # Only reached where nobody configured a shared folder (local tests).
+        if re.match(r"local(\[|$)", spark.sparkContext.master) is None:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        # One process (tests): any folder is shared.
         d = tempfile.mkdtemp(prefix="wiremap-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     elif spark.sparkContext.getCheckpointDir() is None:
@@ -75,8 +78,7 @@ def materialize(df, name: str = "materialized"):
     return spark.read.parquet(path)
 
 
-def sizing_conf(input_bytes: int, target_partition_bytes: int = 128 << 20,
-                max_partitions: int = 200_000) -> dict[str, str]:
+def sizing_conf(input_bytes: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
     """Shuffle and scan sizing for an input of ``input_bytes`` (compressed parquet).
 
     Shuffle partitions start at about one per ``target_partition_bytes`` of
@@ -84,7 +86,7 @@ def sizing_conf(input_bytes: int, target_partition_bytes: int = 128 << 20,
     advisory size and splits skewed ones.  Apply with ``spark.conf.set`` before
     the job (these are runtime SQL settings).
     """
-    parts = max(8, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    parts = max(8, -(-int(input_bytes) // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),

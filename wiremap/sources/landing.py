@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,12 +23,15 @@ def write_capture_files(spark: SparkSession, df: DataFrame, landing: str,
                         host_col: str = "hostname", stamp_col: str = "ts") -> list[str]:
     landing = landing.rstrip("/")
     staging = f"{landing}_staging_{uuid.uuid4().hex[:8]}"
-    df.write.mode("overwrite").partitionBy(host_col).parquet(staging)
     first = df.groupBy(host_col).agg(F.min(stamp_col).alias("t0")).collect()
+    if odd := [r[0] for r in first if not r[0] or set(r[0]) & set("/:\0")]:
+        raise ValueError(f"no file can be named after host {odd[0]!r}")
+    df.write.mode("overwrite").partitionBy(host_col).parquet(staging)
     fs.mkdirs(spark, landing)
     written = []
+    folders = {unquote(n.split("=", 1)[1]): n for n in fs.list_names(spark, staging) if "=" in n}
     for host, t0 in sorted((r[0], r[1]) for r in first):
-        part_dir = f"{staging}/{host_col}={host}"
+        part_dir = f"{staging}/{folders[host]}"
         parts = sorted(n for n in fs.list_names(spark, part_dir) if n.endswith(".parquet"))
         stamp = t0 or dt.datetime(1970, 1, 1)
         for part in parts:

@@ -28,7 +28,8 @@ def _schema(*cols: tuple[str, T.DataType], inserted_at: bool = True) -> T.Struct
     return T.StructType(fields)
 
 
-# Raw capture schemas (the columns the pipeline reads; extra columns pass through).
+# Columns the pipeline reads from each raw table.  Files may hold more; ingest takes the
+# schema from the files and only checks that these are there (``streaming.pipeline``).
 RAW_SCHEMAS: dict[str, T.StructType] = {
     "dim_network_host": _schema(("_id", LONG), ("address", ADDRESS), ("host", STR), inserted_at=False),
     "dim_file_reg": _schema(("pid", LONG), ("fd", STR), ("node", LONG)),
@@ -67,6 +68,7 @@ class TableSpec:
     distinct_only: tuple[str, ...] = ()         # host table: project + distinct, no latest
     order_by: str = "inserted_at"   # arrival clock for the latest row
     tie_break: tuple[str, ...] = field(default=())
+    buckets: int = 16               # hash buckets of the keyed table, fixed by its first write
 
 
 # The silver tables, their keys and enrichments, as the pipeline defines them.

@@ -32,7 +32,8 @@ def start_bronze(spark: SparkSession, raw_path: str, bronze_path: str, checkpoin
                  inserted_at: Column | None = None, available_now: bool = True,
                  processing_time: str | None = None, distinct: bool = True,
                  dedupe_keys: list[str] | None = None,
-                 watermark: tuple[str, str] | None = None) -> StreamingQuery:
+                 watermark: tuple[str, str] | None = None,
+                 on_bad_name: str = "null") -> StreamingQuery:
     """Start the raw -> bronze stream of one table.
 
     ``dedupe_keys`` with ``watermark=(event time column, delay)`` switches from
@@ -41,7 +42,7 @@ def start_bronze(spark: SparkSession, raw_path: str, bronze_path: str, checkpoin
     within the delay are dropped too, with state bounded by the watermark.
     """
     stream = add_file_provenance(raw_stream(spark, raw_path, schema, max_files_per_trigger),
-                                 inserted_at=inserted_at)
+                                 inserted_at=inserted_at, on_bad_name=on_bad_name)
     if dedupe_keys:
         if not watermark:
             raise ValueError("dedupe_keys needs watermark=(event time column, delay)")

@@ -16,22 +16,25 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from wiremap import fs
-from wiremap.operators.upsert import default_partition, read_keyed, upsert
+from wiremap.operators.upsert import read_keyed, upsert
 from wiremap.plans.connection_map import connection_map
 from wiremap.plans.packet_map import packet_map
 from wiremap.spec import (
     CONNECTION_KEYS, GOLD_LOOKBACK_MINUTES, GOLD_REFRESH_SECONDS, PACKET_KEYS,
 )
+from wiremap.streaming.silver import query_writer
 
 log = logging.getLogger(__name__)
 
 PACKET_TABLE = "fact_network_map_packet"
 CONNECTION_TABLE = "fact_network_map_connection"
+GOLD_BUCKETS = 16
 
 
 @dataclass
@@ -57,37 +60,29 @@ def silver_inputs(spark: SparkSession, silver_path: str) -> SilverInputs:
 def refresh(spark: SparkSession, inputs: SilverInputs, gold_path: str, *,
             as_of: Column | dt.datetime | None = None,
             lookback_minutes: int | None = GOLD_LOOKBACK_MINUTES,
-            batch_id: int | None = None, align_minutes: bool = False,
-            dim_lookback: bool = True, partitioned: bool = True,
-            time_grain: str = "yyyyMMddHH") -> int:
-    """One gold refresh; returns the version written to both gold tables.
-
-    ``time_grain`` is the partition grain of the connection table (a table
-    property: keep it fixed for a table).  Hourly suits the steady 10-minute
-    refresh, which then rewrites at most two hours; a one-shot backfill of
-    many days into a fresh table is cheaper with daily partitions.
+            batch_id: int | None = None, writer: str = "refresh", align_minutes: bool = False,
+            dim_lookback: bool = True, buckets: int = GOLD_BUCKETS) -> None:
+    """One gold refresh.
+
+    ``batch_id`` numbers the refreshes of one ``writer``; a number that it has
+    committed is a replay.  Without one the refresh always runs.
     """
     gold_path = gold_path.rstrip("/")
     packets = packet_map(inputs.network_ip, inputs.network_packet, inputs.interfaces,
                          inputs.process_network, inputs.process, as_of=as_of,
                          lookback_minutes=lookback_minutes, dim_lookback=dim_lookback)
-    if batch_id is None:
-        batch_id = int(time.time() * 1000)   # monotonic enough for a manual refresh
-    stage = f"{gold_path}/_refresh/{batch_id:012d}"
-    packets.write.mode("overwrite").parquet(stage)
-    pk = spark.read.parquet(stage)
-    # Partitioned layout: packets by packet-id range, connections by day, so a
-    # refresh rewrites only the partitions of the last minutes.
-    part = ((lambda keys: default_partition(keys, time_grain)) if partitioned
-            else (lambda keys: None))
-    upsert(spark, pk, f"{gold_path}/{PACKET_TABLE}", list(PACKET_KEYS), batch_id=batch_id,
-           partition=part(PACKET_KEYS))
-    conn = connection_map(pk, align_minutes=align_minutes)
-    # one row per connection key by construction (group limit in connection_map)
-    upsert(spark, conn, f"{gold_path}/{CONNECTION_TABLE}", list(CONNECTION_KEYS),
-           batch_id=batch_id, partition=part(CONNECTION_KEYS), unique_keys=True)
-    fs.delete(spark, stage)
-    return batch_id
+    stage = f"{gold_path}/_refresh/{uuid.uuid4().hex}"
+    try:
+        packets.write.parquet(stage)
+        pk = spark.read.schema(packets.schema).parquet(stage)
+        upsert(spark, pk, f"{gold_path}/{PACKET_TABLE}", list(PACKET_KEYS), batch_id=batch_id,
+               writer=writer, buckets=buckets)
+        conn = connection_map(pk, align_minutes=align_minutes)
+        # one row per connection key by construction (group limit in connection_map)
+        upsert(spark, conn, f"{gold_path}/{CONNECTION_TABLE}", list(CONNECTION_KEYS),
+               batch_id=batch_id, writer=writer, buckets=buckets, unique_keys=True)
+    finally:
+        fs.delete(spark, stage)
 
 
 def start_gold(spark: SparkSession, ticks: DataFrame, silver_path: str, gold_path: str,
@@ -95,10 +90,12 @@ def start_gold(spark: SparkSession, ticks: DataFrame, silver_path: str, gold_pat
                lookback_minutes: int | None = GOLD_LOOKBACK_MINUTES,
                available_now: bool = False):
     """Run ``refresh`` on every trigger of a streaming query over ``ticks``."""
+    writer_id = query_writer(spark, checkpoint)
+
     def run(_batch: DataFrame, batch_id: int) -> None:
         t0 = time.time()
         refresh(spark, silver_inputs(spark, silver_path), gold_path,
-                lookback_minutes=lookback_minutes, batch_id=batch_id)
+                lookback_minutes=lookback_minutes, batch_id=batch_id, writer=writer_id())
         took = time.time() - t0
         if took > period_seconds:
             log.warning("gold refresh took %.1f s, longer than its %d s period",

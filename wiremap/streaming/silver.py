@@ -6,12 +6,14 @@ is a ``foreachBatch`` function: the micro-batch is a plain DataFrame there.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wiremap.operators.broadcast import fits
+from wiremap.fs import read_text
 from wiremap.operators.latest import latest_by_key
 from wiremap.operators.lookup import host_by_address, lookup_host
-from wiremap.operators.upsert import default_partition, upsert
+from wiremap.operators.upsert import upsert
 from wiremap.spec import TableSpec
 
 
@@ -23,49 +25,47 @@ def silver_batch(df: DataFrame, spec: TableSpec, hosts: DataFrame | None = None)
         if hosts is None:
             raise ValueError(f"{spec.target} needs the host table for its lookups")
         reduced = host_by_address(hosts)
-        small = fits(hosts.select("address"))
         for address_col, out_col in spec.lookups:
-            df = lookup_host(df, hosts, address_col, out_col, reduced=reduced, small=small)
+            df = lookup_host(df, hosts, address_col, out_col, reduced=reduced)
     if spec.mask_from:
         df = df.withColumn("mask", F.col(spec.mask_from).getField("mask"))
     return latest_by_key(df, spec.keys, spec.order_by, spec.tie_break)
 
 
-# Default layout of keyed silver tables: partitioned by a function of the keys
-# (``default_partition``: day of a time key, id range, or hash bucket), so a
-# batch rewrites only the partitions its keys fall in.  ``None`` = snapshots.
-DEFAULT_BUCKETS = "auto"
-
-
 def silver_writer(spark: SparkSession, spec: TableSpec, target_path: str,
                   hosts_loader=None, newest_wins: bool = False, null_safe: bool = False,
-                  buckets: int | str | None = DEFAULT_BUCKETS):
+                  writer=None):
     """``foreachBatch`` function for one silver table.
 
     ``hosts_loader()`` returns the host table as it is now (read per batch,
     like the pipeline).  ``newest_wins`` re-ranks the stored row against the
     incoming one by the clock instead of letting the later batch win.
+    ``writer()`` names the streaming query whose batch numbers these are.
     """
     def run(batch_df: DataFrame, batch_id: int) -> None:
         hosts = hosts_loader() if (hosts_loader and spec.lookups) else None
         out = silver_batch(batch_df, spec, hosts)
-        layout = ({"partition": default_partition(spec.keys)} if buckets == "auto"
-                  else {"buckets": buckets})
         upsert(spark, out, target_path, list(spec.keys), batch_id=batch_id,
+               writer=writer() if writer else "stream",
                order_by=None if spec.distinct_only else spec.order_by,
                newest_wins=newest_wins and not spec.distinct_only, null_safe=null_safe,
-               unique_keys=True, **layout)   # silver_batch left one row per key
+               unique_keys=True, buckets=spec.buckets)   # silver_batch left one row per key
     return run
 
 
+def query_writer(spark: SparkSession, checkpoint: str):
+    """The id of the query that owns a checkpoint; a new checkpoint has a new one."""
+    return lambda: "query:" + json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
 def start_silver(spark: SparkSession, stream: DataFrame, spec: TableSpec, target_path: str,
                  checkpoint: str, *, hosts_loader=None, newest_wins: bool = False,
                  null_safe: bool = False, available_now: bool = True,
-                 processing_time: str | None = None,
-                 buckets: int | str | None = DEFAULT_BUCKETS):
+                 processing_time: str | None = None):
     writer = (stream.writeStream.outputMode("update")
               .foreachBatch(silver_writer(spark, spec, target_path, hosts_loader,
-                                          newest_wins, null_safe, buckets))
+                                          newest_wins, null_safe,
+                                          query_writer(spark, checkpoint)))
               .option("checkpointLocation", checkpoint))
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
