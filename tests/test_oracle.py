@@ -10,7 +10,7 @@ from tools.check_oracle import TABLES, digest
 
 from conftest import SF_SMALL
 
-SQL = entry.oracle_sql()
+SQL = entry.network_oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,7 @@ def con():
 
 def test_every_query_is_registered_with_sql_or_documented():
     rows_only = {"src_file_meta"}
-    assert set(entry.queries()) - set(SQL) == rows_only
+    assert set(entry.network_queries()) - set(SQL) == rows_only
 
 
 def test_entry_smoke(spark):
