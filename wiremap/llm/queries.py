@@ -96,9 +96,9 @@ def op9_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP9_SQL = """
 with v as (
-    select vec_id, list_transform(embedding::double[], x -> floor(1024 * x)::bigint) as q from embeddings
+    select vec_id, list_transform(embedding::double[], lambda x: floor(1024 * x)::bigint) as q from embeddings
     where vec_id is not null and embedding is not null
-        and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 part as (select vec_id, unnest(q) as x, unnest(range(len(q))) as i from v),
 score as (
     select a.vec_id as query_id, b.vec_id, sum(a.x * b.x)::bigint as score
