@@ -11,12 +11,14 @@ of similarity J stays together on a branch with probability J, and a node has
 however deep the tree is; independent trees raise the recall.  Over sixteen trees a
 pair at 0.85 is missed with a probability below 1e-5.
 
-Sizes are looked at every second level.  Nodes of at most ``SMALL`` classes
+Sizes are looked at every second level.  A larger node of which half the
+classes are as similar to one of them as linked documents (a group of near
+copies) is branched no further.  Nodes of at most ``SMALL`` classes
 are compared exhaustively: the pairs that their signatures don't rule out
 (estimate above threshold - 6 standard deviations) are confirmed on the full
 sets.  Confirmation runs in two rounds.  The first takes only a spanning
-forest of each small node, and the links to two pivots of each node that is
-still large at the last level (thousands of near copies).  The second takes
+forest of each small node, and the links to two pivots of each node that stays
+large (thousands of near copies).  The second takes
 all remaining pairs that lie in one node but in different components; in a
 large node only classes outside its largest component are compared, in blocks,
 with the whole node.  So no link that joins two components is lost, and a
@@ -171,9 +173,29 @@ def _grouped(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, "node")
 
 
+def _alike(live: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
+    """The nodes of which half the classes are as similar to a pivot as linked ones.
+
+    Branching cannot split a group of near copies; it only repeats its rows.
+    """
+    pivots = live.groupBy("node").agg(F.min_by("rep", F.xxhash64("rep")).alias("rep"))
+    pivots = pivots.join(reps, "rep").select("node", F.col("signature").alias("pivot"))
+
+    def near(batches):
+        for b in batches:
+            same = [np.mean(np.frombuffer(x, np.uint32) == np.frombuffer(y, np.uint32)) >= threshold
+                    for x, y in zip(b.column("signature").to_pylist(), b.column("pivot").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(same, pa.bool_())], names=["node", "near"])
+
+    rows = live.join(reps, "rep").select("node", "signature").join(pivots, "node")
+    share = rows.mapInArrow(near, "node long, near boolean").groupBy("node").agg(
+        F.avg(F.col("near").cast("int")).alias("share"))
+    return stored(share.filter("share >= 0.5").select("node"), "alike")
+
+
 def nodes(reps: DataFrame, trees: int, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Leaf nodes: (small) distinct member lists, (large) rows (node, rep)."""
-    small, live = None, None
+    small, live, large = None, None, None
     for level in range(LEVELS):
         source = reps.select("rep", "signature") if live is None else live.join(reps, "rep").select(
             "node", "rep", "signature")
@@ -182,9 +204,14 @@ def nodes(reps: DataFrame, trees: int, threshold: float) -> tuple[DataFrame, Dat
             F.array_sort(F.collect_set("rep")).alias("members")).select("members")
         small = leaf if small is None else small.unionByName(leaf)
         live = found.filter(F.col("size") > SMALL).select("node", "rep")
+        whole = live
+        if level + 1 < LEVELS:
+            alike = _alike(live, reps, threshold)
+            whole, live = live.join(alike, "node", "left_semi"), live.join(alike, "node", "left_anti")
+        large = whole if large is None else large.unionByName(whole)
     lists = stored(small.filter(F.size("members") > 1).distinct()
                    .withColumn("list", F.xxhash64("members")), "lists")
-    return lists, live.distinct()
+    return lists, stored(large.distinct(), "large-nodes")
 
 
 def estimates(sig: np.ndarray, other: np.ndarray) -> np.ndarray:
@@ -297,11 +324,10 @@ def rest_pairs(lists: DataFrame, large: DataFrame, reps: DataFrame, labels: Data
     return inside.unionByName(outside).distinct()
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
-            percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union on full sets."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(
-        pairs.select(F.col("b").alias("doc_id"))).distinct()
+def full_sets(lists: DataFrame, large: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """The full sets (rep, hashes) of all classes that share a node with another one."""
+    wanted = lists.select(F.explode("members").alias("doc_id")).unionByName(
+        large.select(F.col("rep").alias("doc_id"))).distinct()
 
     def run(batches):
         for b in by_bytes(batches, "text", 4 << 20):
@@ -309,9 +335,14 @@ def confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
                 [b.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(b.column("text"), words)],
                                               pa.binary())], names=["rep", "hashes"])
 
-    sets = stored(docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
+    # The ids grow with the corpus, so they are never broadcast.
+    return stored(docs.join(wanted.hint("merge"), "doc_id", "left_semi").select("doc_id", "text")
                   .mapInArrow(run, "rep long, hashes binary"), "sets")
 
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with 100 * intersection >= percent * union on full sets."""
+
     def judge(batches):
         for b in batches:
             same = []
@@ -343,10 +374,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, trees: i
                   .filter("rep is not null").select("rep", "signature"), "classes")
     lists, large = nodes(reps, trees, threshold)
     pairs = stored(first_pairs(lists, large, reps, cutoff), "pairs")
-    links = confirm(pairs, rows, classes, words, percent)
+    sets = full_sets(lists, large, rows, words)
+    links = confirm(pairs, sets, percent)
     labels = stored(components(links), "components")
     more = stored(rest_pairs(lists, large, reps, labels, cutoff).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(confirm(more, rows, classes, words, percent))
+    links = links.unionByName(confirm(more, sets, percent))
     labels = components(links)
     known = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id"))
