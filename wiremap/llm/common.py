@@ -59,3 +59,15 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str,
                 start, total = i, 0
             total += int(n)
         yield b.slice(start)
+
+
+def hash_sample(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """At most ``size`` rows, those with the smallest hashes of ``key``.
+
+    A filter on the hash lets about twice as many rows through to the sort, so
+    what tasks hand on doesn't grow with their number.
+    """
+    total, top = rows.count(), 1 << 40
+    if total > 2 * size:
+        rows = rows.filter(F.pmod(F.xxhash64(key), F.lit(top)) < int(2 * size / total * top))
+    return rows.orderBy(F.pmod(F.xxhash64(key), F.lit(top)), key).limit(size)

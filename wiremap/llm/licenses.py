@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wiremap.llm.common import id_text
+from wiremap.llm.common import hash_sample, id_text
 from wiremap.llm.toxicity import minimise
 
 SAMPLE_LINES = 2_000
@@ -205,7 +205,7 @@ def fit(lines: list[str], ridge: float = 1e-3) -> Model:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     lines = id_text(docs, id_col, text_col).select(F.explode(F.split("text", "\n")).alias("line"))
     lines = lines.filter(F.length("line") <= 2_000)
-    got = lines.orderBy(F.xxhash64("line"), "line").limit(SAMPLE_LINES).collect()
+    got = hash_sample(lines, "line", SAMPLE_LINES).collect()
     return fit([r["line"] for r in got])
 
 

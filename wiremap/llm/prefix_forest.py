@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from wiremap.llm.common import stored
+from wiremap.llm.common import hash_sample, stored
 from wiremap.llm.vectors import best_columns, classes, clean_vectors, matrix, ranked
 
 BITS = 64
@@ -84,7 +84,7 @@ def nearest(rows: DataFrame, k: int, every: int, trees: int = 8, share: float =
     if not n:
         return spark.createDataFrame([], RESULT)
     top, dim, planes = about["top"], about["dim"], projections(trees, about["dim"])
-    sample = groups.orderBy(F.xxhash64("class_id"), "class_id").limit(SAMPLE).select("v").collect()
+    sample = hash_sample(groups, "class_id", SAMPLE).select("v").collect()
     sample = np.array([r["v"] for r in sample])
     lengths = lambda v: np.sqrt(np.maximum(top - (v * v).sum(1), 0))
     keys = hash_strings(sample, lengths(sample), planes)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wiremap.llm.common import by_bytes, id_text
+from wiremap.llm.common import by_bytes, hash_sample, id_text
 
 BINS = 1 << 22
 PREFIXES = (4, 5, 6)
@@ -190,8 +190,8 @@ def grade_labels(rows: np.ndarray, bins: np.ndarray, counts: np.ndarray, toxic:
 def sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int):
     """Features and labels of at most ``max_rows`` labelled documents, at the driver."""
     wanted = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
-              .dropna().groupBy("doc_id").agg(F.max("y").alias("y"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
+              .dropna().groupBy("doc_id").agg(F.max("y").alias("y")))
+    wanted = hash_sample(wanted, "doc_id", max_rows)
 
     def features(batches):
         for b in by_bytes(batches, "text"):
