@@ -281,6 +281,43 @@ def q_upsert_newest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_keyed(spark, path)
 
 
+def _upsert_thirds(spark: SparkSession, sf_dir: str, writes) -> DataFrame:
+    """Events by event_id modulo 3, as three writes of (third, writer, batch number)."""
+    path, ev = scratch_path(spark, "upsert"), read_table(spark, sf_dir, "events")
+    for third, writer, number in writes:
+        upsert(spark, ev.filter(F.col("event_id") % 3 == third), path, _EV_KEYS, batch_id=number,
+               writer=writer, order_by="ts")
+    return read_keyed(spark, path)
+
+
+def q_upsert_three_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of one writer; the last one is replayed."""
+    return _upsert_thirds(spark, sf_dir, [(0, "s", 0), (1, "s", 1), (2, "s", 2), (0, "s", 2)])
+
+
+def q_upsert_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers whose batch numbers overlap."""
+    return _upsert_thirds(spark, sf_dir, [(0, "one", 0), (1, "two", 0), (2, "one", 1)])
+
+
+def q_upsert_after_reenrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch job without numbers between two batches of a stream."""
+    return _upsert_thirds(spark, sf_dir, [(0, "stream", 0), (1, "job", None), (2, "stream", 1)])
+
+
+def q_upsert_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A restarted stream counts from 0 again, under its new query id."""
+    return _upsert_thirds(spark, sf_dir, [(0, "query:a", 0), (1, "query:a", 1), (2, "query:b", 0)])
+
+
+def q_upsert_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, ev = scratch_path(spark, "upsert"), read_table(spark, sf_dir, "events")
+    upsert(spark, ev.filter(F.col("event_id") % 2 == 0), path, _EV_KEYS, order_by="ts")
+    odd = ev.filter(F.col("event_id") % 2 == 1).withColumn("odd_id", F.col("event_id"))
+    upsert(spark, odd, path, _EV_KEYS, order_by="ts")
+    return read_keyed(spark, path)
+
+
 # ---------------------------------------------------------------- streams
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -446,6 +483,11 @@ def network_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsert_null_keys": q_upsert_null_keys,
         "upsert_null_safe": q_upsert_null_safe,
         "upsert_newest_wins": q_upsert_newest_wins,
+        "upsert_three_batches": q_upsert_three_batches,
+        "upsert_two_writers": q_upsert_two_writers,
+        "upsert_after_reenrich": q_upsert_after_reenrich,
+        "upsert_new_checkpoint": q_upsert_new_checkpoint,
+        "upsert_new_column": q_upsert_new_column,
         "src_stream_parquet": q_src_stream_parquet,
         "stream_distinct": q_stream_distinct,
         "src_file_meta": q_src_file_meta,
@@ -499,6 +541,11 @@ def network_oracle_sql() -> dict[str, str]:
         "upsert_null_keys": O.UPSERT_NULL_KEYS.format(match="s.k = t.k"),
         "upsert_null_safe": O.UPSERT_NULL_KEYS.format(match="s.k is not distinct from t.k"),
         "upsert_newest_wins": O.UPSERT_FIRST_LOAD,
+        "upsert_three_batches": O.UPSERT_THREE_BATCHES,
+        "upsert_two_writers": O.UPSERT_THREE_BATCHES,
+        "upsert_after_reenrich": O.UPSERT_THREE_BATCHES,
+        "upsert_new_checkpoint": O.UPSERT_THREE_BATCHES,
+        "upsert_new_column": O.UPSERT_NEW_COLUMN,
         "src_stream_parquet": O.with_ctes(
             O.CAPTURE_CTES, "select event_id, ts, user_id, event_type, value, props, hostname from ev"),
         "stream_distinct": O.with_ctes(

@@ -303,6 +303,26 @@ union all
 select * from s
 """
 
+# Batches of events (event_id modulo 3) by arrival; a later batch replaces a key's row.
+UPSERT_THREE_BATCHES = """
+with b as (
+""" + "\nunion all\n".join(
+    f"select *, {arrival} as arrival from (select * from events where event_id % 3 = {part}"
+    + _EV_LATEST.format(keys="user_id, event_type") + ")"
+    for arrival, part in enumerate((0, 1, 2))) + """)
+select event_id, ts, user_id, event_type, value, props from b
+qualify row_number() over (partition by user_id, event_type order by arrival desc) = 1
+"""
+
+UPSERT_NEW_COLUMN = """
+with t as (select * from events where event_id % 2 = 0""" + _EV_LATEST.format(keys="user_id, event_type") + """),
+s as (select * from events where event_id % 2 = 1""" + _EV_LATEST.format(keys="user_id, event_type") + """)
+select *, null::bigint as odd_id from t
+where not exists (select 1 from s where s.user_id = t.user_id and s.event_type = t.event_type)
+union all
+select *, event_id as odd_id from s
+"""
+
 UPSERT_FIRST_LOAD = """
 select * from events""" + _EV_LATEST.format(keys="user_id, event_type") + "\n"
 
