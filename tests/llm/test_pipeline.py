@@ -5,9 +5,9 @@ import collections
 import corpus_pipeline as cp
 import __spark_entry__ as entry
 
-from conftest import SF
-from test_lines import brute as brute_lines
-from test_near_dups import brute as brute_near
+from .conftest import SF
+from .test_lines import brute as brute_lines
+from .test_near_dups import brute as brute_near
 
 
 def test_queries_are_registered():

@@ -5,7 +5,7 @@ import numpy as np
 
 from wiremap.llm import prefix_forest, queries, threshold_topk
 
-from conftest import SF
+from .conftest import SF
 
 ODD = [(None, [1.0, 2.0, 3.0]), (7, None), (8, [1.0, None, 2.0]), (9, [float("nan"), 1.0, 1.0]),
        (13, [float("inf"), 1.0, 1.0]), (12, [1.0, 2.0]), (14, [])]
