@@ -56,8 +56,9 @@ def test_equals_brute_force(spark):
     assert result(near_dups.near_duplicates(docs)) == brute(rows)
 
 
-def test_large_group_of_near_copies(spark):
+def test_large_group_of_near_copies(spark, monkeypatch):
     """More members than a small node holds, some of them linked through others only."""
+    monkeypatch.setattr(near_dups, "SMALL", 32)
     rng = random.Random(4)
     base = [f"w{i}" for i in range(400)]
     rows = [(i, edited(base, rng, rng.choice((1, 2, 3, 5, 7)))) for i in range(150)]
@@ -69,6 +70,7 @@ def test_large_group_of_near_copies(spark):
 def test_blocks_of_a_large_node(spark, monkeypatch):
     """Only pairs between components, each block against each, none lost."""
     monkeypatch.setattr(near_dups, "BLOCK", 4)
+    monkeypatch.setattr(near_dups, "SMALL", 8)
     rng = random.Random(5)
     base = [f"w{i}" for i in range(300)]
     rows = [(i, edited(base, rng, rng.choice((2, 8, 9)))) for i in range(60)]

@@ -44,7 +44,7 @@ from wiremap.llm.components import components
 
 SIGNATURE = 128
 TREES = 16
-SMALL = 32
+SMALL = 128
 LEVELS = 3
 BLOCK = 2048
 U64 = np.uint64

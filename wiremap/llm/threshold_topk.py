@@ -28,7 +28,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wiremap.llm.common import stored
-from wiremap.llm.vectors import best_columns, classes, clean_vectors, matrix, ranked
+from wiremap.llm.vectors import best_columns, classes, clean_vectors, ranked
 
 ROWS, QUERIES = 4_096, 2_048
 LOCAL = 4

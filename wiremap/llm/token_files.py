@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wiremap.llm import elias_fano
-from wiremap.llm.common import by_bytes, id_text, shuffle_partitions, stored
+from wiremap.llm.common import by_bytes, id_text, shuffle_partitions
 
 HEAD = struct.Struct("<4sIQIIqB")
 MAGIC = b"EFT1"
