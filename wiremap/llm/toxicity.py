@@ -32,6 +32,8 @@ from wiremap.llm.common import by_bytes, hash_sample, id_text
 
 BINS = 1 << 22
 PREFIXES = (4, 5, 6)
+#: Bytes of text that a worker's arrays are built for at once.
+SLICE = 2 << 20
 MAX_ROWS = 4_000
 SCORE = "struct<severity: double, p_toxic: double, grade: int>"
 
@@ -194,7 +196,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int):
     wanted = hash_sample(wanted, "doc_id", max_rows)
 
     def features(batches):
-        for b in by_bytes(batches, "text"):
+        for b in by_bytes(batches, "text", SLICE):
             r, c, n = word_counts(b.column("text"))
             cut = np.searchsorted(r, np.arange(b.num_rows + 1)).tolist()
             raw = lambda v: pa.array([v[x:y].astype("<i4").tobytes() for x, y in zip(cut, cut[1:])],
@@ -228,7 +230,7 @@ def scores(model: OrdinalModel, text: Column | str) -> Column:
         # Slices bound the memory for long texts.
         out = []
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-        block = np.cumsum(sizes) // (8 << 20)
+        block = np.cumsum(sizes) // SLICE
         edges = np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1, [len(texts)])).astype(int)
         for a, b in zip(edges[:-1], edges[1:]):
             out.append(model.at_least(*word_counts(texts.slice(a, b - a), known), b - a))
