@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str,
     for b in batches:
         if not b.num_rows:
             continue
-        sizes = pa.compute.binary_length(b.column(column)).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(b.column(column)).to_numpy(zero_copy_only=False)
         total, start = 0, 0
         for i, n in enumerate(sizes):
             if total and total + n > limit:
