@@ -5,10 +5,10 @@ tags cut its text into lines (blocks); each line has its text, its tags and the
 elements around it.  Elements that cannot hold article text (navigation,
 footers, forms, scripts, hidden parts, and such by their class or id) give
 lines of ratio zero.  The text-to-tag ratios, without link text, are smoothed
-by a Gaussian; lines above the standard deviation are content lines.  The
-content region is the ``article`` or ``main`` element around most of their
-text, or else the smallest element that holds nearly all of it; every line of
-the region outside the excluded elements is kept, however short.
+by a Gaussian; lines above the standard deviation are content lines.  They
+choose the content region on every page: the smallest element that holds all
+of them, widened to the ``article`` or ``main`` element around it.  Every
+line of the region outside the excluded elements is kept, however short.
 
 A block's text has its character references decoded and each run of white
 space (also ``<br>``) turned into one space; blocks are joined by newlines.
@@ -44,6 +44,9 @@ ASIDE = frozenset(
     "newsletter notice notices notification pager pagination popup promo promoted promotion related share "
     "sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split())
 ARTICLE = frozenset(("article", "main"))
+#: Blocks that are parts of a text, never the whole of it.
+PARTS = frozenset("blockquote caption dd details dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hgroup legend li "
+                  "ol p pre summary table tbody td tfoot th thead tr ul".split())
 HEADER_WORDS = frozenset("header head".split())
 CLOSES_P = BLOCK - {"body", "html"}
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -151,31 +154,35 @@ def smooth(ratios: np.ndarray, sigma: float = 1.0) -> np.ndarray:
     return np.convolve(padded, kernel / kernel.sum(), mode="valid")
 
 
-def region(lines: list, names: list[str]) -> int | None:
-    """The number of the element that holds the content lines; None: the whole page."""
+def content_lines(lines: list, names: list[str]) -> np.ndarray:
+    """Which lines are content: smoothed ratio above the standard deviation.
+
+    On pages with content inside ``article`` or ``main``, a line beside them is
+    content only if its own ratio passes too: their lines don't lift it.
+    """
     sizes = np.array([0 if out else max(0, len(t) - linked) for t, linked, _, _, out in lines], float)
     ratios = np.array([n / max(1, tags) for n, (_, _, tags, _, _) in zip(sizes, lines)])
     smoothed = smooth(ratios)
     content = (smoothed >= smoothed.std()) & (sizes > 0)
-    weight = np.where(content, sizes, 0.0)
-    held: dict[int, float] = {}
-    any_text: dict[int, float] = {}
-    for (_, _, _, path, out), w, n in zip(lines, weight, sizes):
-        for e in path:
-            held[e] = held.get(e, 0.0) + w
-            if not out:
-                any_text[e] = any_text.get(e, 0.0) + n
-    named = [e for e in any_text if names[e] in ARTICLE and any_text[e] > 0]
-    if named:
-        outer = max(named, key=lambda e: (held[e], any_text[e], -e))
-        inner = [e for e in named if names[e] == "article" and held[e] >= 0.8 * held[outer]]
-        return max(inner, key=lambda e: (held[e], e)) if inner else outer
-    total = weight.sum()
-    if not total:
+    if not content.any():
+        content = sizes > 0
+    inside = np.array([any(names[e] in ARTICLE for e in path) for _, _, _, path, _ in lines])
+    return content & (inside | (ratios >= smoothed.std())) if (content & inside).any() else content
+
+
+def region(lines: list, names: list[str]) -> set[int] | None:
+    """The numbers of the elements that hold the content lines; None: the whole page."""
+    content = content_lines(lines, names)
+    paths = [path for (_, _, _, path, _), c in zip(lines, content) if c]
+    if not paths:
         return None
-    near = [e for e in held if held[e] >= 0.9 * total and names[e] in BLOCK and any_text.get(e)]
-    near = [e for e in near if names[e] not in ("p", "li", "td", "h1", "h2", "h3")]
-    return max(near) if near else None
+    shared = [e for e, *others in zip(*paths) if all(o == e for o in others)]
+    held = [e for e in shared if names[e] in ARTICLE]
+    if held:
+        articles = [e for e in held if names[e] == "article"]
+        return {articles[0] if articles else held[-1]}
+    shared = [e for e in shared if names[e] in BLOCK - PARTS]
+    return {shared[-1]} if shared else None
 
 
 def main_text(html: str | None) -> str:
@@ -189,7 +196,7 @@ def main_text(html: str | None) -> str:
         return ""
     chosen = region(parser.lines, parser.names)
     return "\n".join(t for t, _, _, path, out in parser.lines
-                     if not out and (chosen is None or chosen in path))
+                     if not out and (chosen is None or not chosen.isdisjoint(path)))
 
 
 def extract(html: Column | str) -> Column:
