@@ -29,3 +29,16 @@ def test_a_short_line_beside_the_article_stays_out():
     text = "".join(f"<p>{t}</p>" for t in lines(3))
     page = f"<body><article>{text}</article><div>Made with care</div></body>"
     assert main_text(page).split("\n") == lines(3)
+
+
+def test_every_content_line_is_in_the_region():
+    lead, text = "lead " * 60, "text " * 800
+    page = f"<body><div id=lead>{lead}</div><div id=text>{text}</div></body>"
+    assert main_text(page).split("\n") == [lead.strip(), text.strip()]
+
+
+def test_all_articles_with_content_lines_are_kept():
+    parts = [f"<article><h2>Part {i}</h2><p>{t}</p><p>end</p></article>" for i, t in enumerate(lines(3))]
+    want = [x for i, t in enumerate(lines(3)) for x in (f"Part {i}", t, "end")]
+    assert main_text(f"<body><div>Site</div>{''.join(parts)}<div>Made with care</div></body>").split("\n") == want
+    assert main_text(f"<main><h1>All</h1>{''.join(parts)}</main>").split("\n") == ["All", *want]

@@ -7,7 +7,8 @@ footers, forms, scripts, hidden parts, and such by their class or id) give
 lines of ratio zero.  The text-to-tag ratios, without link text, are smoothed
 by a Gaussian; lines above the standard deviation are content lines.  They
 choose the content region on every page: the smallest element that holds all
-of them, widened to the ``article`` or ``main`` element around it.  Every
+of them, widened to the ``article`` or ``main`` element around it.  If they lie
+in several articles and nowhere else, those articles are the region.  Every
 line of the region outside the excluded elements is kept, however short.
 
 A block's text has its character references decoded and each run of white
@@ -181,6 +182,9 @@ def region(lines: list, names: list[str]) -> set[int] | None:
     if held:
         articles = [e for e in held if names[e] == "article"]
         return {articles[0] if articles else held[-1]}
+    outer = [[e for e in path if names[e] == "article"][:1] for path in paths]
+    if all(outer):
+        return {e for first in outer for e in first}
     shared = [e for e in shared if names[e] in BLOCK - PARTS]
     return {shared[-1]} if shared else None
 
