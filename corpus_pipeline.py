@@ -4,7 +4,7 @@ Every stage works on all rows that its predecessor kept, and all but the last
 return the columns of their input.  Toxicity drops the documents that the
 ordinal model grades 1 or above; line dedup replaces each text by its kept
 lines (a document may become empty and stays); near-dedup keeps one document
-of each group of linked ones; packing returns the pieces of the sequences.
+of each group linked at 80 % of their five-word shingles or more; packing returns the pieces of the sequences.
 Rows with a null id are kept unless toxic.
 """
 
@@ -40,7 +40,7 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that repeat an id are kept if any of them is; rows with a null id are kept."""
-    verdict = near_duplicates(docs, percent=85, words=5)
+    verdict = near_duplicates(docs, percent=80, words=5)
     gone = verdict.filter("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept")).filter("not kept")
     gone = gone.select(F.col("doc_id").alias("__gone"))
     return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
