@@ -1,6 +1,12 @@
 """Licence notices by a trained paragraph classifier, in DataFrame functions only.
 
-A paragraph is a line; its words are its runs of a-z and 0-9 in lower case.
+A paragraph is a line, or a group of lines that follow each other without a
+line free of words (comment marks are none); its words are its runs of a-z and
+0-9 in lower case.  From each line on, all groups are scored up to the one whose
+later lines hold as many words as the longest template, so a wrapped notice lies
+whole in one of them, however narrow its lines.  Of overlapping groups the most
+similar, then the shortest counts; a group gives way to a line of its family,
+and a line to a more similar group of another one.
 Multinomial logistic regression on the presence of word unigrams and bigrams
 gives each licence family and the class ``unknown`` a probability; a
 temperature fitted on paragraphs kept out of the training calibrates it.  A
@@ -16,7 +22,9 @@ holds more of a template's words than the stop words are.  No row is shuffled.
 
 Defined cases: null and empty texts have one empty paragraph and no notice;
 rows keep their ids, also null and repeated ones; very long lines are one
-paragraph each; ties go to the family that comes first.
+paragraph each; ties go to the family that comes first; a notice's number is
+that of its first line.  The sentence that the BSD licences share is given to
+bsd-3-clause.
 """
 
 from __future__ import annotations
@@ -59,6 +67,17 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License",
     ],
+    "gpl-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "Released under the GNU GPL version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License",
+    ],
+    "agpl-3.0": [
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License",
+    ],
     "lgpl-2.1": [
         "Licensed under the GNU Lesser General Public License, version 2.1.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
@@ -69,6 +88,10 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met",
     ],
+    "bsd-2-clause": [
+        "Released under the BSD 2-Clause License.",
+        "Licensed under the Simplified BSD License.",
+    ],
     "mpl-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
@@ -82,6 +105,18 @@ TEMPLATES = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ],
+    "cc-by-nc-sa-4.0": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ],
+    "cc-by-sa-4.0": [
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ],
+    "cc-by-nd-4.0": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ],
     "cc-by-4.0": [
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -92,6 +127,7 @@ TEMPLATES = {
     ],
 }
 FAMILIES = list(TEMPLATES)
+LONGEST = max(len(re.findall("[a-z0-9]+", t.lower())) for ts in TEMPLATES.values() for t in ts)
 
 
 def words(text: str) -> list[str]:
@@ -214,7 +250,7 @@ def _constant(value, kind: str) -> Column:
 
 
 def notices(model: Model, text: Column) -> Column:
-    """An array of the text's notices: paragraph (from 0), family, probability, similarity."""
+    """An array of the text's notices: paragraph (from 0), family, probability, similarity, lines."""
     content = sorted({w for ts in TEMPLATES.values() for t in ts for w in words(t)} - STOP)
     content = _constant(content, "array<string>")
     vocabulary = _constant(model.vocabulary, "array<string>")
@@ -226,7 +262,7 @@ def notices(model: Model, text: Column) -> Column:
     let = lambda v, f: F.element_at(F.transform(F.array(v), f), 1)
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
 
-    def judged(at: Column, ws: Column) -> Column:
+    def judged(at: Column, n_lines: Column, ws: Column) -> Column:
         pairs = F.zip_with(F.slice(ws, F.lit(1), F.greatest(F.size(ws) - 1, F.lit(0))),
                            F.slice(ws, F.lit(2), F.size(ws)), lambda a, b: F.concat(a, F.lit(" "), b))
 
@@ -243,16 +279,57 @@ def notices(model: Model, text: Column) -> Column:
                     F.when(k <= len(FAMILIES), F.array_max(F.transform(
                         F.element_at(templates, F.least(k, F.lit(len(FAMILIES)))),
                         lambda t: F.size(F.array_intersect(two, t)) / F.size(t)))).otherwise(0.0)
-                    .alias("similarity")))))
+                    .alias("similarity"), n_lines.alias("lines")))))
 
         return let(F.array_distinct(pairs), classify)
 
-    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line, i: F.struct(
-        i.alias("at"), F.split(F.lower(line), "[^a-z0-9]+").alias("ws")))
-    some = F.filter(lines, lambda p: F.size(F.array_intersect(p["ws"], content)) >= 2)
-    found = F.transform(some, lambda p: judged(p["at"], F.array_remove(p["ws"], "")))
-    return F.filter(found, lambda n: (n["family"] != UNKNOWN) & (n["probability"] >= 0.5)
+    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line, i: let(
+        F.split(F.lower(line), "[^a-z0-9]+"), lambda ws: F.struct(
+            i.alias("at"), F.lit(1).alias("lines"), ws.alias("ws"),
+            F.size(F.array_intersect(ws, content)).alias("n"))))
+    n_words = lambda p: F.size(F.array_remove(p["ws"], ""))
+
+    def reach(ls: Column, p: Column) -> Column:
+        """Lines from this one on, until the later ones hold LONGEST words or one has none."""
+        state = lambda k, n, more: F.struct(k.alias("k"), n.alias("n"), more.alias("more"))
+
+        def step(acc: Column, q: Column) -> Column:
+            n = n_words(q)
+            more = acc["more"] & (n > 0) & (acc["n"] < LONGEST)
+            return state(acc["k"] + more.cast("int"), acc["n"] + n, more)
+
+        return F.aggregate(F.slice(ls, p["at"] + 2, F.lit(LONGEST)),
+                           state(F.lit(1), F.lit(0), n_words(p) > 0), step, lambda acc: acc["k"])
+
+    def groups(ls: Column) -> Column:
+        starts = F.filter(ls, lambda p: p["n"] + F.coalesce(F.get(ls, p["at"] + 1)["n"], F.lit(0)) >= 1)
+        made = F.transform(starts, lambda p: let(reach(ls, p), lambda k: F.transform(
+            F.filter(F.sequence(F.lit(1), k), lambda size: size > 1), lambda size: let(
+                F.slice(ls, p["at"] + 1, size), lambda own: F.struct(
+                    p["at"].alias("at"), size.alias("lines"), F.flatten(own["ws"]).alias("ws"),
+                    F.aggregate(own["n"], F.lit(0), lambda a, n: a + n).alias("n"))))))
+        return F.flatten(made)
+
+    def near(n: Column, m: Column) -> Column:
+        return (m["paragraph"] < n["paragraph"] + n["lines"]) & (n["paragraph"] < m["paragraph"] + m["lines"])
+
+    def outdone(n: Column, m: Column) -> Column:
+        """Whether the group n gives way to m."""
+        rank = lambda x: F.struct(x["similarity"], -x["lines"], x["paragraph"])
+        return near(n, m) & F.when(m["lines"] == 1, m["family"] == n["family"]).otherwise(rank(m) > rank(n))
+
+    def part(n: Column, m: Column) -> Column:
+        """Whether the line n is a piece of the group m, which is of another family."""
+        return near(n, m) & (m["lines"] > 1) & (m["similarity"] > n["similarity"])
+
+    some = F.filter(let(lines, lambda ls: F.concat(ls, groups(ls))), lambda p: p["n"] >= 2)
+    found = F.transform(some, lambda p: judged(p["at"], p["lines"], F.array_remove(p["ws"], "")))
+    held = F.filter(found, lambda n: (n["family"] != UNKNOWN) & (n["probability"] >= 0.5)
                     & (n["similarity"] >= CONFIRM))
+    kept = let(held, lambda all_: F.filter(all_, lambda n: (n["lines"] == 1) | ~F.exists(
+        all_, lambda m: outdone(n, m))))
+    return F.array_sort(let(kept, lambda all_: F.filter(all_, lambda n: (n["lines"] > 1) | ~F.exists(
+        all_, lambda m: part(n, m)))))
 
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
