@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiremap.llm import bpe, licenses, main_text, packing, prefix_forest, threshold_topk, token_files, toxicity
+from wiremap.llm import (
+    bpe, licenses, main_text, merkle, packing, prefix_forest, threshold_topk, token_files, toxicity,
+)
 from wiremap.llm.line_dedup import LineIndex
 from wiremap.llm.near_dups import near_duplicates
 from wiremap.session import scratch_path
@@ -116,6 +118,64 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    fields = {c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")}
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    claimed = fields | {"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    out = merkle.verify(docs, "doc_id", "lang", list(fields.values()), list(claimed.values()))
+    return out.withColumnRenamed("id", "doc_id")
+
+
+OP13_SQL = """
+with recursive digested as (
+    select doc_id, coalesce('=' || lang, '') as tree, encoded_head, encoded_text, n_chars,
+        list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(range(1, length(doc_id::varchar) + 1),
+                lambda i: list_transform(range(8), lambda b: (ascii(substr(doc_id::varchar, i::int, 1)) >> b::int) & 1)))),
+            lambda c, b: case when xor(c, b) & 1 = 1 then xor(xor(c, b) >> 1, 3988292384) else xor(c, b) >> 1 end) as crc
+    from (select doc_id, lang, n_chars,
+        coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-') as encoded_head,
+        coalesce(strlen(text) || ':' || text, '-') as encoded_text from documents)),
+claims as (
+    select doc_id, tree, sha256(encoded_head || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || encoded_text) as leaf,
+        case when xor(crc, 4294967295) % 7 = 0 then sha256(encoded_head
+            || coalesce(strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1), '-') || encoded_text) end as changed
+    from digested),
+leaves as (
+    select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as i,
+        count(*) over (partition by tree) as n from claims),
+node as (
+    select tree, 0 as level, i, leaf as h, n from leaves
+    union all
+    select tree, level + 1, i // 2, sha256(string_agg(h, '' order by i)), (n + 1) // 2
+    from node where n > 1 group by tree, level, i // 2, n),
+subroots as (
+    select tree, h, row_number() over (order by tree) - 1 as i, count(*) over () as n from node where n = 1),
+top as (
+    select 0 as level, i, h, n from subroots
+    union all
+    select level + 1, i // 2, sha256(string_agg(h, '' order by i)), (n + 1) // 2
+    from top where n > 1 group by level, i // 2, n),
+climb as (
+    select doc_id, leaf, tree, 0 as level, i, n, '' as proof, coalesce(changed, leaf) as folded from leaves
+    union all
+    select c.doc_id, c.leaf, c.tree, c.level + 1, c.i // 2, (c.n + 1) // 2, c.proof || coalesce(s.h, ''),
+        sha256(case when c.i % 2 = 0 then c.folded || coalesce(s.h, '') else s.h || c.folded end)
+    from climb c left join node s on s.tree = c.tree and s.level = c.level and s.i = xor(c.i, 1::bigint) where c.n > 1),
+ascent as (
+    select c.doc_id, c.leaf, s.h as subroot, 0 as level, s.i, s.n, c.proof, c.folded
+    from climb c join subroots s on s.tree = c.tree where c.n = 1
+    union all
+    select c.doc_id, c.leaf, c.subroot, c.level + 1, c.i // 2, (c.n + 1) // 2, c.proof || coalesce(s.h, ''),
+        sha256(case when c.i % 2 = 0 then c.folded || coalesce(s.h, '') else s.h || c.folded end)
+    from ascent c left join top s on s.level = c.level and s.i = xor(c.i, 1::bigint) where c.n > 1)
+select a.doc_id, a.leaf, a.subroot, t.h as root, sha256(a.proof) as proof_sha256, a.folded as folded_root,
+    a.folded = t.h as verified
+from ascent a, top t where a.n = 1 and t.n = 1
+"""
+
+
 def queries() -> dict:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -128,6 +188,7 @@ def queries() -> dict:
         "op8_packing": op8_packing,
         "op9_threshold_topk": op9_threshold_topk,
         "op10_main_text": op10_main_text,
+        "op13_merkle": op13_merkle,
     }
 
 
@@ -135,4 +196,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": OP1_SQL,
         "op9_threshold_topk": OP9_SQL,
+        "op13_merkle": OP13_SQL,
     }
