@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wiremap.llm import (
-    bpe, licenses, main_text, merkle, packing, prefix_forest, threshold_topk, token_files, toxicity,
+    attention_quality, bpe, licenses, main_text, merkle, packing, prefix_forest, threshold_topk, token_files,
+    toxicity, whitening,
 )
 from wiremap.llm.line_dedup import LineIndex
 from wiremap.llm.near_dups import near_duplicates
@@ -118,6 +119,19 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = attention_quality.train(docs, labels.filter(~held_out), "quality")
+    out = docs.select("doc_id", held_out.alias("held_out"), attention_quality.scores(model, "text").alias("s"))
+    return out.select("doc_id", "held_out", "s.score", (F.col("s.score") >= 0.5).cast("int").alias("predicted"),
+                      "s.n_passages")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=8)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     fields = {c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")}
@@ -188,6 +202,8 @@ def queries() -> dict:
         "op8_packing": op8_packing,
         "op9_threshold_topk": op9_threshold_topk,
         "op10_main_text": op10_main_text,
+        "op11_quality": op11_quality,
+        "op12_whitening": op12_whitening,
         "op13_merkle": op13_merkle,
     }
 
