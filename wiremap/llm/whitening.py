@@ -205,17 +205,12 @@ def spectrum(rows: DataFrame, dim: int) -> Spectrum:
         if state.n:
             yield state.batch(0)
 
-    def combine(key, batches):
-        total = None
-        # One state at a time, in the order of the parts.
-        for b in batches:
-            for row in b.to_pylist():
-                state = Spectrum.of(row)
-                if total is None:
-                    total = state
-                else:
-                    total.merge(state)
-        yield total.batch(key[0].as_py())
+    def combine(key, table: pa.Table) -> pa.Table:
+        # At most FAN_IN states, in the order of the parts.
+        states = [Spectrum.of(row) for row in table.sort_by([("n", "ascending"), ("sums", "ascending")]).to_pylist()]
+        for other in states[1:]:
+            states[0].merge(other)
+        return pa.Table.from_batches([states[0].batch(key[0].as_py())])
 
     states = rows.select("v").mapInArrow(local, STATE).withColumn("part", F.spark_partition_id().cast("long"))
     states = stored(states, "spectra")
