@@ -13,7 +13,8 @@ each leaf's proof over few steps, so that what is shuffled stays below the size
 of the texts.  Blocks of 2^STRIDE consecutive nodes are digested together, so
 no group, however large, meets in one task.  A node row near the top is stored
 in copies, one for about 2^STRIDE leaves below it (at most ``MAX_COPIES``),
-and each leaf asks the copy of its own block: no join key is hot.
+and each leaf asks the copy of its own block: no join key is hot.  The node
+table grows with the rows, so the steps join by sorted merge at every size.
 
 ``climb`` is one recursive query: it starts with all leaves, and each step joins
 them to their node rows, appends the siblings to the proof and folds the claimed
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from wiremap.llm.common import shuffle_partitions, stored
 
-STRIDE = 6
+STRIDE = 9
 MAX_COPIES = 1 << 16
 #: Keys of the tree over the subroots and of the end; groups have '' or '=...'.
 TOP, ROOT = "top", "root"
@@ -209,13 +210,15 @@ def climb(spark: SparkSession, leaf_rows: DataFrame, nodes: DataFrame, stride: i
                 CAST(NULL AS BINARY), CAST(NULL AS BINARY), path, {fold0}
             FROM {{leaves}}
             UNION ALL
-            SELECT c.id, c.leaf, c.spread, n.parent, n.parent_step, n.parent_idx, n.parent_copies,
+            SELECT /*+ MERGE(n) */ c.id, c.leaf, c.spread, n.parent, n.parent_step, n.parent_idx, n.parent_copies,
                 CASE WHEN n.tree = '{TOP}' AND n.step = 0 THEN n.digest ELSE c.subroot END,
                 CASE WHEN n.parent = '{ROOT}' THEN n.parent_digest ELSE c.root END,
                 concat(c.proof, n.path), {fold1}
             FROM climb c JOIN {{nodes}} n
-                ON c.tree = n.tree AND c.step = n.step AND c.idx = n.idx AND pmod(c.spread, c.copies) = n.copy)
+                ON c.tree = n.tree AND c.step = n.step AND c.idx = n.idx AND pmod(c.spread, c.copies) = n.copy
+            WHERE c.tree <> '{ROOT}')
         SELECT id, leaf, subroot, root, proof, folded FROM climb WHERE tree = '{ROOT}'"""
+    # Rows at the root climb no further, so the last step shuffles none.
     # Spark stops recursions at a number of rows unless told otherwise.
     limit = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(limit, None)
