@@ -76,7 +76,8 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     place = base[doc] + np.maximum(words - before[doc] - 1, 0) // PASSAGE
     total = int(passages.sum())
 
-    pairs = np.bincount(place[1:] * (CLASSES * CLASSES) + kind[:-1] * CLASSES + kind[1:],
+    # White space stands before every text.
+    pairs = np.bincount(place * (CLASSES * CLASSES) + np.append(0, kind[:-1]) * CLASSES + kind,
                         minlength=total * CLASSES * CLASSES).reshape(total, -1)
     at = np.flatnonzero(first)
     x = np.zeros((total, WIDTH), np.float32)

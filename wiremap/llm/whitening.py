@@ -205,7 +205,7 @@ def spectrum(rows: DataFrame, dim: int) -> Spectrum:
         if state.n:
             yield state.batch(0)
 
-    def combine(key, table: pa.Table) -> pa.Table:
+    def combine(key, table):
         # At most FAN_IN states, in the order of the parts.
         states = [Spectrum.of(row) for row in table.sort_by([("n", "ascending"), ("sums", "ascending")]).to_pylist()]
         for other in states[1:]:
