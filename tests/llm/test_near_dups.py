@@ -15,7 +15,7 @@ def shingles(text):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-def brute(rows):
+def brute(rows, percent=85):
     root = {i: i for i, _ in rows}
 
     def find(i):
@@ -26,7 +26,7 @@ def brute(rows):
     sets = {i: shingles(t) for i, t in rows}
     for i, a in sets.items():
         for j, b in sets.items():
-            if i < j and a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if i < j and a and b and 100 * len(a & b) >= percent * len(a | b):
                 x, y = sorted((find(i), find(j)))
                 root[y] = x
     return {i: (len(sets[i]), find(i), find(i) == i) for i in root}

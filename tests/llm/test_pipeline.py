@@ -30,7 +30,7 @@ def test_stages_take_effect(spark):
     assert {i: t for i, _, _, t in brute_lines(rows, 10)} == {i: r.text for i, r in got.items()}
     assert all(r.n_chars == len(r.text) for r in got.values() if r.text != dict(rows)[r.doc_id])
     one = cp.keep_one_of_each(spark, lines, SF)
-    want = brute_near([(i, r.text) for i, r in got.items()])
+    want = brute_near([(i, r.text) for i, r in got.items()], percent=80)
     assert {r.doc_id for r in one.collect()} == {i for i, (_, _, keep) in want.items() if keep}
     assert one.columns == docs.columns
 

@@ -24,7 +24,6 @@ PIECES = [" ", " ", "\n", "\t", "\x1d", "\r", "a", "b", "'s", "ä", "1", ".", "
 @pytest.fixture(scope="module")
 def library():
     tok = Tokenizer.from_file(JSON)
-    tok.encode_special_tokens = True
     return lambda text: tok.encode(text or "", add_special_tokens=False).ids
 
 

@@ -13,7 +13,9 @@ Where the byte-level pre-tokenizer surely cuts
 * on both sides of a single newline between two non-spaces;
 * between a letter or digit and the punctuation that ends a piece.
 
-Texts with runs of white space, or with the four separators that Python calls
+Texts that hold an added token of the vocabulary (``<|endoftext|>``) are encoded
+whole, so it gets its own id as in the library.  Texts with runs of white space,
+or with the four separators that Python calls
 white space and the library doesn't, are cut by a slower rule or not at all.
 """
 
@@ -45,7 +47,8 @@ class WordEncoder:
     def __init__(self, path: str, max_pieces: int = 500_000):
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True
+        # Strings that the library takes as one token wherever they stand.
+        self.added = [t.content for t in tok.get_added_tokens_decoder().values() if t.content]
         self.max_pieces = max_pieces
         self.batch = lambda texts: tok.encode_batch_fast(texts, add_special_tokens=False)
         self.known: dict[str, bytes] = {}
@@ -60,9 +63,15 @@ class WordEncoder:
             texts = texts.combine_chunks()
         if not len(texts):
             return []
-        odd = pc.match_substring_regex(texts, ODD)
+        holds = lambda mask: np.asarray(mask.to_numpy(zero_copy_only=False), bool)
+        odd = holds(pc.match_substring_regex(texts, ODD))
         out: list = [None] * len(texts)
-        plain = np.flatnonzero(~np.asarray(odd.to_numpy(zero_copy_only=False), bool))
+        for token in self.added:
+            some = holds(pc.match_substring(texts, token))
+            odd |= some
+            for i in np.flatnonzero(some):
+                out[i] = np.frombuffer(self.whole(texts[i].as_py()), "<u4")
+        plain = np.flatnonzero(~odd)
         if len(plain):
             for i, ids in zip(plain, self._plain(texts.take(pa.array(plain)))):
                 out[i] = ids
@@ -91,11 +100,23 @@ class WordEncoder:
     def _ids(self, pieces: list[str]) -> list[bytes]:
         if len(self.known) > self.max_pieces:
             self.old, self.known = self.known, {}
+        out = list(map(self.known.get, pieces))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        if missing:
+            once = self._learn([pieces[i] for i in missing])
+            for i in missing:
+                out[i] = self.known[pieces[i]]
+            for p in once:
+                del self.known[p]
+        return out
+
+    def _learn(self, new: list[str]) -> list[str]:
+        """Make pieces known; returns those too long to be kept."""
         known = self.known
-        new = self._recall(pieces)
+        new = self._recall(new)
         ends = {p: m for p in new if len(p) <= LONG and (m := TAIL.fullmatch(p))}
-        tails = {BARE + m[2] for m in ends.values()}
-        cores = self._recall(dict.fromkeys([m[1] for m in ends.values()]) | dict.fromkeys(tails)
+        cores = self._recall(dict.fromkeys([m[1] for m in ends.values()])
+                             | dict.fromkeys([BARE + m[2] for m in ends.values()])
                              | dict.fromkeys(p for p in new if p not in ends))
         for i in range(0, len(cores), 8192):
             part = cores[i:i + 8192]
@@ -103,11 +124,7 @@ class WordEncoder:
             known.update(zip(part, [pack(f"<{len(e)}I", *e.ids) for e in got]))
         for p, m in ends.items():
             known[p] = known[m[1]] + known[BARE + m[2]]
-        out = [known[p] for p in pieces]
-        for p in cores:
-            if len(p) > LONG:
-                del known[p]
-        return out
+        return [p for p in cores if len(p) > LONG]
 
     def _recall(self, pieces) -> list[str]:
         """The pieces not known yet, after taking back what the old half knows."""
