@@ -39,7 +39,7 @@ from wiremap.sources.landing import write_capture_files, write_capture_files_in_
 from wiremap.spec import TableSpec
 from wiremap.streaming import gold as GOLD
 from wiremap.streaming.bronze import bronze_schema, bronze_stream, read_bronze, start_bronze
-from wiremap.streaming.silver import silver_batch, start_silver
+from wiremap.streaming.silver import silver_batch, silver_writer, start_silver, start_silver_files
 
 try:  # the corpus operators and their pipeline are optional parts
     import corpus_pipeline
@@ -376,6 +376,61 @@ def q_stream_latest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_keyed(spark, f"{base}/silver").select(*EVENT_COLUMNS)
 
 
+def q_file_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provenance columns without what is specific to the run."""
+    out = _bronze(spark, sf_dir)
+    whole = F.length("file_name") == F.length("hostname") + 23
+    return out.select(
+        "event_id", "hostname", "date_sent",
+        (whole & F.col("file_name").startswith(F.col("hostname"))).alias("name_matches"),
+        (F.col("file_size") > 0).alias("has_size"),
+        F.col("dtk_inserted_at").isNotNull().alias("has_ingest_time"))
+
+
+def _silver_target(source: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A silver job over two arrivals, the odd events after the even ones, by the spec list."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw, spec = X.silver_capture(spark, sf_dir, source), SPECS_BY_SOURCE[source]
+        path = scratch_path(spark, f"silver-{spec.target}")
+        batch = silver_writer(spark, spec, path, lambda: X.host_table(spark, sf_dir))
+        for n in (0, 1):
+            batch(raw.filter(F.col("event_id") % 2 == n), n)
+        out = read_keyed(spark, path)
+        flat = ("address", "source_address")
+        return out.select(*[c for c in out.columns if c not in flat],
+                          *[F.col(f"{c}.{f}").alias("ip" if f == "address" else f)
+                            for c in out.columns if c in flat for f in ("address", "mask")])
+    return run
+
+
+def q_upsert_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source with several rows for a key and no clock (a fan-out) leaves one row a key."""
+    path = scratch_path(spark, "upsert")
+    upsert(spark, read_table(spark, sf_dir, "events"), path, _EV_KEYS)
+    return read_keyed(spark, path)
+
+
+def q_evolving_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals -> bronze -> silver: the second one brings a column and a wider type.
+
+    Both streams start before any file is there.
+    """
+    ev = read_table(spark, sf_dir, "events")
+    base = scratch_path(spark, "stream")
+    third = F.col("event_id") % 3
+    arrivals = [None,
+                ev.filter(third == 0).select(F.col("event_id").cast("int").alias("event_id"), "ts", "user_id",
+                                             "event_type"),
+                ev.filter(third != 0).select("event_id", "ts", "user_id", "event_type", "value")]
+    for i, rows in enumerate(arrivals):
+        if rows is not None:
+            rows.write.parquet(f"{base}/raw/arrival-{i}")
+        start_bronze(spark, f"{base}/raw", f"{base}/bronze", f"{base}/_chk/bronze").awaitTermination()
+        start_silver_files(spark, f"{base}/bronze", EVENTS_LATEST, f"{base}/silver", f"{base}/_chk/silver",
+                           newest_wins=True).awaitTermination()
+    return read_keyed(spark, f"{base}/silver").select("event_id", "ts", "user_id", "event_type", "value")
+
+
 def _gold(spark: SparkSession, sf_dir: str) -> str:
     v = capture_views(spark, sf_dir)
     inputs = GOLD.SilverInputs(v.network_ip, v.network_packet, v.interfaces,
@@ -492,10 +547,14 @@ def network_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_distinct": q_stream_distinct,
         "src_file_meta": q_src_file_meta,
         "stream_latest_upsert": q_stream_latest_upsert,
+        "evolving_columns": q_evolving_columns,
         "gold_refresh_packet": q_gold_refresh_packet,
         "gold_refresh_connection": q_gold_refresh_connection,
         "pipeline_packet_map": q_pipeline_packet_map,
         "late_host_reenrich": q_late_host_reenrich,
+        "file_provenance": q_file_provenance,
+        "upsert_duplicate_keys": q_upsert_duplicate_keys,
+        **{f"silver_{SPECS_BY_SOURCE[t].target}": _silver_target(t) for t in X.SILVER_CAPTURE},
     }
 
 
@@ -551,6 +610,10 @@ def network_oracle_sql() -> dict[str, str]:
         "stream_distinct": O.with_ctes(
             O.CAPTURE_CTES, "select event_id, ts, user_id, event_type, value, props, hostname from ev"),
         "stream_latest_upsert": O.UPSERT_FIRST_LOAD,
+        "evolving_columns": O.EVOLVING_COLUMNS,
+        "file_provenance": O.with_ctes(O.CAPTURE_CTES, O.FILE_PROVENANCE),
+        "upsert_duplicate_keys": O.UPSERT_DUPLICATE_KEYS,
+        **{f"silver_{SPECS_BY_SOURCE[t].target}": O.silver_target(t) for t in X.SILVER_CAPTURE},
         "gold_refresh_packet": O.with_ctes(O.PACKET_CTES, "select * from g1"),
         "gold_refresh_connection": O.with_ctes(O.CONNECTION_CTES, "select * from g2"),
         "pipeline_packet_map": O.with_ctes(O.PACKET_CTES, "select * from g1"),

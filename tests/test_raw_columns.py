@@ -2,11 +2,9 @@
 
 import datetime as dt
 
-import pytest
-
 from wiremap.operators.upsert import read_keyed
 from wiremap.streaming.bronze import read_bronze
-from wiremap.streaming.pipeline import raw_schema, start_ingest, start_silver_all
+from wiremap.streaming.pipeline import start_ingest, start_silver_all
 
 
 def test_extra_columns_reach_silver(spark, tmp_path):
@@ -26,9 +24,3 @@ def test_extra_columns_reach_silver(spark, tmp_path):
         q.awaitTermination()
     row = read_keyed(spark, f"{root}/silver/fact_tech_chrono").first()
     assert row["duration"] == 1.5 and row["hostname"] == "box"
-
-
-def test_a_raw_table_without_its_keys_is_refused(spark, tmp_path):
-    spark.range(1).write.parquet(str(tmp_path / "t"))
-    with pytest.raises(ValueError, match="name"):
-        raw_schema(spark, str(tmp_path / "t"), "tech_chrono")

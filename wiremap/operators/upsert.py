@@ -10,7 +10,8 @@ Semantics (the pipeline's MERGE: matched -> update all, else insert all):
   is inserted again each time; ``null_safe=True`` compares with ``<=>``;
 * ``newest_wins=True`` keeps, per key, the row with the greatest ``order_by``
   among stored and incoming rows, so late, older rows cannot overwrite newer ones;
-* columns are merged: rows written before a column came hold null in it.
+* columns are merged and types widened: rows written before a column (or a
+  struct field) came hold null in it.
 
 Storage: rows lie in ``pmod(xxhash64(keys), buckets)``, which depends on no
 time zone or clock.  (Rows with a null key match nothing and are spread by all
@@ -40,6 +41,7 @@ from pyspark.sql import types as T
 
 from wiremap import fs
 from wiremap.operators.latest import latest_by_key, one_per_key
+from wiremap.sources.evolving import widen
 
 BUCKET = "__bucket"
 HASH_BUCKETS = 16
@@ -65,8 +67,9 @@ def _folder(path: str, folder: str, bucket: int | str) -> str:
     return f"{path}/data/{folder}/{BUCKET}={bucket}"
 
 
-def _read(spark: SparkSession, path: str, about: dict, buckets=None) -> DataFrame:
-    schema = T.StructType.fromJson(about["schema"])
+def _read(spark: SparkSession, path: str, about: dict, buckets=None,
+          schema: T.StructType | None = None) -> DataFrame:
+    schema = schema or T.StructType.fromJson(about["schema"])
     live = [_folder(path, f, b) for b, f in about["live"].items() if buckets is None or int(b) in buckets]
     if not live:
         return spark.createDataFrame([], schema)
@@ -120,14 +123,6 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return kept.unionByName(source, allowMissingColumns=True)
 
 
-def _merged_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
-    """Stored columns first, then new ones; all nullable, as older rows lack some."""
-    fields = list(old.fields) if old is not None else []
-    have = {f.name for f in fields}
-    fields += [f for f in new.fields if f.name not in have]
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
-
-
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], *,
            batch_id: int | None = None, writer: str = "default", order_by: str | None = None,
            null_safe: bool = False, newest_wins: bool = False,
@@ -154,14 +149,17 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
             if stage is None:
                 # The source is computed once, however often the merge reads it.
                 stage = f"{path}/_staging/{uuid.uuid4().hex}"
-                placed = src.withColumn(BUCKET, bucket_of(keys, n, src.columns, null_safe))
-                placed.write.parquet(stage)
-                placed = spark.read.schema(placed.schema).parquet(stage)
-                touched = {r[0] for r in placed.select(BUCKET).distinct().collect()}  # at most n numbers
-            schema = _merged_schema(T.StructType.fromJson(about["schema"]) if about else None, src.schema)
+                src.write.parquet(stage)
+            old = T.StructType.fromJson(about["schema"]) if about else None
+            schema = widen(old, src.schema)
+            placed = spark.read.schema(schema).parquet(stage).withColumn(
+                BUCKET, bucket_of(keys, n, src.columns, null_safe))
+            touched = {r[0] for r in placed.select(BUCKET).distinct().collect()}  # at most n numbers
+            if touched and old is not None and any(old[k].dataType != schema[k].dataType for k in keys):
+                touched = set(range(n))  # a wider key hashes differently
             out = placed
             if about is not None:
-                target = _read(spark, path, about, touched)
+                target = _read(spark, path, about, touched, schema)
                 merged = merge_frames(target, placed.drop(BUCKET), keys, null_safe, newest_wins, order_by)
                 out = merged.withColumn(BUCKET, bucket_of(keys, n, schema.names, null_safe))
             folder, v = uuid.uuid4().hex, (found[-1] + 1 if found else 0)

@@ -353,3 +353,65 @@ def packet_ctes_recent(minutes: int) -> str:
                          "from network_ip_w i join network_packet_w p")
             .replace("left join process_network l", "left join process_network_w l"))
     return CAPTURE_CTES + _WINDOWED.format(cut=cut) + rest
+
+
+# Two arrivals of events; the second brings ``value``.
+EVOLVING_COLUMNS = "select event_id, ts, user_id, event_type, case when event_id % 3 <> 0 then value end as value from (" \
+    + UPSERT_FIRST_LOAD + ")\n"
+
+# A source with several rows for a key and no clock: the smallest in column order stays.
+UPSERT_DUPLICATE_KEYS = """
+select * from events
+qualify row_number() over (partition by user_id, event_type order by event_id) = 1
+"""
+
+# Names and dates of the capture files: a file is stamped with its host's first time.
+FILE_PROVENANCE = """
+select event_id, hostname, cast(min(ts) over (partition by hostname) as date) as date_sent,
+       true as name_matches, true as has_size, true as has_ingest_time
+from ev
+"""
+
+# Raw rows of the silver tables outside the packet map: columns, key, lookup.
+_IP = "concat('10.0.', cast({} as varchar))"
+_SILVER_ROWS = {
+    "dim_file_reg": ("user_id % 5 as pid, concat('fd', event_id % 3) as fd, user_id % 11 as node", "pid, fd, node"),
+    "dim_network_foreign_ip": ("user_id % 13 as _id, " + _IP.format("event_id % 60") + " as ip, 24 as mask", "_id"),
+    "dim_network_open_port": ("user_id % 5 as pid, cast(1000 + event_id % 7 as integer) as port", "pid, port"),
+    "dim_network_socket": ("user_id % 13 as _id, " + _IP.format("event_id % 60") + " as ip, 24 as mask", "_id"),
+    "file_host": ("concat('h', user_id % 9) as name, " + _IP.format("event_id % 6") + " as ip, 24 as mask",
+                  "name, ip, mask"),
+    "file_user": ("concat('u', user_id % 9) as name, event_id % 4 as uid", "name, uid"),
+    "file_service": ("event_type as name, cast(1000 + user_id % 6 as integer) as port, "
+                     "case when event_id % 2 = 0 then 'udp' else 'tcp' end as protocol", "name, port, protocol"),
+    "fact_file_reg": ("user_id % 5 as pid, concat('fd', event_id % 3) as fd, user_id % 11 as node, "
+                      "date_trunc('hour', ts) as created_at", "pid, fd, node, created_at"),
+    "fact_process": ("user_id % 5 as pid, date_trunc('day', ts) as started_at, date_trunc('hour', ts) as created_at",
+                     "pid, started_at, created_at"),
+    "tech_chrono": ("event_type as name", "name"),
+    "tech_table_count": ("user_id % 13 as _id", "_id"),
+}
+_HOST_COLUMN = {"dim_network_foreign_ip": "host", "dim_network_socket": "source_host"}
+
+
+def silver_target(source: str) -> str:
+    """The keyed silver table after the odd events arrived as a second batch."""
+    if source == "dim_network_host":
+        return with_ctes(CAPTURE_CTES, "select distinct user_id % 40 as _id, " + _IP.format("user_id % 30") +
+                         " as ip, 24 as mask, concat('host', user_id % 40) as host from ev")
+    columns, keys = _SILVER_ROWS[source]
+    host = _HOST_COLUMN.get(source)
+    hosts = """,
+by_address as (
+  select concat('10.0.', cast(s_suppkey % 50 as varchar)) as address, min(s_name) as found from supplier group by 1)"""
+    return with_ctes(CAPTURE_CTES, f"""
+select * from (
+  with raw as (select event_id, {columns}, hostname, ts as inserted_at from ev){hosts},
+  looked_up as (select r.*{f", h.found as {host} from raw r left join by_address h on h.address = r.ip" if host
+                           else " from raw r"}),
+  best as (
+    select * from looked_up
+    qualify row_number() over (partition by event_id % 2, {keys}, hostname order by inserted_at desc, event_id) = 1)
+  select * from best
+  qualify row_number() over (partition by {keys}, hostname order by event_id % 2 desc) = 1)
+""")

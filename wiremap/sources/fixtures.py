@@ -181,3 +181,32 @@ def raw_capture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
                             "hostname", F.col("started_at").alias("inserted_at"))
     return {"dim_network_host": hosts, "dim_network_interface": ifaces, "fact_network_ip": ip,
             "fact_network_packet": pk, "fact_process_network": link, "dim_process": proc}
+
+
+# Columns of the raw tables outside the packet map, as expressions over events.
+_ADDR = "named_struct('address', concat('10.0.', {}), 'mask', 24)"
+_FILE = {"pid": "user_id % 5", "fd": "concat('fd', event_id % 3)", "node": "user_id % 11"}
+SILVER_CAPTURE = {
+    "dim_network_host": {"_id": "user_id % 40", "address": _ADDR.format("user_id % 30"),
+                         "host": "concat('host', user_id % 40)"},
+    "dim_file_reg": _FILE,
+    "dim_network_foreign_ip": {"_id": "user_id % 13", "address": _ADDR.format("event_id % 60")},
+    "dim_network_open_port": {"pid": "user_id % 5", "port": "cast(1000 + event_id % 7 as int)"},
+    "dim_network_socket": {"_id": "user_id % 13", "source_address": _ADDR.format("event_id % 60")},
+    "file_host": {"name": "concat('h', user_id % 9)", "address": _ADDR.format("event_id % 6")},
+    "file_user": {"name": "concat('u', user_id % 9)", "uid": "event_id % 4"},
+    "file_service": {"name": "event_type", "port": "cast(1000 + user_id % 6 as int)",
+                     "protocol": "if(event_id % 2 = 0, 'udp', 'tcp')"},
+    "fact_file_reg": _FILE | {"created_at": "date_trunc('hour', ts)"},
+    "fact_process": {"pid": "user_id % 5", "started_at": "date_trunc('day', ts)",
+                     "created_at": "date_trunc('hour', ts)"},
+    "tech_chrono": {"name": "event_type"},
+    "tech_table_count": {"_id": "user_id % 13"},
+}
+
+
+def silver_capture(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """One raw row per event for a table of ``SILVER_CAPTURE``: keys repeat, some addresses have no host."""
+    v = capture_views(spark, sf_dir)
+    return v.ev.select("event_id", *[F.expr(e).alias(c) for c, e in SILVER_CAPTURE[table].items()],
+                       "hostname", F.col("ts").alias("inserted_at"))

@@ -2,29 +2,56 @@
 
 Each micro-batch gets the provenance columns (file name and size, host name
 and send date parsed from the name, ingest time), is de-duplicated, and is
-written to ``<bronze>/batch=<id>/``.  Within one micro-batch every raw file is
-read whole and ``dtk_inserted_at`` is one value, so the pipeline's full-row
-``distinct`` can only ever remove copies inside one file of one batch; doing
-it per batch gives the same rows without streaming state that grows forever.
-Overwriting the batch folder makes a replayed batch idempotent.
+written to ``<bronze>/batch=<query id>-<number>/``.  Within one micro-batch
+every raw file is read whole and ``dtk_inserted_at`` is one value, so the
+pipeline's full-row ``distinct`` can only ever remove copies inside one file of
+one batch; doing it per batch gives the same rows without streaming state that
+grows forever.
+
+The query id belongs to the checkpoint: a new checkpoint counts from 0 again,
+in folders of its own, and touches nothing that an older one wrote.  A replayed
+batch that had been written whole is left as it is, so that the silver jobs
+don't meet its rows again under new file names; half a batch is overwritten.
+
+By default a micro-batch is read under the merged schema of its own files
+(``wiremap.sources.evolving``): columns that come late are kept.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from wiremap import fs
+from wiremap.sources.evolving import list_files, new_files, read_files, start_files
 from wiremap.sources.files import add_file_provenance, raw_stream
 
 BATCH_DIR = "batch="
 
 
-def bronze_batch_writer(bronze_path: str, distinct: bool = True):
-    def run(batch_df: DataFrame, batch_id: int) -> None:
-        out = batch_df.dropDuplicates() if distinct else batch_df
-        out.write.mode("overwrite").parquet(f"{bronze_path}/{BATCH_DIR}{batch_id}")
-    return run
+def query_id(spark: SparkSession, checkpoint: str) -> Callable[[], str]:
+    """The id of the query that owns a checkpoint (once it runs); a new checkpoint has a new one."""
+    return lambda: json.loads(fs.read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
+def write_bronze(batch: DataFrame, bronze_path: str, query: str, batch_id: int, distinct: bool = True) -> None:
+    """Append one micro-batch of one query; a batch that is there already is left as it is."""
+    folder = f"{bronze_path}/{BATCH_DIR}{query}-{batch_id}"
+    if fs.exists(batch.sparkSession, f"{folder}/_SUCCESS"):
+        return
+    out = batch.dropDuplicates() if distinct else batch
+    out.write.mode("overwrite").parquet(folder)
+
+
+def ingest_files(spark: SparkSession, paths: list[str], bronze_path: str, query: str, batch_id: int,
+                 inserted_at: Column | None = None, distinct: bool = True, on_bad_name: str = "null") -> None:
+    """Append raw files to a bronze table, with every column that they hold."""
+    raw = add_file_provenance(read_files(spark, paths), inserted_at=inserted_at, on_bad_name=on_bad_name)
+    write_bronze(raw, bronze_path, query, batch_id, distinct)
 
 
 def start_bronze(spark: SparkSession, raw_path: str, bronze_path: str, checkpoint: str, *,
@@ -36,11 +63,19 @@ def start_bronze(spark: SparkSession, raw_path: str, bronze_path: str, checkpoin
                  on_bad_name: str = "null") -> StreamingQuery:
     """Start the raw -> bronze stream of one table.
 
-    ``dedupe_keys`` with ``watermark=(event time column, delay)`` switches from
+    Without a ``schema`` every micro-batch has the schema of its own files, and
+    the folder may still be empty; with one, only its columns are read.
+    ``dedupe_keys`` (which needs a schema, or files to take one from) with ``watermark=(event time column, delay)`` switches from
     the per-batch full-row distinct to ``dropDuplicatesWithinWatermark`` on
     business keys: copies of a key arriving in different files or batches
     within the delay are dropped too, with state bounded by the watermark.
     """
+    query = query_id(spark, checkpoint)
+    if schema is None and not dedupe_keys:
+        return start_files(
+            new_files(spark, raw_path, max_files_per_trigger),
+            lambda paths, n: ingest_files(spark, paths, bronze_path, query(), n, inserted_at, distinct, on_bad_name),
+            checkpoint, available_now=available_now, processing_time=processing_time)
     stream = add_file_provenance(raw_stream(spark, raw_path, schema, max_files_per_trigger),
                                  inserted_at=inserted_at, on_bad_name=on_bad_name)
     if dedupe_keys:
@@ -49,7 +84,10 @@ def start_bronze(spark: SparkSession, raw_path: str, bronze_path: str, checkpoin
         stream = (stream.withWatermark(*watermark)
                   .dropDuplicatesWithinWatermark(list(dedupe_keys)))
         distinct = False
-    writer = (stream.writeStream.foreachBatch(bronze_batch_writer(bronze_path, distinct))
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write_bronze(batch, bronze_path, query(), batch_id, distinct)
+
+    writer = (stream.writeStream.foreachBatch(run)
               .option("checkpointLocation", checkpoint))
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
@@ -79,5 +117,12 @@ def bronze_stream(spark: SparkSession, bronze_path: str, schema: T.StructType,
     return reader.load(f"{bronze_path}/{BATCH_DIR}*")
 
 
-def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
-    return spark.read.parquet(f"{bronze_path}/{BATCH_DIR}*")
+def read_bronze(spark: SparkSession, bronze_path: str, needed: T.StructType | None = None) -> DataFrame:
+    """The whole bronze table under the merged schema of all its batches.
+
+    Columns of ``needed`` that no batch holds are null; a table without files is empty.
+    """
+    files = list_files(spark, bronze_path)
+    if files:
+        return read_files(spark, files, needed)
+    return spark.createDataFrame([], bronze_schema(needed or T.StructType([])))
