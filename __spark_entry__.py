@@ -25,6 +25,7 @@ from wiremap.operators.recent import latest_value, recent
 from wiremap.operators.upsert import read_keyed, upsert
 from wiremap.plans import graph as G
 from wiremap.plans.connection_map import connection_map
+from wiremap.plans.edge_factors import edge_summary_of_packets
 from wiremap.plans.packet_map import (
     ip_packet, packet_map, packet_with_host, packet_with_latest_process, packet_with_process,
     pick_process,
@@ -218,6 +219,14 @@ def q_edge_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.edge_report(_graph(spark, sf_dir))
 
 
+def q_edge_report_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edge report straight from the packets: no connection pair is written."""
+    v = capture_views(spark, sf_dir)
+    pk = packet_map(v.network_ip, v.network_packet, v.interfaces, v.process_network, v.process, as_of=v.as_of)
+    summary = edge_summary_of_packets(materialize(pk), G.REPORT_LOOKBACK_MINUTES, v.as_of)
+    return G.edge_report(G.with_ids(summary))
+
+
 def q_packet_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = capture_views(spark, sf_dir)
     pk = packet_map(v.network_ip, v.network_packet, v.interfaces, v.process_network,
@@ -531,6 +540,7 @@ def network_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "graph_networks": q_graph_networks,
         "graph_nodes_by_network": q_graph_nodes_by_network,
         "edge_report": q_edge_report,
+        "edge_report_factors": q_edge_report_factors,
         "packet_detail": q_packet_detail,
         "upsert_by_key": q_upsert_by_key,
         "upsert_bucketed": q_upsert_bucketed,
@@ -591,6 +601,7 @@ def network_oracle_sql() -> dict[str, str]:
         "graph_nodes_by_network": O.with_ctes(
             O.GRAPH_CTES, "select *, md5(network) as cluster_id from nodes"),
         "edge_report": O.with_ctes(O.GRAPH_CTES, O.EDGE_REPORT),
+        "edge_report_factors": O.with_ctes(O.GRAPH_CTES, O.EDGE_REPORT),
         "packet_detail": O.with_ctes(
             O.PACKET_CTES, "select * from g1 where dtk_inserted_at >= "
             "date_trunc('second', (select max(ts) from events)) - to_seconds(899)"),

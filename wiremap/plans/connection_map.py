@@ -98,9 +98,14 @@ def _first(df: DataFrame, keys: list[str], order: list[str],
     return df.withColumn("__rn", F.row_number().over(w)).filter(keep).drop("__rn")
 
 
-def connection_map(packets: DataFrame, align_minutes: bool = False,
-                   reduce_first: bool = True) -> DataFrame:
-    """Gold connection map (G2) from a packet map (G1)."""
+#: Endpoint columns on which the two sides meet.
+A_ENDPOINT = ["source_host", "source_port", "source_hostname"]
+B_ENDPOINT = ["__j_host", "__j_port", "__j_hostname"]
+
+
+def connection_sides(packets: DataFrame, align_minutes: bool = False,
+                     reduce_first: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The "source" and the "destination" side of the self-join, by default cut to the rows that can win."""
     minute = F.date_trunc("minute", F.col("created_at"))
 
     a = packets.filter(F.col("created_at").isNotNull()).select(
@@ -108,20 +113,27 @@ def connection_map(packets: DataFrame, align_minutes: bool = False,
     b_src = packets.filter(F.col("created_at").isNotNull()) if align_minutes else packets
     b = b_src.select(minute.alias("__b_minute"),
                      *[F.col(c).alias(n) for c, n in _B_NAMES.items()])
-
-    a_join = ["source_host", "source_port", "source_hostname"]
-    b_join = ["__j_host", "__j_port", "__j_hostname"]
     if reduce_first:
-        a = _first(a, ["created_at_minute", "source_network", *a_join], _A_ORDER)
-        b_keys = ["destination_network", "destination_host", "destination_port", *b_join]
+        a = _first(a, ["created_at_minute", "source_network", *A_ENDPOINT], _A_ORDER)
+        b_keys = ["destination_network", "destination_host", "destination_port", *B_ENDPOINT]
         if align_minutes:
             b_keys.append("__b_minute")
         b = _first(b, b_keys, _B_ORDER)
+    return a, b
 
-    cond = [a[x] == b[y] for x, y in zip(a_join, b_join)]
+
+def pick_connections(a: DataFrame, b: DataFrame, align_minutes: bool = False) -> DataFrame:
+    """Join the two sides and keep the best pair of each connection key."""
+    cond = [a[x] == b[y] for x, y in zip(A_ENDPOINT, B_ENDPOINT)]
     if align_minutes:
         cond.append(a["created_at_minute"] == b["__b_minute"])
     pairs = a.join(b, cond, "inner").withColumnRenamed("created_at_minute", "created_at")
 
     best = _first(pairs, _KEY, _A_ORDER + _B_ORDER, map_side_limit=False)
     return best.select(*CONNECTION_COLUMNS)
+
+
+def connection_map(packets: DataFrame, align_minutes: bool = False,
+                   reduce_first: bool = True) -> DataFrame:
+    """Gold connection map (G2) from a packet map (G1)."""
+    return pick_connections(*connection_sides(packets, align_minutes, reduce_first), align_minutes)
