@@ -11,6 +11,7 @@ Queries that write (streams, upserts, refreshes) use fresh folders below
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,7 @@ from wiremap.sources.landing import write_capture_files, write_capture_files_in_
 from wiremap.spec import TableSpec
 from wiremap.streaming import gold as GOLD
 from wiremap.streaming.bronze import bronze_schema, bronze_stream, read_bronze, start_bronze
+from wiremap.streaming.ingest_log import append_log
 from wiremap.streaming.silver import silver_batch, silver_writer, start_silver, start_silver_files
 
 try:  # the corpus operators and their pipeline are optional parts
@@ -457,6 +459,27 @@ def q_gold_refresh_connection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return GOLD.read_gold(spark, _gold(spark, sf_dir), GOLD.CONNECTION_TABLE)
 
 
+def _sliding_gold(spark: SparkSession, sf_dir: str) -> str:
+    """Three refreshes, ten minutes apart, each after the rows of its minutes arrived."""
+    tables, base = X.sliding_capture(spark, sf_dir), scratch_path(spark, "sliding")
+    start = dt.datetime.fromisoformat(X.SLIDING_START)
+    for r in range(3):
+        first, last = (start + dt.timedelta(seconds=600 * r + s) for s in (0, 599))
+        for name, rows in tables.items():
+            arrived = rows.filter(F.col("dtk_inserted_at").between(F.lit(first), F.lit(last)))
+            append_log(arrived, f"{base}/log/{name}", f"arrival-{r}")
+        GOLD.refresh(spark, GOLD.window_inputs(spark, f"{base}/log", last), f"{base}/gold", as_of=last, batch_id=r)
+    return f"{base}/gold"
+
+
+def q_gold_sliding_packet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return GOLD.read_gold(spark, _sliding_gold(spark, sf_dir), GOLD.PACKET_TABLE)
+
+
+def q_gold_sliding_connection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return GOLD.read_gold(spark, _sliding_gold(spark, sf_dir), GOLD.CONNECTION_TABLE)
+
+
 def q_pipeline_packet_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Capture files -> bronze -> silver (spec jobs, struct-address lookups) -> gold packets."""
     from wiremap.sources.fixtures import raw_capture_tables
@@ -562,6 +585,8 @@ def network_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_refresh_connection": q_gold_refresh_connection,
         "pipeline_packet_map": q_pipeline_packet_map,
         "late_host_reenrich": q_late_host_reenrich,
+        "gold_sliding_packet": q_gold_sliding_packet,
+        "gold_sliding_connection": q_gold_sliding_connection,
         "file_provenance": q_file_provenance,
         "upsert_duplicate_keys": q_upsert_duplicate_keys,
         **{f"silver_{SPECS_BY_SOURCE[t].target}": _silver_target(t) for t in X.SILVER_CAPTURE},
@@ -622,6 +647,8 @@ def network_oracle_sql() -> dict[str, str]:
             O.CAPTURE_CTES, "select event_id, ts, user_id, event_type, value, props, hostname from ev"),
         "stream_latest_upsert": O.UPSERT_FIRST_LOAD,
         "evolving_columns": O.EVOLVING_COLUMNS,
+        "gold_sliding_packet": O.SLIDING_PACKETS,
+        "gold_sliding_connection": O.SLIDING_CONNECTIONS,
         "file_provenance": O.with_ctes(O.CAPTURE_CTES, O.FILE_PROVENANCE),
         "upsert_duplicate_keys": O.UPSERT_DUPLICATE_KEYS,
         **{f"silver_{SPECS_BY_SOURCE[t].target}": O.silver_target(t) for t in X.SILVER_CAPTURE},

@@ -77,11 +77,21 @@ def test_newest_wins_is_order_independent(spark, tmp_path):
 def test_old_versions_are_pruned(spark, tmp_path):
     p = str(tmp_path / "t")
     for i in range(4):
-        upsert(spark, _df(spark, [(i, "x", T0)]), p, ["k"], batch_id=i, keep=2)
+        upsert(spark, _df(spark, [(i, "x", T0)]), p, ["k"], batch_id=i, keep=2, keep_hours=0)
     assert versions(spark, p) == [2, 3]
     assert read_keyed(spark, p).count() == 4
 
 
+def test_a_reader_survives_ten_commits(spark, tmp_path):
+    p = str(tmp_path / "t")
+    upsert(spark, _df(spark, [(0, "old", T0)]), p, ["k"])
+    reader = read_keyed(spark, p)
+    for i in range(10):
+        upsert(spark, _df(spark, [(0, f"new{i}", T0)]), p, ["k"])
+    assert [r.v for r in reader.collect()] == ["old"]
+    assert [r.v for r in read_keyed(spark, p).collect()] == ["new9"]
+
+
 def _files(p):
     import pathlib
     return {str(f): f.stat().st_mtime_ns for f in pathlib.Path(p, "data").rglob("part-*.parquet")}

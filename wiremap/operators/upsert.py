@@ -33,6 +33,7 @@ With a catalog table format that supports MERGE (Delta, Iceberg),
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -46,6 +47,7 @@ from wiremap.sources.evolving import widen
 BUCKET = "__bucket"
 HASH_BUCKETS = 16
 RETRIES = 5
+KEEP_HOURS = 24.0
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
@@ -126,14 +128,16 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], *,
            batch_id: int | None = None, writer: str = "default", order_by: str | None = None,
            null_safe: bool = False, newest_wins: bool = False,
-           on_duplicate: str = "first", keep: int = 2, buckets: int | None = None,
+           on_duplicate: str = "first", keep_hours: float = KEEP_HOURS, keep: int = 2, buckets: int | None = None,
            unique_keys: bool = False) -> int:
     """Upsert ``source`` into the table at ``path``; returns the current version.
 
     With a ``batch_id`` the write is a no-op if this ``writer`` has committed
     that number or a later one.  ``buckets`` (default ``HASH_BUCKETS``) is fixed
     by the first write.  ``unique_keys=True`` is the caller's promise that
-    ``source`` already has one row per key, which skips the reduction.
+    ``source`` already has one row per key, which skips the reduction.  Versions
+    stay for ``keep_hours`` after a later one took their place (and the newest
+    ``keep`` always), so that a reader of an older one can finish.
     """
     src = reduce_source(source, keys, order_by, "trusted" if unique_keys else on_duplicate)
     stage = None
@@ -170,11 +174,11 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
             written = [m.split("=")[1] for m in names if m.startswith(f"{BUCKET}=")]
             live = {b: f for b, f in live.items() if int(b) not in touched} | dict.fromkeys(written, folder)
             after = {"keys": list(keys), "buckets": n, "null_safe": null_safe, "live": live,
-                     "schema": schema.jsonValue(), "writers": dict(about["writers"]) if about else {}}
+                     "schema": schema.jsonValue(), "at": time.time(), "writers": dict(about["writers"]) if about else {}}
             if batch_id is not None:
                 after["writers"][writer] = batch_id
             if fs.write_new(spark, f"{path}/_versions/{v:012d}.json", json.dumps(after)):
-                _drop_old(spark, path, keep)
+                _drop_old(spark, path, keep, keep_hours)
                 return v
             fs.delete(spark, f"{path}/data/{folder}")
         raise RuntimeError(f"{path}: {RETRIES} other writers committed first")
@@ -199,13 +203,24 @@ def _clustered(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", BUCKET)
 
 
-def _drop_old(spark: SparkSession, path: str, keep: int) -> None:
-    """Remove versions beyond the newest ``keep`` and the folders only they name."""
+def _drop_old(spark: SparkSession, path: str, keep: int, keep_hours: float) -> None:
+    """Remove versions that were replaced more than ``keep_hours`` ago, and the folders only they name."""
     found = versions(spark, path)
-    old, kept = found[:-max(keep, 1)], found[-max(keep, 1):]
-    used = {(b, f) for v in kept for b, f in _version(spark, path, v)["live"].items()}
+    about = {found[-1]: _version(spark, path, found[-1])}
+    old: list[int] = []
+    # From the oldest on: the first version that has to stay ends the search.
+    for v, after in zip(found[:-max(keep, 1)], found[1:]):
+        about[after] = _version(spark, path, after)
+        if about[after].get("at", 0) > time.time() - keep_hours * 3600:
+            break
+        old.append(v)
+    if not old:
+        return
+    for v in found:
+        about[v] = about.get(v) or _version(spark, path, v)
+    used = {(b, f) for v in found if v not in old for b, f in about[v]["live"].items()}
     for v in old:
-        for b, f in _version(spark, path, v)["live"].items():
+        for b, f in about[v]["live"].items():
             if (b, f) not in used:
                 fs.delete(spark, _folder(path, f, b))
         fs.delete(spark, f"{path}/_versions/{v:012d}.json")

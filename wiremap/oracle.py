@@ -415,3 +415,56 @@ select * from (
   select * from best
   qualify row_number() over (partition by {keys}, hostname order by event_id % 2 desc) = 1)
 """)
+
+
+# Three refreshes at rising times, each with a look-back of ten minutes on all five inputs.
+_ARRIVAL = "timestamp '2024-02-01 00:00:00' + to_seconds(cast({} as integer))"
+_SLIDING = """,
+ip_s as (select * exclude (dtk_inserted_at), {by_id} as dtk from network_ip),
+packet_s as (
+  select * exclude (dtk_inserted_at), {by_id} as dtk from network_packet
+  union all
+  select * exclude (dtk_inserted_at) replace (length + 1 as length), {resent} as dtk
+  from network_packet where _id % 10 = 0),
+link_s as (select * exclude (dtk_inserted_at), {by_id} as dtk from process_network),
+iface_s as (
+  select i.*, {iface} as dtk from net_interface i, range(6) t(k) where k <= _id % 6),
+proc_s as (
+  select event_id % 5 as pid, hostname, ts as started_at, cast(1 as bigint) as ppid, user_id as uid,
+         concat('cmd', cast(event_id % 5 as varchar)) as command,
+         concat('cmd', cast(event_id % 5 as varchar), ' --x') as full_command, {by_event} as dtk
+  from ev where event_type = 'signup')""".format(
+    by_id=_ARRIVAL.format("_id % 1800"), resent=_ARRIVAL.format("_id % 1800 + 480"),
+    iface=_ARRIVAL.format("_id % 300 + 300 * k"), by_event=_ARRIVAL.format("event_id % 1800"))
+_SLIDING_KEYS = {"ip": "_id, hostname", "packet": "_id, hostname", "link": "_id, hostname", "iface": "_id, hostname",
+                 "proc": "pid, started_at, hostname"}
+
+
+def _sliding_refresh(r: int, body: str) -> str:
+    """``body`` over the packets of refresh r (1, 2, 3), as of second 600 * r - 1."""
+    first, last = (_ARRIVAL.format(x) for x in (600 * (r - 1), 600 * r - 1))
+    windows = "".join(f""",
+{t}_w as (
+  select * exclude (dtk) from {t}_s where dtk between {first} and {last}
+  qualify row_number() over (partition by {keys} order by dtk desc{", uid" if t == "proc" else ""}) = 1)"""
+                      for t, keys in _SLIDING_KEYS.items())
+    rest = PACKET_CTES[len(CAPTURE_CTES):]
+    for old, new in (("from network_ip i join network_packet p", "from ip_w i join packet_w p"),
+                     ("net_interface s", "iface_w s"), ("net_interface d", "iface_w d"),
+                     ("left join process_network l", "left join link_w l"),
+                     ("left join process pr", "left join proc_w pr"),
+                     ("(select max(ts) from events) as dtk_inserted_at", f"{last} as dtk_inserted_at")):
+        rest = rest.replace(old, new)
+    return f"select {r} as refresh, x.* from ({with_ctes(CAPTURE_CTES + _SLIDING + windows + rest, body)}) x"
+
+
+def _sliding(body: str, keys: str) -> str:
+    runs = "\nunion all\n".join(_sliding_refresh(r, body) for r in (1, 2, 3))
+    return (f"select * exclude (refresh) from ({runs}) "
+            f"qualify row_number() over (partition by {keys} order by refresh desc) = 1")
+
+
+SLIDING_PACKETS = _sliding("select * from g1", "packet_id, source_hostname")
+SLIDING_CONNECTIONS = _sliding(
+    "select * exclude (rn) from (" + _G2_SELECT + "  where a.created_at is not null) where rn = 1",
+    "created_at, source_network, source_host, source_port, destination_host, destination_port, destination_network")

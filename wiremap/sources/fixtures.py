@@ -210,3 +210,38 @@ def silver_capture(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     v = capture_views(spark, sf_dir)
     return v.ev.select("event_id", *[F.expr(e).alias(c) for c, e in SILVER_CAPTURE[table].items()],
                        "hostname", F.col("ts").alias("inserted_at"))
+
+
+# Ingest times folded to half an hour, so that a ten-minute look-back bites.
+SLIDING_START = "2024-02-01 00:00:00"
+SLIDING_SECONDS = 1800
+
+
+def sliding_capture(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The five gold inputs as rows arrive within half an hour, by silver table.
+
+    Event ``e`` arrives at second ``e % 1800``.  Every tenth packet is sent again
+    eight minutes later, one byte longer.  Interfaces are sent every five minutes
+    and stop after one to six times: then they leave the look-back.
+    """
+    v = capture_views(spark, sf_dir)
+    at = lambda second: F.timestamp_seconds(
+        F.unix_timestamp(F.lit(SLIDING_START)) + second).alias("dtk_inserted_at")
+    by_event = at(F.col("_id") % SLIDING_SECONDS)
+    ip = v.network_ip.drop("dtk_inserted_at").select("*", by_event)
+    packet = v.network_packet.drop("dtk_inserted_at")
+    again = packet.filter(F.col("_id") % 10 == 0).withColumn("length", F.col("length") + 1)
+    packet = packet.select("*", by_event).unionByName(
+        again.select("*", at(F.col("_id") % SLIDING_SECONDS + 480)))
+    link = v.process_network.drop("dtk_inserted_at").select("*", by_event)
+    times = F.explode(F.sequence(F.lit(0), (F.col("_id") % 6).cast("int")))
+    iface = v.interfaces.select("*", times.alias("k")).select(
+        "_id", "host", "network", "hostname", at(F.col("_id") % 300 + F.col("k") * 300))
+    pid = F.col("event_id") % 5
+    process = v.ev.filter(F.col("event_type") == "signup").select(
+        pid.alias("pid"), "hostname", F.col("ts").alias("started_at"), F.lit(1).cast("bigint").alias("ppid"),
+        F.col("user_id").alias("uid"), F.concat(F.lit("cmd"), pid.cast("string")).alias("command"),
+        F.concat(F.lit("cmd"), pid.cast("string"), F.lit(" --x")).alias("full_command"),
+        at(F.col("event_id") % SLIDING_SECONDS))
+    return {"fact_network_ip": ip, "fact_network_packet": packet, "dim_network_interface": iface,
+            "fact_process_network": link, "dim_process": process}

@@ -26,8 +26,9 @@ from wiremap.operators.upsert import read_keyed, upsert
 from wiremap.plans.connection_map import connection_map
 from wiremap.plans.packet_map import packet_map
 from wiremap.spec import (
-    CONNECTION_KEYS, GOLD_LOOKBACK_MINUTES, GOLD_REFRESH_SECONDS, PACKET_KEYS,
+    CONNECTION_KEYS, GOLD_LOOKBACK_MINUTES, GOLD_REFRESH_SECONDS, PACKET_KEYS, SILVER_TABLES,
 )
+from wiremap.streaming.ingest_log import read_window
 from wiremap.streaming.silver import query_writer
 
 log = logging.getLogger(__name__)
@@ -57,6 +58,16 @@ def silver_inputs(spark: SparkSession, silver_path: str) -> SilverInputs:
                         t("dim_network_interface"), t("fact_process_network"), t("dim_process"))
 
 
+def window_inputs(spark: SparkSession, log_path: str, as_of: dt.datetime,
+                  minutes: int = GOLD_LOOKBACK_MINUTES) -> SilverInputs:
+    """The five inputs of a refresh from the ingest logs: only the look-back's hours are opened."""
+    def t(name: str) -> DataFrame:
+        spec = next(s for s in SILVER_TABLES if s.target == name)
+        return read_window(spark, f"{log_path}/{name}", minutes, as_of, spec.keys)
+    return SilverInputs(t("fact_network_ip"), t("fact_network_packet"),
+                        t("dim_network_interface"), t("fact_process_network"), t("dim_process"))
+
+
 def refresh(spark: SparkSession, inputs: SilverInputs, gold_path: str, *,
             as_of: Column | dt.datetime | None = None,
             lookback_minutes: int | None = GOLD_LOOKBACK_MINUTES,
@@ -88,14 +99,21 @@ def refresh(spark: SparkSession, inputs: SilverInputs, gold_path: str, *,
 def start_gold(spark: SparkSession, ticks: DataFrame, silver_path: str, gold_path: str,
                checkpoint: str, *, period_seconds: int = GOLD_REFRESH_SECONDS,
                lookback_minutes: int | None = GOLD_LOOKBACK_MINUTES,
-               available_now: bool = False):
-    """Run ``refresh`` on every trigger of a streaming query over ``ticks``."""
+               log_path: str | None = None, available_now: bool = False):
+    """Run ``refresh`` on every trigger of a streaming query over ``ticks``.
+
+    With ``log_path`` (the ingest logs that the silver jobs write) a refresh reads
+    its look-back from there instead of the keyed tables.
+    """
     writer_id = query_writer(spark, checkpoint)
 
     def run(_batch: DataFrame, batch_id: int) -> None:
         t0 = time.time()
-        refresh(spark, silver_inputs(spark, silver_path), gold_path,
-                lookback_minutes=lookback_minutes, batch_id=batch_id, writer=writer_id())
+        now = dt.datetime.now(dt.timezone.utc)
+        inputs = (silver_inputs(spark, silver_path) if log_path is None or lookback_minutes is None
+                  else window_inputs(spark, log_path, now, lookback_minutes))
+        refresh(spark, inputs, gold_path, as_of=now, lookback_minutes=lookback_minutes,
+                batch_id=batch_id, writer=writer_id())
         took = time.time() - t0
         if took > period_seconds:
             log.warning("gold refresh took %.1f s, longer than its %d s period",

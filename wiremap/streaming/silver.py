@@ -17,6 +17,7 @@ from wiremap.operators.upsert import upsert
 from wiremap.sources.evolving import files_schema, list_files, new_files, scan, start_files, widen, widen_type
 from wiremap.spec import RAW_SCHEMAS, TableSpec
 from wiremap.streaming.bronze import query_id
+from wiremap.streaming.ingest_log import append_log
 
 
 def silver_batch(df: DataFrame, spec: TableSpec, hosts: DataFrame | None = None) -> DataFrame:
@@ -36,9 +37,11 @@ def silver_batch(df: DataFrame, spec: TableSpec, hosts: DataFrame | None = None)
 
 def silver_writer(spark: SparkSession, spec: TableSpec, target_path: str,
                   hosts_loader=None, newest_wins: bool = False, null_safe: bool = False,
-                  writer=None):
+                  writer=None, log_path: str | None = None):
     """``foreachBatch`` function for one silver table.
 
+    With ``log_path`` the batch is also appended to the table's ingest log.
+
     ``hosts_loader()`` returns the host table as it is now (read per batch,
     like the pipeline).  ``newest_wins`` re-ranks the stored row against the
     incoming one by the clock instead of letting the later batch win.
@@ -47,8 +50,10 @@ def silver_writer(spark: SparkSession, spec: TableSpec, target_path: str,
     def run(batch_df: DataFrame, batch_id: int) -> None:
         hosts = hosts_loader() if (hosts_loader and spec.lookups) else None
         out = silver_batch(batch_df, spec, hosts)
-        upsert(spark, out, target_path, list(spec.keys), batch_id=batch_id,
-               writer=writer() if writer else "stream",
+        name = writer() if writer else "stream"
+        if log_path is not None:
+            append_log(out, log_path, f"{name}-{batch_id}".replace(":", "-"))
+        upsert(spark, out, target_path, list(spec.keys), batch_id=batch_id, writer=name,
                order_by=None if spec.distinct_only else spec.order_by,
                newest_wins=newest_wins and not spec.distinct_only, null_safe=null_safe,
                unique_keys=True, buckets=spec.buckets)   # silver_batch left one row per key
@@ -91,7 +96,8 @@ def with_address(schema: T.StructType, columns: set[str], address: T.DataType) -
 
 
 def start_silver_files(spark: SparkSession, bronze_path: str, spec: TableSpec, target_path: str,
-                       checkpoint: str, *, host_path: str | None = None, newest_wins: bool = False,
+                       checkpoint: str, *, host_path: str | None = None, log_path: str | None = None,
+                       newest_wins: bool = False,
                        null_safe: bool = False, max_files_per_trigger: int | None = None,
                        available_now: bool = True, processing_time: str | None = None):
     """Silver job over the files of a bronze table: columns that come late reach the keyed table.
@@ -102,7 +108,7 @@ def start_silver_files(spark: SparkSession, bronze_path: str, spec: TableSpec, t
     hosts = HostFiles(spark, host_path, RAW_SCHEMAS["dim_network_host"]) if spec.lookups else None
     current: dict[str, DataFrame] = {}
     write = silver_writer(spark, spec, target_path, lambda: current["hosts"], newest_wins, null_safe,
-                          query_writer(spark, checkpoint))
+                          query_writer(spark, checkpoint), log_path)
     clocks = () if spec.distinct_only else (spec.order_by,)
     used = {*spec.keys, *spec.distinct_only, *clocks, *[a for a, _ in spec.lookups]}
 
