@@ -32,6 +32,16 @@ def texts(n, seed):
     return ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 14))) for _ in range(n)]
 
 
+def test_word_encoder_on_text_of_the_corpus(library):
+    import duckdb
+    some = [t or "" for (t,) in duckdb.sql("select text from '/root/testdata/sf0.01/documents.parquet'").fetchall()]
+    e = WordEncoder(JSON, max_pieces=20_000)
+    for i in range(0, len(some), 100):
+        part = some[i:i + 100]
+        for text, ids in zip(part, e.encode(pa.array(part))):
+            assert ids.tolist() == library(text), text
+
+
 def test_word_encoder_equals_whole_texts(library):
     some = texts(3000, 1)
     small = WordEncoder(JSON, max_pieces=50)      # its tables overflow all the time

@@ -31,10 +31,10 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str =
     """Ids of each document (two bytes each where the vocabulary allows), stored once."""
 
     def encode(batches):
-        from wiremap.llm.tokens import encoder
+        from wiremap.llm.tokens import SLICE, encoder
         enc, part, at = encoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], np.uint32)
-        for b in by_bytes(batches, "text"):
+        for b in by_bytes(batches, "text", SLICE):
             ids = [np.concatenate((x, end)) for x in enc.encode(b.column("text"))]
             n = np.array([len(x) for x in ids], np.int64)
             starts = at + np.cumsum(n) - n

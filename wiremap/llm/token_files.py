@@ -89,7 +89,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     def write(batches):
         from pyarrow import fs as pafs
 
-        from wiremap.llm.tokens import encoder
+        from wiremap.llm.tokens import SLICE, encoder
         enc, shard = encoder(tokenizer), TaskContext.get().partitionId()
         store, root = pafs.FileSystem.from_uri(path)
         store.create_dir(root, recursive=True)
@@ -113,7 +113,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             return row
 
         end = np.array([end_id], np.uint32)
-        for b in by_bytes(batches, "text"):
+        for b in by_bytes(batches, "text", SLICE):
             for i, x in zip(b.column("doc_id").to_pylist(), enc.encode(b.column("text"))):
                 if held and held + len(x) + 1 > file_tokens:
                     yield flush()

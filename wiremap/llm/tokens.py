@@ -31,10 +31,15 @@ import pyarrow.compute as pc
 ODD = r"[\s\p{Z}\x{85}]{2}|[\x1c-\x1f]"
 RUNS = re.compile(r"(\s{2,})")
 SEPARATOR = re.compile("[\x1c-\x1f]")
-TAIL = re.compile(r"(.*[^\W_])([!-&(-/:-@\[-`{-~]+)", re.S)
+#: Punctuation that may end a piece; an apostrophe may begin a contraction.
+ENDS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 #: Marks a piece that no space precedes.
 BARE = "\x1f"
 LONG = 64
+#: Pieces that the library encodes as one text.
+JOINED = 4096
+#: Bytes of text that are cut into pieces at once.
+SLICE = 4 << 20
 
 
 class WordEncoder:
@@ -44,13 +49,14 @@ class WordEncoder:
     known changes the time, never the ids.
     """
 
-    def __init__(self, path: str, max_pieces: int = 500_000):
+    def __init__(self, path: str, max_pieces: int = 150_000):
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
         # Strings that the library takes as one token wherever they stand.
         self.added = [t.content for t in tok.get_added_tokens_decoder().values() if t.content]
         self.max_pieces = max_pieces
         self.batch = lambda texts: tok.encode_batch_fast(texts, add_special_tokens=False)
+        (self.newline,) = self.batch(["\n"])[0].ids
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -113,18 +119,44 @@ class WordEncoder:
     def _learn(self, new: list[str]) -> list[str]:
         """Make pieces known; returns those too long to be kept."""
         known = self.known
-        new = self._recall(new)
-        ends = {p: m for p in new if len(p) <= LONG and (m := TAIL.fullmatch(p))}
-        cores = self._recall(dict.fromkeys([m[1] for m in ends.values()])
-                             | dict.fromkeys([BARE + m[2] for m in ends.values()])
-                             | dict.fromkeys(p for p in new if p not in ends))
-        for i in range(0, len(cores), 8192):
-            part = cores[i:i + 8192]
-            got = self.batch([p[1:] if p[:1] == BARE else " " + p for p in part])
-            known.update(zip(part, [pack(f"<{len(e)}I", *e.ids) for e in got]))
-        for p, m in ends.items():
-            known[p] = known[m[1]] + known[BARE + m[2]]
-        return [p for p in cores if len(p) > LONG]
+        cut, heads, tails, rest = [], [], [], []
+        for p in self._recall(new):
+            head = p.rstrip(ENDS) if len(p) <= LONG else p
+            if len(head) < len(p) and head[-1:].isalnum():
+                cut.append(p)
+                heads.append(head)
+                tails.append(BARE + p[len(head):])
+            else:
+                rest.append(p)
+        cores = self._recall(dict.fromkeys([*heads, *tails, *rest]))
+        text = lambda p: p[1:] if p[:1] == BARE else " " + p
+        # Pieces that end in white space, or are nothing else, would run into a newline.
+        own = [p for p in cores if not (q := p.removeprefix(BARE)) or q[0].isspace() or q[-1].isspace()]
+        got = self.batch([text(p) for p in own])
+        known.update(zip(own, [pack(f"<{len(e)}I", *e.ids) for e in got]))
+        if own:
+            alone = set(own)
+            cores = [p for p in cores if p not in alone]
+        for i in range(0, len(cores), JOINED):
+            part = cores[i:i + JOINED]
+            known.update(zip(part, self._joined([text(p) for p in part])))
+        for p, head, tail in zip(cut, heads, tails):
+            known[p] = known[head] + known[tail]
+        return [p for p in [*own, *cores] if len(p) > LONG]
+
+    def _joined(self, pieces: list[str]) -> list[bytes]:
+        """The ids of many pieces from one text with newlines between them.
+
+        A newline between two non-spaces, or before a space and a non-space, is a match of its
+        own, and no piece here holds one or begins or ends with other white space.
+        """
+        ids = np.array(self.batch(["\n".join(pieces)])[0].ids, "<u4")
+        ends = np.append(np.flatnonzero(ids == self.newline), len(ids))
+        raw, a, out = ids.tobytes(), 0, []
+        for b in (4 * ends).tolist():
+            out.append(raw[a:b])
+            a = b + 4
+        return out
 
     def _recall(self, pieces) -> list[str]:
         """The pieces not known yet, after taking back what the old half knows."""
