@@ -27,14 +27,17 @@ PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """Ids of each document (two bytes each where the vocabulary allows), stored once."""
+                text_col: str = "text", max_pieces: int = 500_000, slice_bytes: int = 8 << 20) -> DataFrame:
+    """Ids of each document (two bytes each where the vocabulary allows), stored once.
+
+    ``max_pieces`` and ``slice_bytes`` trade a worker's memory for time; the ids are the same.
+    """
 
     def encode(batches):
-        from wiremap.llm.tokens import SLICE, encoder
-        enc, part, at = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        from wiremap.llm.tokens import encoder
+        enc, part, at = encoder(tokenizer, max_pieces), TaskContext.get().partitionId(), 0
         end = np.array([end_id], np.uint32)
-        for b in by_bytes(batches, "text", SLICE):
+        for b in by_bytes(batches, "text", slice_bytes):
             ids = [np.concatenate((x, end)) for x in enc.encode(b.column("text"))]
             n = np.array([len(x) for x in ids], np.int64)
             starts = at + np.cumsum(n) - n

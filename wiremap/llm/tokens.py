@@ -38,8 +38,8 @@ BARE = "\x1f"
 LONG = 64
 #: Pieces that the library encodes as one text.
 JOINED = 4096
-#: Bytes of text that are cut into pieces at once.
-SLICE = 4 << 20
+#: Known pieces (each half of the table) and bytes of text that are cut into pieces at once.
+MAX_PIECES, SLICE = 500_000, 8 << 20
 
 
 class WordEncoder:
@@ -49,7 +49,7 @@ class WordEncoder:
     known changes the time, never the ids.
     """
 
-    def __init__(self, path: str, max_pieces: int = 150_000):
+    def __init__(self, path: str, max_pieces: int = MAX_PIECES):
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
         # Strings that the library takes as one token wherever they stand.
@@ -190,11 +190,12 @@ class WordEncoder:
         return b"".join(out)
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, max_pieces: int = MAX_PIECES) -> WordEncoder:
     """One encoder for each Python worker, kept between its tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    key = path, max_pieces
+    if key not in _ENCODERS:
+        _ENCODERS[key] = WordEncoder(path, max_pieces)
+    return _ENCODERS[key]
