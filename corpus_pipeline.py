@@ -47,7 +47,9 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(packing.token_table(docs, TOKENIZER))
+    # Workers of the earlier stages still hold memory here.
+    tokens = packing.token_table(docs, TOKENIZER, max_pieces=150_000, slice_bytes=4 << 20)
+    pieces = packing.pack(tokens)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset", "padded")
 
