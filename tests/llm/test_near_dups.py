@@ -4,6 +4,8 @@ import random
 import re
 import string
 
+import numpy as np
+
 from wiremap.llm import near_dups
 from wiremap.llm.components import components
 
@@ -102,3 +104,37 @@ def test_components(spark):
         root[y] = x
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: find(i) for a, b in links if a != b for i in (a, b)}
+
+
+def test_links_of_small_nodes_across_components(spark, monkeypatch):
+    """Chains of texts around the limit, sets dealt to several cells: no link lost."""
+    monkeypatch.setattr(near_dups, "CELL_BYTES", 4000)
+    rng = random.Random(8)
+    rows = []
+    for group in range(6):
+        base = [f"g{group}w{i}" for i in range(200)]
+        for _ in range(14):
+            base = edited(base, rng, rng.choice((2, 3, 4))).split(" ")
+            rows += [(len(rows), " ".join(base)), (len(rows) + 1, edited(base, rng, rng.choice((1, 3, 6))))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(near_dups.near_duplicates(docs)) == brute(rows)
+
+
+def test_linked_counts_whole_sets(monkeypatch):
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 300, n).astype(np.uint64)) for n in rng.integers(1, 400, 40)]
+    want = [[100 * len(np.intersect1d(x, y)) >= 60 * len(np.union1d(x, y)) for y in sets] for x in sets]
+    assert near_dups.linked(sets, 60).tolist() == want
+    assert near_dups.linked([np.array([1], np.uint64), np.array([2], np.uint64)], 60).tolist() == np.eye(2, dtype=bool).tolist()
+
+
+def test_sketch_keeps_linked_pairs():
+    """Sets at the limit never differ in more bits than allowed, also very small ones."""
+    rng = np.random.default_rng(10)
+    most = near_dups.different_bits(0.85)
+    for shared, own in ((17, 3), (340, 60), (6, 1)):
+        for _ in range(100):
+            x = rng.integers(0, 1 << 63, shared + own).astype(np.uint64)
+            a, b = x, x[:shared]
+            bits = near_dups.sketch(np.stack([near_dups.signature(a), near_dups.signature(b)]))
+            assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= most

@@ -16,16 +16,22 @@ is 6e-5 and 3e-4.  Pairs in nodes that are small after two levels: below 1e-7.
 
 Sizes are looked at every second level.  A larger node of which half the
 classes are as similar to one of them as linked documents (a group of near
-copies) is branched no further.  Nodes of at most ``SMALL`` classes
-are compared exhaustively: the pairs that their signatures don't rule out
-(estimate above threshold - 6 standard deviations) are confirmed on the full
-sets.  Confirmation runs in two rounds.  The first takes only a spanning
-forest of each small node, and the links to two pivots of each node that stays
-large (thousands of near copies).  The second takes
-all remaining pairs that lie in one node but in different components; in a
-large node only classes outside its largest component are compared, in blocks,
-with the whole node.  So no link that joins two components is lost, and a
-group of g copies costs about g confirmations instead of g squared.
+copies) is branched no further.  Nodes of at most ``SMALL`` classes are
+compared exhaustively.  Node rows carry one hashed bit of each minwise token;
+a class whose bits rule out every other one in its node (more different bits
+than a linked pair has, by 6 standard deviations) leaves the node before
+anything is joined to it, so chance meetings of unlike texts cost no more.
+
+Links are confirmed on the full sets, in two rounds.  The first takes only a
+spanning forest of each small node, and the links to two pivots of each node
+that stays large (thousands of near copies).  In the second, the members of a
+small node that may still be linked across components bring their full sets to
+one task, which counts all intersections at once and hands on only links that
+join components, fewer than it has members; sets of more than ``CELL_BYTES``
+in one node are dealt to cells of pairs of parts.  In a large node only
+classes outside its largest component are compared, in blocks, with the whole
+node.  So no link that joins two components is lost, and no pair of a small
+node ever becomes a row unless it is a link.
 
 Defined cases: texts without words have empty sets and are linked with
 nothing; a text with fewer than ``WORDS`` words is one shingle; rows with a
@@ -39,7 +45,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wiremap.llm.common import by_bytes, id_text, stored
@@ -50,6 +56,7 @@ TREES = 16
 SMALL = 128
 LEVELS = 3
 BLOCK = 2048
+CELL_BYTES = 16 << 20
 U64 = np.uint64
 RECORD = "doc_id long, n_shingles long, digest binary, signature binary"
 
@@ -116,6 +123,17 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketch(sig: np.ndarray) -> np.ndarray:
+    """One hashed bit of each minwise token: two 64-bit words a row."""
+    return np.packbits((sig * np.uint32(0x9E3779B1)) >> np.uint32(31), axis=1).view(U64)
+
+
+def different_bits(threshold: float) -> int:
+    """The most bits in which the sketches of a linked pair differ."""
+    same = (1 + threshold) / 2
+    return int(SIGNATURE * (1 - same) + 6 * (SIGNATURE * same * (1 - same)) ** 0.5)
+
+
 def records(docs: DataFrame, words: int) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text), as ``RECORD``."""
 
@@ -147,7 +165,7 @@ def branch(row: np.ndarray, node: np.ndarray, sig: np.ndarray,
 
 
 def _descend(rows: DataFrame, trees: int, threshold: float, root: bool) -> DataFrame:
-    """Two levels down: rows (node, rep) of the tree roots or of given nodes."""
+    """Two levels down: rows (node, rep, s, t) of the tree roots or of given nodes; s, t: sketch."""
 
     def run(batches):
         for b in batches:
@@ -164,10 +182,12 @@ def _descend(rows: DataFrame, trees: int, threshold: float, root: bool) -> DataF
                     row, node = np.arange(len(rep)), s.column("node").to_numpy().view(U64)
                 for _ in range(2):
                     row, node = branch(row, node, sig, threshold)
+                bits = sketch(sig).view(np.int64)[row]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(node.view(np.int64)), pa.array(rep[row])], names=["node", "rep"])
+                    [pa.array(x) for x in (node.view(np.int64), rep[row], bits[:, 0].copy(), bits[:, 1].copy())],
+                    names=["node", "rep", "s", "t"])
 
-    return rows.mapInArrow(run, "node long, rep long")
+    return rows.mapInArrow(run, "node long, rep long, s long, t long")
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
@@ -176,6 +196,40 @@ def _grouped(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, "node")
 
 
+def near_members(node: np.ndarray, rep: np.ndarray, bits: np.ndarray, most: int) -> np.ndarray:
+    """Which rows, in order of nodes, have another class near them in their node."""
+    out = np.zeros(len(node), bool)
+    for step in range(1, len(node)):
+        together = node[step:] == node[:-step]
+        if not together.any():
+            break
+        a = np.flatnonzero(together)
+        near = np.bitwise_count(bits[a] ^ bits[a + step]).sum(1) <= most
+        a = a[near & (rep[a] != rep[a + step])]
+        out[a] = out[a + step] = True
+    return out
+
+
+def _near_lists(leaf: DataFrame, threshold: float) -> DataFrame:
+    """The members of each small node that its sketches leave, as sorted lists."""
+    most = different_bits(threshold)
+
+    def run(batches):
+        for b in batches:
+            rows = b.column("rows")
+            flat = rows.flatten()
+            rep, s, t = (np.asarray(flat.field(k)) for k in range(3))
+            node = np.repeat(np.arange(len(rows)), pc.list_value_length(rows))
+            bits = np.stack([s, t], 1).view(U64)
+            keep = near_members(node, rep, bits, most)
+            node, rep = node[keep], rep[keep]
+            lists = [np.unique(x) for x in np.split(rep, np.flatnonzero(np.diff(node)) + 1)] if len(rep) else []
+            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int64()))], names=["members"])
+
+    rows = leaf.groupBy("node").agg(F.collect_list(F.struct("rep", "s", "t")).alias("rows"))
+    return rows.select("rows").mapInArrow(run, "members array<long>")
+
+
 def _alike(live: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     """The nodes of which half the classes are as similar to a pivot as linked ones.
 
@@ -203,8 +257,7 @@ def nodes(reps: DataFrame, trees: int, threshold: float) -> tuple[DataFrame, Dat
         source = reps.select("rep", "signature") if live is None else live.join(reps, "rep").select(
             "node", "rep", "signature")
         found = stored(_grouped(_descend(source, trees, threshold, live is None)), "nodes")
-        leaf = found.filter(F.col("size") <= SMALL).groupBy("node").agg(
-            F.array_sort(F.collect_set("rep")).alias("members")).select("members")
+        leaf = _near_lists(found.filter(F.col("size") <= SMALL), threshold)
         small = leaf if small is None else small.unionByName(leaf)
         live = found.filter(F.col("size") > SMALL).select("node", "rep")
         whole = live
@@ -257,7 +310,7 @@ def _members(lists: DataFrame, reps: DataFrame, *extra: str) -> DataFrame:
     rows = lists.select("list", F.explode("members").alias("rep")).join(
         reps.select("rep", "signature", *extra), "rep")
     return rows.groupBy("list").agg(F.collect_list(F.struct("rep", "signature", *extra)).alias("rows")).select(
-        *[F.col(f"rows.{c}").alias(c) for c in ("rep", "signature", *extra)])
+        "list", *[F.col(f"rows.{c}").alias(c) for c in ("rep", "signature", *extra)])
 
 
 def _signatures(raw: list[bytes]) -> np.ndarray:
@@ -280,24 +333,82 @@ def first_pairs(lists: DataFrame, large: DataFrame, reps: DataFrame, cutoff: flo
     return inside.unionByName(stars).distinct()
 
 
-def rest_pairs(lists: DataFrame, large: DataFrame, reps: DataFrame, labels: DataFrame,
-               cutoff: float) -> DataFrame:
-    """Pairs in one node and in different components that signatures don't rule out."""
-    known = reps.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
+def _known(reps: DataFrame, labels: DataFrame) -> DataFrame:
+    return reps.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "rep", "signature", F.coalesce("component", "rep").alias("component"))
 
-    def small(batches):
+
+def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which pairs of full sets are linked: all intersections by products of incidence rows."""
+    n, sizes = len(sets), np.array([len(x) for x in sets], np.int64)
+    owner = np.repeat(np.arange(n), sizes)
+    _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1
+    code = np.where(shared[code], (np.cumsum(shared) - 1)[code], -1)
+    both, width = np.zeros((n, n), np.int64), 1 << 16
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    for low in range(0, int(shared.sum()), width):
+        a, b = np.searchsorted(code, (low, low + width))
+        rows = np.zeros((n, width if low + width <= shared.sum() else int(shared.sum()) - low), np.float32)
+        rows[owner[a:b], code[a:b] - low] = 1
+        both += (rows @ rows.T).astype(np.int64)
+    np.fill_diagonal(both, sizes)
+    return 100 * both >= percent * (sizes[:, None] + sizes - both)
+
+
+def small_links(lists: DataFrame, reps: DataFrame, sets: DataFrame, labels: DataFrame, cutoff: float,
+                percent: int) -> DataFrame:
+    """Links (a, b) between components inside small nodes, at most members - 1 a node."""
+
+    def open_members(batches):
         for b in batches:
-            pairs = set()
-            for ids, raw, comp in zip(*(b.column(k).to_pylist() for k in ("rep", "signature", "component"))):
+            out: tuple[list, list, list] = ([], [], [])
+            for name, ids, raw, comp in zip(*(b.column(k).to_pylist() for k in ("list", "rep", "signature", "component"))):
                 sig, comp = _signatures(raw), np.array(comp)
-                near = (estimates(sig, sig) >= cutoff) & (comp[:, None] != comp)
-                pairs.update((min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in zip(*np.nonzero(near)))
-            yield _pair_batch(list(pairs))
+                near = ((estimates(sig, sig) >= cutoff) & (comp[:, None] != comp)).any(1)
+                for i in np.flatnonzero(near).tolist():
+                    for o, v in zip(out, (name, ids[i], int(comp[i]))):
+                        o.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in out],
+                                             names=["list", "rep", "component"])
+
+    def judge(t: pa.Table) -> pa.Table:
+        own, comp, ids = t["part"].to_numpy(), t["component"].to_pylist(), t["rep"].to_pylist()
+        yes = np.triu(linked([np.frombuffer(x, U64) for x in t["hashes"].to_pylist()], percent), 1)
+        if t["i"][0] != t["j"][0]:
+            yes &= own[:, None] != own
+        root: dict[int, int] = {}
+
+        def find(x):
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
 
-    inside = _members(lists, known, "component").filter(
-        F.size(F.array_distinct("component")) > 1).mapInArrow(small, "a long, b long")
+        out = []
+        for i, j in zip(*np.nonzero(yes)):
+            x, y = find(comp[i]), find(comp[j])
+            if x != y:
+                root[x] = y
+                out.append((ids[i], ids[j]))
+        return pa.Table.from_batches([_pair_batch(out)])
 
+    rows = _members(lists, _known(reps, labels), "component").filter(
+        F.size(F.array_distinct("component")) > 1).mapInArrow(open_members, "list long, rep long, component long")
+    rows = stored(rows, "open-members").join(sets, "rep")
+    node = Window.partitionBy("list")
+    before = F.sum(F.length("hashes")).over(node.orderBy("rep"))
+    rows = rows.withColumn("part", F.floor((before - 1) / CELL_BYTES).cast("int"))
+    rows = rows.withColumn("last", F.max("part").over(node)).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), "last"))).drop("last")
+    rows = rows.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
+    found = rows.groupBy("list", "i", "j").applyInArrow(judge, "a long, b long")
+    return stored(found.distinct(), "small-links")
+
+
+def rest_pairs(large: DataFrame, reps: DataFrame, labels: DataFrame, cutoff: float) -> DataFrame:
+    """Pairs in one large node and in different components that signatures don't rule out."""
+    known = _known(reps, labels)
     rows = large.join(known, "rep")
     sizes = rows.groupBy("node", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("node").agg(F.max_by("component", F.struct("n", "component")).alias("main"),
@@ -324,7 +435,7 @@ def rest_pairs(lists: DataFrame, large: DataFrame, reps: DataFrame, labels: Data
     right = right.select(*[F.col(c).alias(f"r_{c}") for c in keep]).groupBy("r_node", "r_i", "r_j")
     outside = (left.select(*keep).groupBy("node", "i", "j").cogroup(right)
                .applyInArrow(blocks, "a long, b long"))
-    return inside.unionByName(outside).distinct()
+    return outside.distinct()
 
 
 def full_sets(lists: DataFrame, large: DataFrame, docs: DataFrame, words: int) -> DataFrame:
@@ -380,7 +491,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, trees: i
     sets = full_sets(lists, large, rows, words)
     links = confirm(pairs, sets, percent)
     labels = stored(components(links), "components")
-    more = stored(rest_pairs(lists, large, reps, labels, cutoff).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    links = links.unionByName(small_links(lists, reps, sets, labels, cutoff, percent))
+    more = stored(rest_pairs(large, reps, labels, cutoff).join(pairs, ["a", "b"], "left_anti"), "pairs")
     links = links.unionByName(confirm(more, sets, percent))
     labels = components(links)
     known = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
