@@ -256,7 +256,9 @@ def nodes(reps: DataFrame, trees: int, threshold: float) -> tuple[DataFrame, Dat
     for level in range(LEVELS):
         source = reps.select("rep", "signature") if live is None else live.join(reps, "rep").select(
             "node", "rep", "signature")
-        found = stored(_grouped(_descend(source, trees, threshold, live is None)), "nodes")
+        # Written first, as sizes and rows both read it: no branch is followed twice.
+        branches = stored(_descend(source, trees, threshold, live is None), "branches")
+        found = stored(_grouped(branches), "nodes")
         leaf = _near_lists(found.filter(F.col("size") <= SMALL), threshold)
         small = leaf if small is None else small.unionByName(leaf)
         live = found.filter(F.col("size") > SMALL).select("node", "rep")
