@@ -50,3 +50,19 @@ def test_capture_files_of_hosts_that_folders_escape(spark, tmp_path):
     assert len(names) == 2 and spark.read.parquet(str(tmp_path / "land")).count() == 2
     with pytest.raises(ValueError):
         write_capture_files(spark, df.withColumn("hostname", F.lit("b:1")), str(tmp_path / "land2"))
+
+
+def test_one_capture_file_for_each_host_however_many_tasks_read(spark, tmp_path):
+    from wiremap.sources.landing import by_host, write_capture_files
+    rows = [(f"m{i % 5}", i // 10, "2024-01-01 00:00:00") for i in range(60)]
+    df = spark.createDataFrame(rows, "hostname string, x int, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+    names = write_capture_files(spark, df.repartition(6), str(tmp_path / "land"))
+    assert sorted(names) == [f"m{h}-20240101000000.parquet" for h in range(5)]
+    assert spark.read.parquet(str(tmp_path / "land")).count() == 60
+    # a large host is dealt to several tasks, equal rows to one
+    dealt = by_host(df, "hostname", {"m0": 12, "m1": 2, "m2": 2, "m3": 2, "m4": 2}, rows_a_file=2)
+    tasks = dealt.withColumn("task", F.spark_partition_id()).groupBy("hostname").agg(F.countDistinct("task").alias("n"))
+    found = {r[0]: r[1] for r in tasks.collect()}
+    assert found["m0"] > 1 and all(found[f"m{h}"] == 1 for h in range(1, 5))
+    assert dealt.withColumn("task", F.spark_partition_id()).groupBy("hostname", "x").agg(
+        F.countDistinct("task").alias("n")).filter("n > 1").count() == 0
