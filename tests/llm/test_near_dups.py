@@ -7,6 +7,7 @@ import string
 import numpy as np
 
 from wiremap.llm import near_dups
+from wiremap.llm.common import sieve
 from wiremap.llm.components import components
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -138,3 +139,33 @@ def test_sketch_keeps_linked_pairs():
             a, b = x, x[:shared]
             bits = near_dups.sketch(np.stack([near_dups.signature(a), near_dups.signature(b)]))
             assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= most
+
+
+def test_forest_spans_near_rows():
+    rng = np.random.default_rng(11)
+    base = rng.integers(0, 1 << 63, (4, 2)).astype(np.uint64)
+    bits = np.repeat(base, 5, axis=0)
+    bits[:, 0] ^= np.left_shift(np.uint64(1), rng.integers(0, 8, 20).astype(np.uint64))
+    links = near_dups.forest(bits, near_dups.different_bits(0.85))
+    assert len(links) == 16 and all(i // 5 == j // 5 for i, j in links)
+    assert near_dups.forest(bits[[0, 1]], 2) == [(0, 1)] and near_dups.forest(bits[[0, 5]], 2) == []
+
+
+def test_sieve_keeps_every_wanted_row(spark):
+    """And lets few others through, so that a join shuffles only what it needs."""
+    rows = spark.range(20_000).selectExpr("id - 500 as k", "cast(id as string) as text")
+    rows = rows.unionByName(spark.createDataFrame([(None, "null key")], "k long, text string"))
+    wanted = spark.createDataFrame([(k,) for k in range(-500, 19_500, 40)], "k long")
+    got = [r.k for r in sieve(rows, "k", wanted).collect()]
+    assert set(range(-500, 19_500, 40)) <= set(got) and len(got) < 600
+    assert sieve(rows, "k", wanted.limit(0)).count() == 0
+
+
+def test_texts_without_near_ones_are_not_shuffled(spark):
+    """The bitmap comes before the join with the wanted ids."""
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id long, text string")
+    wanted = docs.select("doc_id").filter("doc_id < 3")
+    joined = near_dups.wanted_texts(docs, wanted)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner, (doc_id") < plan.index("bitmap_construct_agg")
+    assert "LeftSemi" not in plan and sorted(r.doc_id for r in joined.collect()) == [0, 1, 2]

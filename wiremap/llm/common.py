@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from wiremap.session import scratch_path
 
 BYTE_LIMIT = 8 << 20
+SIEVE_BITS = 1 << 24
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -34,6 +35,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sieve(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Fewer ``rows`` before a join on ``key`` (long); none is lost whose key is in ``wanted``.
+
+    A row passes if the bit of its key's hash is set in a bitmap of ``SIEVE_BITS`` bits (2 MB,
+    whatever the size of the tables), so most rows that the join would drop are never shuffled.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(SIEVE_BITS)) + 1
+    bucket, place = F.bitmap_bucket_number(F.col("__slot")), F.bitmap_bit_position(F.col("__slot"))
+    # Dealt by bucket first: partial bitmaps of each task would be much more than the keys.
+    bits = wanted.select(slot.alias("__slot")).repartition(bucket.alias("__bucket")).groupBy(
+        bucket.alias("__bucket")).agg(F.bitmap_construct_agg(place).alias("__bits"))
+    found = rows.withColumn("__slot", slot).withColumn("__bucket", bucket).join(F.broadcast(bits), "__bucket")
+    octet = F.conv(F.hex(F.substring("__bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return found.filter(F.getbit(octet, (place % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

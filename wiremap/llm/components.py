@@ -17,8 +17,8 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Each larger neighbour of u is linked to the smallest of u and its neighbours."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return (both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .distinct())
+    # Repeated links are left to the small star, which drops them in its own shuffle.
+    return both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:

@@ -16,14 +16,14 @@ is 6e-5 and 3e-4.  Pairs in nodes that are small after two levels: below 1e-7.
 
 Sizes are looked at every second level.  A larger node of which half the
 classes are as similar to one of them as linked documents (a group of near
-copies) is branched no further.  Nodes of at most ``SMALL`` classes are
+copies; by sketches, see below) is branched no further.  Nodes of at most ``SMALL`` classes are
 compared exhaustively.  Node rows carry one hashed bit of each minwise token;
 a class whose bits rule out every other one in its node (more different bits
 than a linked pair has, by 6 standard deviations) leaves the node before
 anything is joined to it, so chance meetings of unlike texts cost no more.
 
 Links are confirmed on the full sets, in two rounds.  The first takes only a
-spanning forest of each small node, and the links to two pivots of each node
+spanning forest of each small node (by sketches, where its rows are gathered), and the links to two pivots of each node
 that stays large (thousands of near copies).  In the second, the members of a
 small node that may still be linked across components bring their full sets to
 one task, which counts all intersections at once and hands on only links that
@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wiremap.llm.common import by_bytes, id_text, stored
+from wiremap.llm.common import by_bytes, id_text, sieve, stored
 from wiremap.llm.components import components
 
 SIGNATURE = 128
@@ -210,8 +210,34 @@ def near_members(node: np.ndarray, rep: np.ndarray, bits: np.ndarray, most: int)
     return out
 
 
+def forest(bits: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """A minimum spanning forest over the pairs of rows that differ in at most ``most`` bits."""
+    if len(bits) == 2:
+        return [(0, 1)] if np.bitwise_count(bits[0] ^ bits[1]).sum() <= most else []
+    apart = np.bitwise_count(bits[:, None] ^ bits).sum(2, dtype=np.int64)
+    a, b = np.nonzero(np.triu(apart <= most, 1))
+    root = list(range(len(bits)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    out = []
+    order = np.argsort(apart[a, b], kind="stable")
+    for i, j in zip(a[order].tolist(), b[order].tolist()):
+        x, y = find(i), find(j)
+        if x != y:
+            root[x] = y
+            out.append((i, j))
+            if len(out) == len(bits) - 1:
+                break
+    return out
+
+
 def _near_lists(leaf: DataFrame, threshold: float) -> DataFrame:
-    """The members of each small node that its sketches leave, as sorted lists."""
+    """The members of each small node that its sketches leave, sorted, and a forest of near pairs."""
     most = different_bits(threshold)
 
     def run(batches):
@@ -221,32 +247,31 @@ def _near_lists(leaf: DataFrame, threshold: float) -> DataFrame:
             rep, s, t = (np.asarray(flat.field(k)) for k in range(3))
             node = np.repeat(np.arange(len(rows)), pc.list_value_length(rows))
             bits = np.stack([s, t], 1).view(U64)
-            keep = near_members(node, rep, bits, most)
-            node, rep = node[keep], rep[keep]
-            lists = [np.unique(x) for x in np.split(rep, np.flatnonzero(np.diff(node)) + 1)] if len(rep) else []
-            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int64()))], names=["members"])
+            keep = np.flatnonzero(near_members(node, rep, bits, most))
+            lists, pairs = [], []
+            for at in np.split(keep, np.flatnonzero(np.diff(node[keep])) + 1) if len(keep) else []:
+                ids, first = np.unique(rep[at], return_index=True)
+                lists.append(ids)
+                pairs.append([{"a": int(ids[i]), "b": int(ids[j])} for i, j in forest(bits[at[first]], most)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lists, pa.list_(pa.int64())),
+                 pa.array(pairs, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))],
+                names=["members", "pairs"])
 
     rows = leaf.groupBy("node").agg(F.collect_list(F.struct("rep", "s", "t")).alias("rows"))
-    return rows.select("rows").mapInArrow(run, "members array<long>")
+    return rows.select("rows").mapInArrow(run, "members array<long>, pairs array<struct<a: long, b: long>>")
 
 
-def _alike(live: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """The nodes of which half the classes are as similar to a pivot as linked ones.
+def _alike(live: DataFrame, threshold: float) -> DataFrame:
+    """The nodes of which half the classes are, by their sketches, as similar to a pivot as linked ones.
 
     Branching cannot split a group of near copies; it only repeats its rows.
     """
-    pivots = live.groupBy("node").agg(F.min_by("rep", F.xxhash64("rep")).alias("rep"))
-    pivots = pivots.join(reps, "rep").select("node", F.col("signature").alias("pivot"))
-
-    def near(batches):
-        for b in batches:
-            same = [np.mean(np.frombuffer(x, np.uint32) == np.frombuffer(y, np.uint32)) >= threshold
-                    for x, y in zip(b.column("signature").to_pylist(), b.column("pivot").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(same, pa.bool_())], names=["node", "near"])
-
-    rows = live.join(reps, "rep").select("node", "signature").join(pivots, "node")
-    share = rows.mapInArrow(near, "node long, near boolean").groupBy("node").agg(
-        F.avg(F.col("near").cast("int")).alias("share"))
+    pivots = live.groupBy("node").agg(F.min_by(F.struct("s", "t"), F.xxhash64("rep")).alias("pivot"))
+    apart = F.bit_count(F.col("s").bitwiseXOR(F.col("pivot.s"))) + F.bit_count(
+        F.col("t").bitwiseXOR(F.col("pivot.t")))
+    share = live.join(pivots, "node").groupBy("node").agg(
+        F.avg((apart <= SIGNATURE * (1 - threshold) / 2).cast("int")).alias("share"))
     return stored(share.filter("share >= 0.5").select("node"), "alike")
 
 
@@ -254,18 +279,20 @@ def nodes(reps: DataFrame, trees: int, threshold: float) -> tuple[DataFrame, Dat
     """Leaf nodes: (small) distinct member lists, (large) rows (node, rep)."""
     small, live, large = None, None, None
     for level in range(LEVELS):
-        source = reps.select("rep", "signature") if live is None else live.join(reps, "rep").select(
-            "node", "rep", "signature")
+        # Only signatures that branch on are shuffled, not those of the whole corpus.
+        source = reps.select("rep", "signature") if live is None else live.join(
+            sieve(reps, "rep", live), "rep").select("node", "rep", "signature")
         # Written first, as sizes and rows both read it: no branch is followed twice.
         branches = stored(_descend(source, trees, threshold, live is None), "branches")
         found = stored(_grouped(branches), "nodes")
         leaf = _near_lists(found.filter(F.col("size") <= SMALL), threshold)
         small = leaf if small is None else small.unionByName(leaf)
-        live = found.filter(F.col("size") > SMALL).select("node", "rep")
-        whole = live
+        whole = found.filter(F.col("size") > SMALL)
         if level + 1 < LEVELS:
-            alike = _alike(live, reps, threshold)
-            whole, live = live.join(alike, "node", "left_semi"), live.join(alike, "node", "left_anti")
+            alike = _alike(whole, threshold)
+            live = whole.select("node", "rep").join(alike, "node", "left_anti")
+            whole = whole.join(alike, "node", "left_semi")
+        whole = whole.select("node", "rep")
         large = whole if large is None else large.unionByName(whole)
     lists = stored(small.filter(F.size("members") > 1).distinct()
                    .withColumn("list", F.xxhash64("members")), "lists")
@@ -280,54 +307,18 @@ def estimates(sig: np.ndarray, other: np.ndarray) -> np.ndarray:
     return out
 
 
-def forest(ids: np.ndarray, sig: np.ndarray, cutoff: float) -> list[tuple[int, int]]:
-    """A maximum spanning forest over the pairs whose estimate reaches the cutoff."""
-    est = estimates(sig, sig)
-    a, b = np.nonzero(np.triu(est >= cutoff, 1))
-    root = list(range(len(ids)))
-
-    def find(i):
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    out = []
-    for k in np.argsort(-est[a, b], kind="stable"):
-        x, y = find(a[k]), find(b[k])
-        if x != y:
-            root[x] = y
-            out.append((ids[a[k]], ids[b[k]]))
-    return out
-
-
 def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([min(p) for p in pairs], pa.int64()), pa.array([max(p) for p in pairs], pa.int64())],
         names=["a", "b"])
 
 
-def _members(lists: DataFrame, reps: DataFrame, *extra: str) -> DataFrame:
-    """Each list with its members' rows (at most SMALL of them) as arrays."""
-    rows = lists.select("list", F.explode("members").alias("rep")).join(
-        reps.select("rep", "signature", *extra), "rep")
-    return rows.groupBy("list").agg(F.collect_list(F.struct("rep", "signature", *extra)).alias("rows")).select(
-        "list", *[F.col(f"rows.{c}").alias(c) for c in ("rep", "signature", *extra)])
-
-
 def _signatures(raw: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(raw), np.uint32).reshape(-1, SIGNATURE)
 
 
-def first_pairs(lists: DataFrame, large: DataFrame, reps: DataFrame, cutoff: float) -> DataFrame:
-    def run(batches):
-        for b in batches:
-            pairs = set()
-            for ids, raw in zip(b.column("rep").to_pylist(), b.column("signature").to_pylist()):
-                pairs.update((min(p), max(p)) for p in forest(ids, _signatures(raw), cutoff))
-            yield _pair_batch(list(pairs))
-
-    inside = _members(lists, reps).mapInArrow(run, "a long, b long")
+def first_pairs(lists: DataFrame, large: DataFrame) -> DataFrame:
+    inside = lists.select(F.inline("pairs"))
     mark = F.xxhash64("rep")
     pivots = large.groupBy("node").agg(F.min("rep").alias("p"), F.min_by("rep", mark).alias("q"))
     stars = large.join(pivots, "node").select(F.explode(F.array("p", "q")).alias("p"), "rep")
@@ -335,9 +326,10 @@ def first_pairs(lists: DataFrame, large: DataFrame, reps: DataFrame, cutoff: flo
     return inside.unionByName(stars).distinct()
 
 
-def _known(reps: DataFrame, labels: DataFrame) -> DataFrame:
-    return reps.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "rep", "signature", F.coalesce("component", "rep").alias("component"))
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows with the component of their class (rep)."""
+    return rows.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
+        "component", F.coalesce("component", "rep"))
 
 
 def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -395,8 +387,15 @@ def small_links(lists: DataFrame, reps: DataFrame, sets: DataFrame, labels: Data
                 out.append((ids[i], ids[j]))
         return pa.Table.from_batches([_pair_batch(out)])
 
-    rows = _members(lists, _known(reps, labels), "component").filter(
-        F.size(F.array_distinct("component")) > 1).mapInArrow(open_members, "list long, rep long, component long")
+    # Signatures go only to nodes that lie in several components.
+    rows = _labelled(lists.select("list", F.explode("members").alias("rep")), labels)
+    rows = rows.groupBy("list").agg(F.collect_list(F.struct("rep", "component")).alias("rows"))
+    rows = stored(rows.filter(F.size(F.array_distinct("rows.component")) > 1).select("list", F.inline("rows")),
+                  "open-nodes")
+    rows = rows.join(sieve(reps, "rep", rows), "rep").groupBy("list").agg(
+        F.collect_list(F.struct("rep", "signature", "component")).alias("rows")).select(
+            "list", "rows.rep", "rows.signature", "rows.component")
+    rows = rows.mapInArrow(open_members, "list long, rep long, component long")
     rows = stored(rows, "open-members").join(sets, "rep")
     node = Window.partitionBy("list")
     before = F.sum(F.length("hashes")).over(node.orderBy("rep"))
@@ -410,15 +409,15 @@ def small_links(lists: DataFrame, reps: DataFrame, sets: DataFrame, labels: Data
 
 def rest_pairs(large: DataFrame, reps: DataFrame, labels: DataFrame, cutoff: float) -> DataFrame:
     """Pairs in one large node and in different components that signatures don't rule out."""
-    known = _known(reps, labels)
-    rows = large.join(known, "rep")
+    rows = stored(_labelled(large, labels), "labelled")
     sizes = rows.groupBy("node", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("node").agg(F.max_by("component", F.struct("n", "component")).alias("main"),
                                      F.sum("n").alias("size"), F.max("n").alias("most"))
     main = main.filter("most < size").withColumns({
         "blocks": F.ceil(F.col("size") / BLOCK).cast("int"),
         "outside": F.ceil((F.col("size") - F.col("most")) / BLOCK).cast("int")})
-    rows = rows.join(main, "node").withColumn("at", F.xxhash64("rep"))
+    rows = stored(rows.join(main, "node"), "split-nodes")
+    rows = rows.join(sieve(reps, "rep", rows), "rep").withColumn("at", F.xxhash64("rep"))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = rows.withColumn("i", F.pmod("at", "blocks").cast("int")).withColumn("j", spread("outside"))
     right = rows.filter("component <> main").withColumn("j", F.pmod("at", "outside").cast("int")).withColumn(
@@ -440,6 +439,15 @@ def rest_pairs(large: DataFrame, reps: DataFrame, labels: DataFrame, cutoff: flo
     return outside.distinct()
 
 
+def wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows (doc_id, text) whose id is in ``wanted`` (distinct ids, which are never broadcast).
+
+    Most texts share no node with another one; the sieve keeps them out of the shuffle.  The
+    join is an inner one, as Spark would move a semi join before the sieve.
+    """
+    return sieve(docs, "doc_id", wanted).join(wanted.hint("merge"), "doc_id").select("doc_id", "text")
+
+
 def full_sets(lists: DataFrame, large: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     """The full sets (rep, hashes) of all classes that share a node with another one."""
     wanted = lists.select(F.explode("members").alias("doc_id")).unionByName(
@@ -451,9 +459,7 @@ def full_sets(lists: DataFrame, large: DataFrame, docs: DataFrame, words: int) -
                 [b.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(b.column("text"), words)],
                                               pa.binary())], names=["rep", "hashes"])
 
-    # The ids grow with the corpus, so they are never broadcast.
-    return stored(docs.join(wanted.hint("merge"), "doc_id", "left_semi").select("doc_id", "text")
-                  .mapInArrow(run, "rep long, hashes binary"), "sets")
+    return stored(wanted_texts(docs, wanted).mapInArrow(run, "rep long, hashes binary"), "sets")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -489,7 +495,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, trees: i
     reps = stored(some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))
                   .filter("rep is not null").select("rep", "signature"), "classes")
     lists, large = nodes(reps, trees, threshold)
-    pairs = stored(first_pairs(lists, large, reps, cutoff), "pairs")
+    pairs = stored(first_pairs(lists, large), "pairs")
     sets = full_sets(lists, large, rows, words)
     links = confirm(pairs, sets, percent)
     labels = stored(components(links), "components")
