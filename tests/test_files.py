@@ -66,3 +66,39 @@ def test_one_capture_file_for_each_host_however_many_tasks_read(spark, tmp_path)
     assert found["m0"] > 1 and all(found[f"m{h}"] == 1 for h in range(1, 5))
     assert dealt.withColumn("task", F.spark_partition_id()).groupBy("hostname", "x").agg(
         F.countDistinct("task").alias("n")).filter("n > 1").count() == 0
+
+
+def test_capture_files_of_a_large_host_and_of_a_second_landing(spark, tmp_path, monkeypatch):
+    """A host's files are a second apart, taken names are passed over, and no row or type is lost."""
+    from wiremap.sources import landing
+    monkeypatch.setattr(landing, "ROWS_A_FILE", 10)
+    rows = [("m0", i, "2024-01-01 00:00:07", None) for i in range(25)] + [("m1", i, None, (1, [i])) for i in range(3)]
+    df = spark.createDataFrame(rows, "hostname string, x int, ts string, s struct<a:int,b:array<int>>").withColumns(
+        {"ts": F.col("ts").cast("timestamp"), "d": F.lit("1.5").cast("decimal(20,3)"), "y": F.expr("interval 1 day")})
+    path = str(tmp_path / "land")
+    names = landing.write_capture_files(spark, df, path)
+    assert "m1-19700101000000.parquet" in names
+    assert {n for n in names if n.startswith("m0")} <= {f"m0-2024010100000{s}.parquet" for s in (7, 8, 9)}
+    assert len(landing.write_capture_files(spark, df.filter("hostname = 'm1'"), path)) == 1
+    found = spark.read.parquet(path).withColumn("name", F.col("_metadata.file_name"))
+    assert found.filter("name = 'm1-19700101000001.parquet'").count() == 3
+    first = found.filter("name <> 'm1-19700101000001.parquet'")
+    assert sorted(map(repr, first.select("x", "ts", "s", "d", "y").collect())) == sorted(
+        map(repr, df.select("x", "ts", "s", "d", "y").collect()))
+    assert found.drop("name").schema.simpleString() == df.drop("hostname").schema.simpleString()
+
+
+def test_capture_files_are_not_handed_through_the_driver(spark, tmp_path, monkeypatch):
+    """No listing and no rename a file: a landing of many hosts is one rename of its folder."""
+    from wiremap import fs
+    from wiremap.sources import landing
+
+    def never(*_args):
+        raise AssertionError("renamed file by file")
+
+    monkeypatch.setattr(fs, "rename_all", never)
+    df = spark.range(40).select(F.concat(F.lit("m"), F.col("id") % 20).alias("hostname"), "id",
+                                F.lit("2024-01-01 00:00:00").cast("timestamp").alias("ts"))
+    assert len(landing.write_capture_files(spark, df, str(tmp_path / "land"))) == 20
+    assert spark.read.parquet(str(tmp_path / "land")).count() == 40
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["land"]
