@@ -136,3 +136,15 @@ def test_inferred_schema_and_keyed_dedupe_across_files(spark, tmp_path):
                      max_files_per_trigger=1, **kw).awaitTermination()
         out = read_bronze(spark, f"{tmp_path}/{name}")
         assert out.count() == expected * ev.count(), name
+
+
+def test_a_small_micro_batch_is_listed_and_compared_in_few_tasks(spark, tmp_path):
+    """Forty small files in one batch: no listing job with a task a file, one file of distinct rows."""
+    ev = _events(spark).withColumn("hostname", F.concat(F.lit("m"), (F.col("event_id") % 40).cast("string")))
+    write_capture_files(spark, ev.unionAll(ev), f"{tmp_path}/raw")
+    start_bronze(spark, f"{tmp_path}/raw", f"{tmp_path}/bronze", f"{tmp_path}/chk",
+                 schema=_events(spark).schema, max_files_per_trigger=64).awaitTermination()
+    assert read_bronze(spark, f"{tmp_path}/bronze").count() == ev.count()
+    assert len(list((tmp_path / "bronze").glob("batch=*/*.parquet"))) == 1
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.threshold")) >= 64
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) < 64
