@@ -197,3 +197,41 @@ def test_empty_batch_snapshot_layout(spark, tmp_path):
     upsert(spark, _df(spark, [(1, "a", T0)]), p, ["k"], batch_id=0)
     upsert(spark, _df(spark, []), p, ["k"], batch_id=1)
     assert [(r.k, r.v) for r in read_keyed(spark, p).collect()] == [(1, "a")]
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+def test_first_write_leaves_no_second_copy_on_the_disks(spark, tmp_path, monkeypatch):
+    """No staged copy, no shuffle by bucket (``spread``), and the source's own shuffle files go with the write."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from wiremap.operators import upsert as U
+    path, setting = str(tmp_path / "t"), "spark.sql.maxConcurrentOutputFileWriters"
+    before, had = _shuffle_files(spark), spark.conf.get(setting)
+    with monkeypatch.context() as m:
+        m.setattr(U, "_clustered", None)
+        rows = spark.range(500).withColumn("v", F.col("id") * 2).repartition(4, "v")
+        assert U.upsert(spark, rows, path, ["id"], batch_id=0, buckets=4, unique_keys=True, spread=True) == 0
+    assert not (tmp_path / "t" / "_staging").exists() and spark.conf.get(setting) == had
+    until = time.time() + 20
+    while _shuffle_files(spark) > before and time.time() < until:
+        time.sleep(0.2)
+    assert _shuffle_files(spark) <= before
+    more = spark.range(400, 600).withColumn("v", F.lit(-1).cast("long"))
+    assert U.upsert(spark, more, path, ["id"], batch_id=1, buckets=4, unique_keys=True, spread=True) == 1
+    found = {r.id: r.v for r in U.read_keyed(spark, path).collect()}
+    assert found == {i: 2 * i if i < 400 else -1 for i in range(600)}
+
+
+def test_first_write_without_rows(spark, tmp_path):
+    from wiremap.operators import upsert as U
+    none = spark.range(0)
+    assert U.upsert(spark, none, str(tmp_path / "t"), ["id"]) == 0
+    assert U.read_keyed(spark, str(tmp_path / "t")).count() == 0
+    assert U.upsert(spark, spark.range(3), str(tmp_path / "t"), ["id"]) == 1
+    assert U.read_keyed(spark, str(tmp_path / "t")).count() == 3

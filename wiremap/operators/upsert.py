@@ -42,12 +42,15 @@ from pyspark.sql import types as T
 
 from wiremap import fs
 from wiremap.operators.latest import latest_by_key, one_per_key
+from wiremap.session import FREE_SHUFFLES, settings
 from wiremap.sources.evolving import widen
 
 BUCKET = "__bucket"
 HASH_BUCKETS = 16
 RETRIES = 5
 KEEP_HOURS = 24.0
+#: Row groups of rows that go to all buckets at once, so that a task holds little of each.
+SPREAD_GROUP = 8 << 20
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
@@ -129,7 +132,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
            batch_id: int | None = None, writer: str = "default", order_by: str | None = None,
            null_safe: bool = False, newest_wins: bool = False,
            on_duplicate: str = "first", keep_hours: float = KEEP_HOURS, keep: int = 2, buckets: int | None = None,
-           unique_keys: bool = False) -> int:
+           unique_keys: bool = False, spread: bool = False) -> int:
     """Upsert ``source`` into the table at ``path``; returns the current version.
 
     With a ``batch_id`` the write is a no-op if this ``writer`` has committed
@@ -138,6 +141,11 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     ``source`` already has one row per key, which skips the reduction.  Versions
     stay for ``keep_hours`` after a later one took their place (and the newest
     ``keep`` always), so that a reader of an older one can finish.
+
+    A first write goes straight to its buckets; later ones stage the source, as
+    the merge reads it twice.  With ``spread`` the rows of a first write aren't
+    shuffled by bucket: each task that has computed some writes them to all
+    buckets (more files, but no second copy of a large result on the disks).
     """
     src = reduce_source(source, keys, order_by, "trusted" if unique_keys else on_duplicate)
     stage = None
@@ -150,28 +158,34 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
                 if batch_id is not None and about["writers"].get(writer, -1) >= batch_id:
                     return found[-1]
             n = about["buckets"] if about else (buckets or HASH_BUCKETS)
-            if stage is None:
-                # The source is computed once, however often the merge reads it.
-                stage = f"{path}/_staging/{uuid.uuid4().hex}"
-                src.write.parquet(stage)
             old = T.StructType.fromJson(about["schema"]) if about else None
             schema = widen(old, src.schema)
-            placed = spark.read.schema(schema).parquet(stage).withColumn(
-                BUCKET, bucket_of(keys, n, src.columns, null_safe))
-            touched = {r[0] for r in placed.select(BUCKET).distinct().collect()}  # at most n numbers
-            if touched and old is not None and any(old[k].dataType != schema[k].dataType for k in keys):
-                touched = set(range(n))  # a wider key hashes differently
-            out = placed
-            if about is not None:
+            folder, v = uuid.uuid4().hex, (found[-1] + 1 if found else 0)
+            data = f"{path}/data/{folder}"
+            if about is None:
+                touched = set()
+                placed = src.withColumn(BUCKET, bucket_of(keys, n, src.columns, null_safe))
+                _write_buckets(placed, data, n, spread)
+            else:
+                if stage is None:
+                    # The source is computed once, however often the merge reads it.
+                    stage = f"{path}/_staging/{uuid.uuid4().hex}"
+                    with settings(spark, FREE_SHUFFLES):
+                        src.write.parquet(stage)
+                placed = spark.read.schema(schema).parquet(stage).withColumn(
+                    BUCKET, bucket_of(keys, n, src.columns, null_safe))
+                touched = {r[0] for r in placed.select(BUCKET).distinct().collect()}  # at most n numbers
+                if touched and any(old[k].dataType != schema[k].dataType for k in keys):
+                    touched = set(range(n))  # a wider key hashes differently
                 target = _read(spark, path, about, touched, schema)
                 merged = merge_frames(target, placed.drop(BUCKET), keys, null_safe, newest_wins, order_by)
-                out = merged.withColumn(BUCKET, bucket_of(keys, n, schema.names, null_safe))
-            folder, v = uuid.uuid4().hex, (found[-1] + 1 if found else 0)
-            if touched:
-                _clustered(out).write.partitionBy(BUCKET).parquet(f"{path}/data/{folder}")
+                if touched:
+                    _write_buckets(merged.withColumn(BUCKET, bucket_of(keys, n, schema.names, null_safe)), data, n)
             live = dict(about["live"]) if about else {}
-            names = fs.list_names(spark, f"{path}/data/{folder}") if touched else []
+            names = fs.list_names(spark, data)
             written = [m.split("=")[1] for m in names if m.startswith(f"{BUCKET}=")]
+            if not written:
+                fs.delete(spark, data)
             live = {b: f for b, f in live.items() if int(b) not in touched} | dict.fromkeys(written, folder)
             after = {"keys": list(keys), "buckets": n, "null_safe": null_safe, "live": live,
                      "schema": schema.jsonValue(), "at": time.time(), "writers": dict(about["writers"]) if about else {}}
@@ -180,7 +194,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
             if fs.write_new(spark, f"{path}/_versions/{v:012d}.json", json.dumps(after)):
                 _drop_old(spark, path, keep, keep_hours)
                 return v
-            fs.delete(spark, f"{path}/data/{folder}")
+            fs.delete(spark, data)
         raise RuntimeError(f"{path}: {RETRIES} other writers committed first")
     finally:
         if stage is not None:
@@ -194,6 +208,18 @@ def _check_layout(path: str, about: dict, keys: Sequence[str], buckets: int | No
             raise ValueError(f"{path}: the table has {name}={about[name]!r}, not {value!r}")
 
 
+def _write_buckets(rows: DataFrame, path: str, n: int, spread: bool = False) -> None:
+    """Write rows below ``path`` by their bucket of ``n``."""
+    spark, asked = rows.sparkSession, FREE_SHUFFLES
+    writer = (rows if spread else _clustered(rows)).write.partitionBy(BUCKET)
+    if spread:
+        # one open file a bucket instead of sorting (and spilling) a task's rows; at the limit itself Spark would sort
+        asked = asked | {"spark.sql.maxConcurrentOutputFileWriters": str(n + 1), "spark.sql.optimizer.plannedWrite.enabled": "false"}
+        writer = writer.option("parquet.block.size", str(SPREAD_GROUP))
+    with settings(spark, asked):
+        writer.parquet(path)
+
+
 def _clustered(df: DataFrame) -> DataFrame:
     """Group rows by bucket before writing (few files per bucket).
 

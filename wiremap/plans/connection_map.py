@@ -29,6 +29,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from wiremap.session import FREE_SHUFFLES, settings
+
 # Gold connection map columns, in order.
 CONNECTION_COLUMNS = [
     "created_at", "source_network", "source_hostname", "source_host", "source_port",
@@ -161,7 +163,9 @@ def connection_map(packets: DataFrame, align_minutes: bool = False,
     if not reduce_first:
         return pick_connections(a, b, align_minutes)
     shared = shared_endpoints(packets)
-    if shared.isEmpty():
+    with settings(packets.sparkSession, FREE_SHUFFLES):
+        none_shared = shared.isEmpty()
+    if none_shared:
         return join_sides(a, b, align_minutes).select(*CONNECTION_COLUMNS)
     # keyed like the join below, so the "source" side is shuffled once for both
     single = join_sides(a.join(shared, A_ENDPOINT, "left_anti"), b, align_minutes)

@@ -10,6 +10,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -65,6 +67,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/wiremap/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Shuffle files of a query go when it ends; otherwise they stay until the driver collects its garbage.
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Session settings for the writes of a block; the old ones come back after it."""
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def materialize(df, name: str = "materialized"):
     """Cut the lineage: write ``df`` as parquet under the shared folder, read it back.
 
@@ -76,7 +95,8 @@ def materialize(df, name: str = "materialized"):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    with settings(spark, FREE_SHUFFLES):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

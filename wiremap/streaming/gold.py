@@ -25,6 +25,7 @@ from wiremap import fs
 from wiremap.operators.upsert import read_keyed, upsert
 from wiremap.plans.connection_map import connection_map
 from wiremap.plans.packet_map import packet_map
+from wiremap.session import FREE_SHUFFLES, settings
 from wiremap.spec import (
     CONNECTION_KEYS, GOLD_LOOKBACK_MINUTES, GOLD_REFRESH_SECONDS, PACKET_KEYS, SILVER_TABLES,
 )
@@ -84,14 +85,15 @@ def refresh(spark: SparkSession, inputs: SilverInputs, gold_path: str, *,
                          lookback_minutes=lookback_minutes, dim_lookback=dim_lookback)
     stage = f"{gold_path}/_refresh/{uuid.uuid4().hex}"
     try:
-        packets.write.parquet(stage)
+        with settings(spark, FREE_SHUFFLES):
+            packets.write.parquet(stage)
         pk = spark.read.schema(packets.schema).parquet(stage)
         upsert(spark, pk, f"{gold_path}/{PACKET_TABLE}", list(PACKET_KEYS), batch_id=batch_id,
                writer=writer, buckets=buckets)
         conn = connection_map(pk, align_minutes=align_minutes)
         # one row per connection key by construction (group limit in connection_map)
         upsert(spark, conn, f"{gold_path}/{CONNECTION_TABLE}", list(CONNECTION_KEYS),
-               batch_id=batch_id, writer=writer, buckets=buckets, unique_keys=True)
+               batch_id=batch_id, writer=writer, buckets=buckets, unique_keys=True, spread=True)
     finally:
         fs.delete(spark, stage)
 
