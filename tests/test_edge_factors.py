@@ -68,3 +68,12 @@ def test_join_output_is_bounded_by_edges(spark):
 
 def test_no_packets(spark):
     assert edge_summary_of_packets(spark.createDataFrame([], SCHEMA), None).count() == 0
+
+
+def test_sets_are_united_without_a_row_for_each_value(spark):
+    """No row a set value is shuffled, and no pairwise part is planned where each (host, port) has one machine."""
+    packets = spark.createDataFrame(random_packets(5, 200, 1), SCHEMA)
+    plan = edge_summary_of_packets(packets, None)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("Join") == 1
+    several = spark.createDataFrame(random_packets(5, 200, 2), SCHEMA)
+    assert edge_summary_of_packets(several, None)._jdf.queryExecution().optimizedPlan().toString().count("Join") > 1

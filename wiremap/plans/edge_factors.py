@@ -24,6 +24,7 @@ from wiremap.functions.columns import fill_unknown, format_time
 from wiremap.operators.recent import recent
 from wiremap.plans.connection_map import A_ENDPOINT, B_ENDPOINT, connection_sides, pick_connections
 from wiremap.plans.graph import EDGE_KEY, SET_COLUMNS
+from wiremap.session import FREE_SHUFFLES, settings
 from wiremap.spec import REPORT_LOOKBACK_MINUTES
 
 _HOST_PORT = ["source_host", "source_port"]
@@ -52,31 +53,29 @@ def endpoint_edges(a: DataFrame, b: DataFrame, align_minutes: bool = False) -> D
 
 
 def _united(parts: DataFrame) -> DataFrame:
-    """The sets of each edge's rows united, value by value with partial aggregation."""
-    def values(i: int, c: str) -> Column:
-        text = c.endswith("command")
-        return F.transform(c, lambda x: F.struct(
-            F.lit(i).alias("kind"), (F.lit(None) if text else x).cast("long").alias("number"),
-            (x if text else F.lit(None)).cast("string").alias("text")))
-
-    rows = parts.select(*EDGE_KEY, "__last", F.explode(
-        F.concat(*[values(i, c) for i, c in enumerate(SET_COLUMNS)])).alias("v"))
-    rows = rows.groupBy(*EDGE_KEY, "v").agg(F.max("__last").alias("__last"))
-    types = {c: parts.schema[c].dataType for c in SET_COLUMNS}
-    sets = [F.array_sort(F.collect_list(F.when(
-        F.col("v.kind") == i, F.col("v.text" if c.endswith("command") else "v.number")))).cast(types[c]).alias(c)
-        for i, c in enumerate(SET_COLUMNS)]
-    return rows.groupBy(*EDGE_KEY).agg(*sets, format_time(F.max("__last")).alias("time"))
+    """The sets of each edge's rows united: one row for each endpoint and edge is shuffled, not one a value."""
+    lists = parts.groupBy(*EDGE_KEY).agg(*[F.collect_list(c).alias(c) for c in SET_COLUMNS],
+                                         F.max("__last").alias("__last"))
+    sets = [F.array_sort(F.array_distinct(F.filter(F.flatten(c), lambda x: x.isNotNull()))).alias(c) for c in SET_COLUMNS]
+    return lists.select(*EDGE_KEY, *sets, format_time("__last").alias("time"))
 
 
 def edge_summary_of_packets(packets: DataFrame, minutes: int | None = REPORT_LOOKBACK_MINUTES,
                             as_of: Column | dt.datetime | None = None, align_minutes: bool = False) -> DataFrame:
-    """``edge_summary`` of the connection map of ``packets``, by factors."""
+    """``edge_summary`` of the connection map of ``packets``, by factors.
+
+    One small job over the endpoints of ``packets`` (best a written table) tells
+    whether any (host, port) has several machines; without one there is no pairwise part.
+    """
     a, b = connection_sides(packets, align_minutes)
     # Null ports and hosts meet nothing.
     machines = packets.filter(F.col("created_at").isNotNull()).groupBy(*_HOST_PORT).agg(
         F.min("source_hostname").alias("__one"), F.max("source_hostname").alias("__other"))
     shared = machines.filter("__one <> __other").select(*_HOST_PORT)
+    with settings(packets.sparkSession, FREE_SHUFFLES):
+        none_shared = shared.isEmpty()
+    if none_shared:
+        return _united(endpoint_edges(recent(a, minutes, "dtk_inserted_at", as_of), b, align_minutes))
     alone = a.join(shared, _HOST_PORT, "left_anti")
     pairs = pick_connections(a.join(shared, _HOST_PORT, "left_semi"), b, align_minutes)
     pairs = fill_unknown(recent(pairs, minutes, "dtk_inserted_at", as_of))
